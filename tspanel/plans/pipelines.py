@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tspanel.config import DAILY_SEASON, HORIZON, PIPELINE_WINDOWS, WEEKLY_SEASON
 from tspanel.operators import baselines as B
 from tspanel.operators import evaluate as E
+from tspanel.operators import prepare as P
+from tspanel.operators import profile as A
 
 NO_CAP = 10 ** 15
 
@@ -35,3 +37,17 @@ def pipeline_forecast(panel: DataFrame, horizon: int = HORIZON, step_seconds: in
     cuts = B.final_cutoffs(panel)
     fc = B.seasonal_how_average(panel, cuts, step_seconds, horizon)
     return B.future_timestamps(fc, panel, step_seconds).select("unique_id", "ds", "horizon", "model", "y_pred")
+
+
+def prepare_dataset(raw: DataFrame, target: str = "Global_active_power", step_seconds: int = 3600,
+                    unique_id: str = "household_1", fill: str = "time") -> dict[str, DataFrame]:
+    """PIPE-1: typed raw table → quality blocks, missing table, resampled mean,
+    regular grid with gap fill, canonical panel."""
+    raw_series = raw.select(F.lit(unique_id).alias("unique_id"), "ds", F.col(target).alias("y"))
+    hourly = P.resample(raw_series, step_seconds, "mean", densify=True)
+    prepared = P.regularize(hourly.drop("pos"), step_seconds, fill=fill)
+    quality = (A.flatten_report(A.quality_report(raw_series), "raw")
+               .unionByName(A.flatten_report(A.quality_report(hourly.drop("pos")), "hourly_before_fill"))
+               .unionByName(A.flatten_report(A.quality_report(prepared.drop("pos")), "prepared")))
+    return {"prepared": prepared, "hourly": hourly, "quality": quality,
+            "missing": A.missing_values_table(raw)}

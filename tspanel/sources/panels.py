@@ -105,3 +105,41 @@ def panel_sql(key: str = "H", fill: str = "time", name: str = "panel") -> str:
     first_value(y IGNORE NULLS) OVER (PARTITION BY unique_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nv
   FROM {name}_dense),
 {name} AS (SELECT unique_id, ds, {fill_expr} AS y, pos FROM {name}_nb)"""
+
+
+# ---------------------------------------------------------------- raw sensor text table
+
+def raw_sensor_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw sensor layout (FIXTURES §2) derived from ``events``: day-first
+    ``Date`` and minute ``Time`` text (so timestamps repeat), numbers as text
+    with NA tokens, ingest order ``_row`` = ``event_id``."""
+    ev = read_table(spark, sf_dir, "events")
+    tok = (F.when(F.col("event_id") % 97 == 0, F.lit("?"))
+            .when(F.col("event_id") % 89 == 0, F.lit(""))
+            .when(F.col("event_id") % 83 == 0, F.lit("NA"))
+            .otherwise(F.col("value").cast("string")))
+    return ev.select(
+        F.date_format("ts", "dd/MM/yyyy").alias("Date"),
+        F.date_format(F.date_trunc("minute", F.col("ts")), "HH:mm:ss").alias("Time"),
+        tok.alias("Global_active_power"),
+        F.col("user_id").cast("string").alias("Sub_metering_1"),
+        F.col("event_id").alias("_row"))
+
+
+RAW_SENSOR_SQL = """
+raw_text AS (
+  SELECT strftime(ts, '%d/%m/%Y') AS "Date", strftime(date_trunc('minute', ts), '%H:%M:%S') AS "Time",
+         CASE WHEN event_id % 97 = 0 THEN '?' WHEN event_id % 89 = 0 THEN '' WHEN event_id % 83 = 0 THEN 'NA'
+              ELSE CAST(value AS VARCHAR) END AS gap_txt,
+         CAST(user_id AS VARCHAR) AS sm1_txt, event_id AS rn
+  FROM events),
+raw_typed AS (
+  SELECT try_strptime("Date" || ' ' || "Time", '%d/%m/%Y %H:%M:%S') AS ds,
+         TRY_CAST(CASE WHEN gap_txt IN ('?', '', 'NA', 'NaN', 'nan', 'null', 'None') THEN NULL ELSE gap_txt END AS DOUBLE) AS gap,
+         TRY_CAST(CASE WHEN sm1_txt IN ('?', '', 'NA', 'NaN', 'nan', 'null', 'None') THEN NULL ELSE sm1_txt END AS DOUBLE) AS sm1,
+         rn
+  FROM raw_text),
+raw AS (
+  SELECT ds, CASE WHEN isnan(gap) THEN NULL ELSE gap END AS "Global_active_power",
+         CASE WHEN isnan(sm1) THEN NULL ELSE sm1 END AS "Sub_metering_1"
+  FROM raw_typed QUALIFY row_number() OVER (PARTITION BY ds ORDER BY rn) = 1)"""
