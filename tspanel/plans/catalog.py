@@ -9,6 +9,7 @@ query module.
 from tspanel.plans import q_pipeline  # noqa: F401
 from tspanel.plans import q_prepare  # noqa: F401
 from tspanel.plans import q_features  # noqa: F401
+from tspanel.plans import q_stats  # noqa: F401
 from tspanel.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["QUERIES", "ORACLE_SQL"]

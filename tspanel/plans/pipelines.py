@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tspanel.config import DAILY_SEASON, HORIZON, PIPELINE_WINDOWS, WEEKLY_SEASON
+from tspanel.config import DAILY_SEASON, HORIZON, PIPELINE_WINDOWS, WEEKLY_SEASON, BacktestConfig
 from tspanel.operators import baselines as B
 from tspanel.operators import evaluate as E
 from tspanel.operators import prepare as P
@@ -51,3 +51,36 @@ def prepare_dataset(raw: DataFrame, target: str = "Global_active_power", step_se
                .unionByName(A.flatten_report(A.quality_report(prepared.drop("pos")), "prepared")))
     return {"prepared": prepared, "hourly": hourly, "quality": quality,
             "missing": A.missing_values_table(raw)}
+
+
+def with_cutoff_ds(df: DataFrame, panel: DataFrame) -> DataFrame:
+    """Timestamp of the last training position as ``cutoff``."""
+    return df.join(panel.select("unique_id", F.col("pos").alias("cut"), F.col("ds").alias("cutoff")),
+                   ["unique_id", "cut"], "left")
+
+
+def statistical_backtest(panel: DataFrame, cfg: BacktestConfig = BacktestConfig(),
+                         models=B.BASELINE_MODELS, long_season: int = WEEKLY_SEASON,
+                         extra=None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """PIPE-3 backtest: F-10 cutoffs → baselines with bands (+ optional fleet
+    forecasts from ``extra(panel, cutoffs)``) → P-12 → actuals → clamped
+    metrics with the in-sample MASE scale → leaderboard."""
+    cuts = B.backtest_cutoffs(panel, cfg.horizon, cfg.n_windows, cfg.step, cfg.min_history)
+    fc = B.baseline_forecasts(panel, cuts, cfg.horizon, models, cfg.season, long_season, cfg.max_history)
+    if extra is not None:
+        fc = fc.unionByName(extra(panel, cuts), allowMissingColumns=True)
+    fc = B.valid_forecasts(fc, cfg.horizon)
+    preds = with_cutoff_ds(B.attach_actuals(fc, panel), panel).withColumn("group", F.lit("statistical"))
+    by_window = E.metrics_by_window(preds, E.insample_scale(panel, cuts, cfg.season), "clamped")
+    return preds, by_window, E.leaderboard(by_window)
+
+
+def statistical_forecast(panel: DataFrame, cfg: BacktestConfig = BacktestConfig(), step_seconds: int = 3600,
+                         models=B.BASELINE_MODELS, long_season: int = WEEKLY_SEASON, extra=None) -> DataFrame:
+    """F-12: every model fitted on the whole (capped) series, future timestamps."""
+    cuts = B.final_cutoffs(panel)
+    fc = B.baseline_forecasts(panel, cuts, cfg.horizon, models, cfg.season, long_season, cfg.max_history)
+    if extra is not None:
+        fc = fc.unionByName(extra(panel, cuts), allowMissingColumns=True)
+    fc = B.valid_forecasts(fc, cfg.horizon)
+    return B.future_timestamps(fc, panel, step_seconds)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from tspanel.plans import pipelines as PL
 from tspanel.plans.registry import R, register, rnd
 from tspanel.plans.util import rounded
@@ -61,6 +63,17 @@ lb AS (SELECT unique_id, model, avg(mae) AS mae, avg(rmse) AS rmse, avg(mape) AS
               avg(mase) AS mase FROM bw2 GROUP BY 1, 2)"""
 
 
+_CTE_NAMES = ["lens", "wc", "cuts1", "cuts", "steps", "how_src", "how", "fb", "lastv", "f5", "f2", "preds",
+              "scale", "bw2", "bw", "lb"]
+
+
+def pipeline_ctes(prefix: str = "") -> str:
+    """``PIPELINE_CTES`` with every CTE name prefixed (to sit next to other CTEs)."""
+    if not prefix:
+        return PIPELINE_CTES
+    return re.sub(r"\b(" + "|".join(_CTE_NAMES) + r")\b", lambda m: prefix + m.group(1), PIPELINE_CTES)
+
+
 @register("pipeline_leaderboard", f"""
 WITH {panel_sql('H')}, {PIPELINE_CTES}
 SELECT unique_id, CAST(row_number() OVER (PARTITION BY unique_id ORDER BY smape ASC NULLS LAST, model) AS BIGINT) AS rank,
