@@ -9,7 +9,7 @@ from tspanel.operators import anomaly as N
 from tspanel.operators import features as FT
 from tspanel.plans.registry import R, register, rnd
 from tspanel.plans.util import rounded
-from tspanel.sources.panels import panel, panel_sql
+from tspanel.sources.panels import panel, panel_sql, prepared_panel
 
 PART = "PARTITION BY unique_id ORDER BY pos"
 
@@ -53,7 +53,7 @@ SELECT unique_id, ds, {rnd('y')} AS y, pos, {CAL_SQL},
 FROM panel""")
 def q_forecast_features(spark, sf):
     """F-18: the 25-column feature matrix on the hourly panel."""
-    return rounded(FT.forecast_features(panel(spark, sf, "H")))
+    return rounded(FT.forecast_features(prepared_panel(spark, sf, "H")))
 
 
 @register("lag_features_daily", f"""
@@ -64,7 +64,7 @@ SELECT unique_id, ds, pos, {R('y')},
 FROM panel""")
 def q_lags_daily(spark, sf):
     """W-1 on the daily orders panel."""
-    return rounded(FT.add_lags(panel(spark, sf, "D"), [1, 7, 28]))
+    return rounded(FT.add_lags(prepared_panel(spark, sf, "D"), [1, 7, 28]))
 
 
 # ---------------------------------------------------------------- W-3, W-6, W-7
@@ -76,7 +76,7 @@ SELECT unique_id, ds, pos, {R('y')},
   {rnd(guarded('avg', -167, 0, 56))} AS rolling_mean_168
 FROM panel""")
 def q_rolling_means(spark, sf):
-    return rounded(FT.add_rolling_means(panel(spark, sf, "H"), (24, 168)))
+    return rounded(FT.add_rolling_means(prepared_panel(spark, sf, "H"), (24, 168)))
 
 
 @register("differences", f"""
@@ -85,7 +85,7 @@ SELECT unique_id, ds, pos, {R('y')},
   {rnd(f'y - lag(y, 1) OVER ({PART})')} AS diff_1, {rnd(f'y - lag(y, 24) OVER ({PART})')} AS diff_24
 FROM panel""")
 def q_differences(spark, sf):
-    return rounded(FT.add_differences(panel(spark, sf, "H"), 24))
+    return rounded(FT.add_differences(prepared_panel(spark, sf, "H"), 24))
 
 
 # ---------------------------------------------------------------- W-4, N-1
@@ -97,7 +97,7 @@ SELECT unique_id, ds, pos, {R('y')},
   {rnd(guarded('stddev_samp', -167, 0, 84))} AS rolling_std_168
 FROM panel""")
 def q_rolling_median(spark, sf):
-    return rounded(FT.add_rolling_median_std(panel(spark, sf, "H"), 168))
+    return rounded(FT.add_rolling_median_std(prepared_panel(spark, sf, "H"), 168))
 
 
 ZSCORE_SQL = f"""
@@ -111,7 +111,7 @@ zs AS (SELECT unique_id, ds, pos, score AS rolling_z_score, coalesce(abs(score)
 WITH {panel_sql('H')}, {ZSCORE_SQL}
 SELECT unique_id, ds, pos, {R('rolling_z_score')}, rolling_z_anomaly FROM zs""")
 def q_zscore(spark, sf):
-    return rounded(N.rolling_zscore(panel(spark, sf, "H")))
+    return rounded(N.rolling_zscore(prepared_panel(spark, sf, "H")))
 
 
 # ---------------------------------------------------------------- A-8, A-9, J-2, N-2
@@ -131,14 +131,14 @@ iq AS (SELECT s.unique_id, s.ds, s.pos, s.seasonal_expected, s.r AS seasonal_iqr
 WITH {panel_sql('H')}, {IQR_SQL}
 SELECT unique_id, CAST(how AS BIGINT) AS hour_of_week, {R('seasonal_expected')} FROM prof""")
 def q_how_profile(spark, sf):
-    return rounded(N.hour_of_week_profile(panel(spark, sf, "H")))
+    return rounded(N.hour_of_week_profile(prepared_panel(spark, sf, "H")))
 
 
 @register("anomaly_seasonal_iqr", f"""
 WITH {panel_sql('H')}, {IQR_SQL}
 SELECT unique_id, ds, pos, {R('seasonal_expected seasonal_iqr_score')}, seasonal_iqr_anomaly FROM iq""")
 def q_iqr(spark, sf):
-    return rounded(N.seasonal_iqr(panel(spark, sf, "H")))
+    return rounded(N.seasonal_iqr(prepared_panel(spark, sf, "H")))
 
 
 # ---------------------------------------------------------------- N-5, A-10 (rule detectors)
@@ -158,7 +158,7 @@ SELECT unique_id, ds, pos, {R('y rolling_z_score seasonal_expected seasonal_iqr_
 FROM comb""")
 def q_combined(spark, sf):
     """N-5 with the two rule detectors (isolation forest is a separate R check)."""
-    out = N.combine(panel(spark, sf, "H"), AnomalyConfig())
+    out = N.combine(prepared_panel(spark, sf, "H"), AnomalyConfig())
     return rounded(out.select("unique_id", "ds", "pos", "y", "rolling_z_score", "seasonal_expected",
                               "seasonal_iqr_score", "rolling_z_anomaly", "seasonal_iqr_anomaly",
                               F.col("anomaly_votes").cast("bigint").alias("anomaly_votes"), "selected_anomaly"))
@@ -171,7 +171,7 @@ SELECT unique_id, method, CAST(anomalies AS BIGINT) AS anomalies, round(anomalie
   UNION ALL SELECT unique_id, 'seasonal_iqr', count(*) FILTER (WHERE seasonal_iqr_anomaly), count(*) FROM comb GROUP BY 1
   UNION ALL SELECT unique_id, 'selected_method', count(*) FILTER (WHERE seasonal_iqr_anomaly), count(*) FROM comb GROUP BY 1)""")
 def q_summary_rules(spark, sf):
-    comb = N.combine(panel(spark, sf, "H"), AnomalyConfig())
+    comb = N.combine(prepared_panel(spark, sf, "H"), AnomalyConfig())
     methods = {k: v for k, v in N.FLAG_COLUMNS.items() if k != "isolation_forest"}
     return N.summary(comb, methods)
 
@@ -188,7 +188,7 @@ SELECT unique_id, ds, pos, {R('y')},
   CAST(hour(ds) AS BIGINT) AS hour, CAST(isodow(ds) - 1 AS BIGINT) AS dayofweek, CAST(month(ds) AS BIGINT) AS month
 FROM panel""")
 def q_isolation_features(spark, sf):
-    return rounded(FT.isolation_features(panel(spark, sf, "H")))
+    return rounded(FT.isolation_features(prepared_panel(spark, sf, "H")))
 
 
 @register("short_lag_features", f"""
@@ -208,4 +208,4 @@ FROM f WHERE y IS NOT NULL AND lag_14 IS NOT NULL AND rolling_std_30 IS NOT NULL
   AND rolling_std_7 IS NOT NULL AND rolling_mean_30 IS NOT NULL""")
 def q_short_lags(spark, sf):
     """W-10 on the daily lineitem panel."""
-    return rounded(FT.short_lag_features(panel(spark, sf, "L")))
+    return rounded(FT.short_lag_features(prepared_panel(spark, sf, "L")))

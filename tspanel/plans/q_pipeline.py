@@ -7,7 +7,7 @@ import re
 from tspanel.plans import pipelines as PL
 from tspanel.plans.registry import R, register, rnd
 from tspanel.plans.util import rounded
-from tspanel.sources.panels import panel, panel_sql
+from tspanel.sources.panels import panel, panel_sql, prepared_panel
 
 
 # ============================================================ R-1, R-3, R-5 (+ W-0)
@@ -80,7 +80,7 @@ SELECT unique_id, CAST(row_number() OVER (PARTITION BY unique_id ORDER BY smape
        model, {R('mae rmse mape smape mase')}
 FROM lb""")
 def q_pipeline_leaderboard(spark, sf):
-    _, _, board = PL.pipeline_backtest(panel(spark, sf, "H"))
+    _, _, board = PL.pipeline_backtest(prepared_panel(spark, sf, "H"))
     return rounded(board)
 
 
@@ -88,7 +88,7 @@ def q_pipeline_leaderboard(spark, sf):
 WITH {panel_sql('H')}, {PIPELINE_CTES}
 SELECT unique_id, win AS "window", CAST(h AS BIGINT) AS horizon, ds, model, {R('y y_pred residual')} FROM preds""")
 def q_pipeline_predictions(spark, sf):
-    preds, _, _ = PL.pipeline_backtest(panel(spark, sf, "H"))
+    preds, _, _ = PL.pipeline_backtest(prepared_panel(spark, sf, "H"))
     return rounded(preds.select("unique_id", "window", "horizon", "ds", "model", "y", "y_pred", "residual"))
 
 
@@ -96,5 +96,5 @@ def q_pipeline_predictions(spark, sf):
 WITH {panel_sql('H')}, {PIPELINE_CTES}
 SELECT unique_id, model, win AS "window", {R('mae rmse mape smape mase')} FROM bw2""")
 def q_pipeline_by_window(spark, sf):
-    _, bw, _ = PL.pipeline_backtest(panel(spark, sf, "H"))
+    _, bw, _ = PL.pipeline_backtest(prepared_panel(spark, sf, "H"))
     return rounded(bw.select("unique_id", "model", "window", "mae", "rmse", "mape", "smape", "mase"))

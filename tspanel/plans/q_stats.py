@@ -16,7 +16,7 @@ from tspanel.plans import pipelines as PL
 from tspanel.plans.q_pipeline import pipeline_ctes
 from tspanel.plans.registry import R, register, rnd
 from tspanel.plans.util import rounded
-from tspanel.sources.panels import panel, panel_sql
+from tspanel.sources.panels import panel, panel_sql, prepared_panel
 
 CAP = 35040
 
@@ -101,7 +101,7 @@ lb AS (SELECT *, row_number() OVER (PARTITION BY unique_id ORDER BY smape ASC NU
 
 
 def _stat_backtest(spark, sf):
-    return PL.statistical_backtest(panel(spark, sf, "H"), BacktestConfig())
+    return PL.statistical_backtest(prepared_panel(spark, sf, "H"), BacktestConfig())
 
 
 # ---------------------------------------------------------------- F-10
@@ -111,7 +111,7 @@ WITH {panel_sql('H')}, cuts AS ({BACKTEST_CUTS})
 SELECT c.unique_id, c.win AS "window", c.cut, p.ds AS cutoff FROM cuts c
 JOIN panel p ON p.unique_id = c.unique_id AND p.pos = c.cut""")
 def q_cutoffs(spark, sf):
-    p = panel(spark, sf, "H")
+    p = prepared_panel(spark, sf, "H")
     c = B.backtest_cutoffs(p, 24, 3, 24)
     return rounded(PL.with_cutoff_ds(c, p).select("unique_id", "window", "cut", "cutoff"))
 
@@ -220,7 +220,7 @@ SELECT f.unique_id, p.ds + to_hours(CAST(f.h AS BIGINT)) AS ds, CAST(f.h AS BIGI
        {R('y_pred lower_80 upper_80 lower_95 upper_95')}
 FROM fc f JOIN panel p ON p.unique_id = f.unique_id AND p.pos = f.cut""")
 def q_final_forecast(spark, sf):
-    fc = PL.statistical_forecast(panel(spark, sf, "H"))
+    fc = PL.statistical_forecast(prepared_panel(spark, sf, "H"))
     return rounded(fc.select("unique_id", "ds", "horizon", "model", "y_pred", "lower_80", "upper_80", "lower_95", "upper_95"))
 
 
@@ -238,7 +238,7 @@ SELECT s.unique_id, l.ds + to_hours(CAST(s.h AS BIGINT)) AS ds, CAST(s.h AS BIGI
 FROM steps s LEFT JOIN how USING (unique_id, h) LEFT JOIN fb USING (unique_id) JOIN lastp l USING (unique_id)""")
 def q_pipeline_forecast(spark, sf):
     """F-12 of the final pipeline (hour-of-week average past the end)."""
-    return rounded(PL.pipeline_forecast(panel(spark, sf, "H")))
+    return rounded(PL.pipeline_forecast(prepared_panel(spark, sf, "H")))
 
 
 # ---------------------------------------------------------------- M-1, M-2
@@ -249,7 +249,7 @@ SELECT f.unique_id, p.ds + to_hours(CAST(f.h AS BIGINT)) AS ds, f.model, {rnd('f
 FROM fc f JOIN panel p ON p.unique_id = f.unique_id AND p.pos = f.cut""")
 def q_melt(spark, sf):
     """M-1: forecasts pivoted wide (one column per model) and melted back."""
-    fc = PL.statistical_forecast(panel(spark, sf, "H"))
+    fc = PL.statistical_forecast(prepared_panel(spark, sf, "H"))
     models = list(B.BASELINE_MODELS)
     wide = fc.groupBy("unique_id", "ds").pivot("model", models).agg(F.first("y_pred"))
     return rounded(E.melt_forecasts(wide, ["unique_id", "ds"]).select("unique_id", "ds", "model", "y_pred"))
@@ -262,7 +262,7 @@ SELECT f.unique_id, p.ds + to_hours(CAST(f.h AS BIGINT)) AS ds, f.model,
 FROM fc f JOIN panel p ON p.unique_id = f.unique_id AND p.pos = f.cut""")
 def q_intervals(spark, sf):
     """M-2: ``<model>``, ``<model>-lo-80`` … columns split back into long rows."""
-    fc = PL.statistical_forecast(panel(spark, sf, "H"))
+    fc = PL.statistical_forecast(prepared_panel(spark, sf, "H"))
     parts = []
     for kind, suffix in (("y_pred", ""), ("lower_80", "-lo-80"), ("upper_80", "-hi-80"),
                          ("lower_95", "-lo-95"), ("upper_95", "-hi-95")):
@@ -307,7 +307,7 @@ SELECT unique_id, CAST(row_number() OVER (PARTITION BY unique_id ORDER BY smape
 FROM u WHERE smape IS NOT NULL""")
 def q_combined_lb(spark, sf):
     """E-9: statistical and pipeline leaderboards re-ranked together."""
-    p = panel(spark, sf, "H")
+    p = prepared_panel(spark, sf, "H")
     _, _, lb = PL.statistical_backtest(p)
     _, _, plb = PL.pipeline_backtest(p)
     out = E.combine_leaderboards(lb.withColumn("group", F.lit("statistical")), plb.withColumn("group", F.lit("pipeline")))
@@ -336,7 +336,7 @@ FROM pr JOIN ins USING (unique_id) GROUP BY 1, 2""")
 def q_baseline_comparison(spark, sf):
     """E-10: naive vs seasonal naive on a held-out tail of
     ``min(168, max(24, n // 5))`` rows, first 24 test rows scored."""
-    p = panel(spark, sf, "H")
+    p = prepared_panel(spark, sf, "H")
     from tspanel.operators.prepare import series_length
     n = F.col("n")
     cuts = series_length(p).select("unique_id", F.lit(1).alias("window"),
@@ -384,7 +384,7 @@ UNION ALL SELECT unique_id, 'ljung_box_lag_' || CAST(lag AS VARCHAR), {rnd('stat
 UNION ALL SELECT unique_id, 'paired_ttest_vs_seasonal_naive_168', {rnd('stat')} FROM pt WHERE n >= 10""")
 def q_pipe_test_stats(spark, sf):
     """D-4..D-6 statistics of the final pipeline (p-values in the R query)."""
-    preds, _, _ = PL.pipeline_backtest(panel(spark, sf, "H"))
+    preds, _, _ = PL.pipeline_backtest(prepared_panel(spark, sf, "H"))
     t = D.pipeline_tests(preds, with_pvalues=False)
     return rounded(t.select("unique_id", "test", "statistic"))
 
@@ -392,5 +392,5 @@ def q_pipe_test_stats(spark, sf):
 @register("pipeline_statistical_tests")
 def q_pipe_tests(spark, sf):
     """D-4..D-6 with p-values (incomplete beta / gamma) and pass/warn status."""
-    preds, _, _ = PL.pipeline_backtest(panel(spark, sf, "H"))
+    preds, _, _ = PL.pipeline_backtest(prepared_panel(spark, sf, "H"))
     return rounded(D.pipeline_tests(preds))

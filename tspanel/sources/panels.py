@@ -143,3 +143,19 @@ raw AS (
   SELECT ds, CASE WHEN isnan(gap) THEN NULL ELSE gap END AS "Global_active_power",
          CASE WHEN isnan(sm1) THEN NULL ELSE sm1 END AS "Sub_metering_1"
   FROM raw_typed QUALIFY row_number() OVER (PARTITION BY ds ORDER BY rn) = 1)"""
+
+
+_PREPARED: dict[tuple, DataFrame] = {}
+
+
+def prepared_panel(spark: SparkSession, sf_dir: str, key: str = "H", fill: str = "time") -> DataFrame:
+    """The regular panel written once per application as a reliable checkpoint
+    (in ``spark.checkpoint.dir``), the counterpart of the prepared-series table
+    every later stage reads. Cuts the lineage of the grid / fill plan."""
+    from tspanel.session import ensure_checkpoint_dir
+
+    memo = (spark.sparkContext.applicationId, sf_dir, key, fill)
+    if memo not in _PREPARED:
+        ensure_checkpoint_dir(spark)
+        _PREPARED[memo] = panel(spark, sf_dir, key, fill).checkpoint(eager=True)
+    return _PREPARED[memo]
