@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -95,20 +96,27 @@ def _assembler(config: FeatureConfig) -> VectorAssembler:
     return VectorAssembler(inputCols=feature_names(config), outputCol="features")
 
 
-def fit_models(train: DataFrame, windows: list[int], models: list[str], config: FeatureConfig) -> dict:
-    """Fit one pipeline per (model, window). The loop is over the handful of
-    windows × models; every fit is a distributed MLlib job."""
-    fitted = {}
-    for w in windows:
+def fit_models(train: DataFrame, windows: list[int], models: list[str], config: FeatureConfig,
+               parallel: int = 4) -> dict:
+    """Fit one pipeline per (model, window). Every fit is a distributed MLlib
+    job; the handful of independent fits are submitted from a few driver
+    threads so their jobs run concurrently."""
+    stats = {r["window"]: (float(r["s"] or 0.0), int(r["n"])) for r in
+             train.groupBy("window").agg(F.stddev_pop("y").alias("s"), F.count(F.lit(1)).alias("n")).collect()}
+
+    def fit(key):
+        name, w = key
         part = train.filter(F.col("window") == w)
-        stats = part.agg(F.stddev_pop("y").alias("s"), F.count(F.lit(1)).alias("n")).first()
-        for name in models:
-            if name == "ridge_regression":
-                est = ridge(1.0, float(stats["s"] or 0.0) / max(int(stats["n"]), 1))
-            else:
-                est = MODEL_REGISTRY[name]()
-            fitted[(name, w)] = Pipeline(stages=[_assembler(config), est]).fit(part)
-    return fitted
+        if name == "ridge_regression":
+            s, n = stats.get(w, (0.0, 1))
+            est = ridge(1.0, s / max(n, 1))
+        else:
+            est = MODEL_REGISTRY[name]()
+        return key, Pipeline(stages=[_assembler(config), est]).fit(part)
+
+    keys = [(m, w) for w in windows for m in models]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(keys)))) as pool:
+        return dict(pool.map(fit, keys))
 
 
 # ---------------------------------------------------------------- recursive prediction (F-20)
@@ -249,7 +257,8 @@ def ml_forecasts(panel: DataFrame, cutoffs: DataFrame, models: list[str] | None
     """F-19 + F-20 for every (model, series, window)."""
     models = models or list(MODEL_REGISTRY)
     feats = forecast_features(panel.select("unique_id", "ds", "y", "pos"), config)
-    train = training_rows(feats, cutoffs, config)
+    ensure_checkpoint_dir(panel.sparkSession)
+    train = training_rows(feats, cutoffs, config).checkpoint(eager=True)
     windows = sorted(r["window"] for r in cutoffs.select("window").distinct().collect())
     fitted = fit_models(train, windows, models, config)
     keep = max(max(config.lags), max(config.rolling_windows)) + 1
