@@ -21,7 +21,7 @@ from tspanel.config import (DAILY_SEASON, HORIZON, LEVEL_MULTIPLIERS, MAX_TRAIN_
                             RECENT_WEEKS, SCALE_FALLBACK, WEEKLY_SEASON)
 from tspanel.operators import windowing as hw
 from tspanel.operators.prepare import series_length
-from tspanel.operators.ranges import pop_std, range_moments
+from tspanel.operators.ranges import pop_std, range_moments, range_sums
 
 KEYS = ["unique_id", "window", "cut"]
 
@@ -187,30 +187,54 @@ def seasonal_how_average(panel: DataFrame, cutoffs: DataFrame, step_seconds: int
 
 # ---------------------------------------------------------------- residual scale and bands (F-7, F-8)
 
-def residual_scale(panel: DataFrame, cutoffs: DataFrame, season: int = DAILY_SEASON,
-                   max_history: int = MAX_TRAIN_HISTORY) -> DataFrame:
-    """F-7: population std of ``y[t] - y[t-m]`` over the training part; when the
-    part has ``<= m`` values, std of first differences; one value → 0.1.
-    Returns ``unique_id, window, cut, scale`` (raw, before the F-8 fallback)."""
+def train_scales(panel: DataFrame, cutoffs: DataFrame, season: int = DAILY_SEASON,
+                 max_history: int = MAX_TRAIN_HISTORY) -> DataFrame:
+    """Both per-window training statistics in one pass over the series:
+
+    * ``scale`` (F-7): population std of ``y[t] - y[t-m]`` over the (capped)
+      training part; part of length ``<= m`` → std of first differences;
+      one value → 0.1 (raw, before the F-8 fallback);
+    * ``mase_scale`` (E-4): mean ``|y[t] - y[t-m]|`` over the whole training
+      history ``1..cut`` (``<= m`` values → lag 1), floored at 1e-8.
+
+    One halo window yields both differences; one segment aggregation serves
+    the four range families. Returns ``unique_id, window, cut, scale, mase_scale``.
+    """
+    from tspanel.config import EPS
+
     w = hw.series_window()
     diffs = hw.rolling(panel.select("unique_id", "pos", "y"),
-                       {"_ds": F.col("y") - F.lag("y", season).over(w),
+                       {"_dm": F.col("y") - F.lag("y", season).over(w),
                         "_d1": F.col("y") - F.lag("y", 1).over(w)}, behind=season)
     lo = _train_lo(max_history)
-    length = F.col("cut") - lo + 1
-    rng = cutoffs.select(*KEYS, lo.alias("_lo"), length.alias("_len"))
-    seasonal = range_moments(diffs.select("unique_id", "pos", F.col("_ds").alias("v")),
-                             rng.select("unique_id", "window", "cut", (F.col("_lo") + season).alias("lo"),
-                                        F.col("cut").alias("hi")), keys=("window", "cut"))
-    first = range_moments(diffs.select("unique_id", "pos", F.col("_d1").alias("v")),
-                          rng.select("unique_id", "window", "cut", (F.col("_lo") + 1).alias("lo"),
-                                     F.col("cut").alias("hi")), keys=("window", "cut"))
-    out = (rng.join(seasonal.select(*KEYS, pop_std().alias("_s_seas")), KEYS, "left")
-              .join(first.select(*KEYS, pop_std().alias("_s_first")), KEYS, "left"))
-    scale = (F.when(F.col("_len") > season, F.col("_s_seas"))
-              .when(F.col("_len") > 1, F.col("_s_first"))
-              .otherwise(F.lit(SCALE_FALLBACK)))
-    return out.select(*KEYS, scale.alias("scale"))
+    base = cutoffs.select(*KEYS, lo.alias("_lo"))
+    fams = {"seas": (F.col("_lo") + season, F.col("cut")), "first": (F.col("_lo") + 1, F.col("cut")),
+            "mseas": (F.lit(1 + season), F.col("cut")), "mfirst": (F.lit(2), F.col("cut"))}
+    ranges = None
+    for name, (a, b) in fams.items():
+        part = base.select(*KEYS, F.lit(name).alias("fam"), a.cast("long").alias("lo"), b.cast("long").alias("hi"))
+        ranges = part if ranges is None else ranges.unionByName(part)
+    sums = range_sums(diffs.select("unique_id", "pos", "_dm", "_d1"), ranges, ["_dm", "_d1"], keys=("window", "cut", "fam"))
+
+    def pick(fam: str, expr) -> Column:
+        return F.max(F.when(F.col("fam") == fam, expr))
+
+    std_m = pop_std("n__dm", "s__dm", "ss__dm")
+    std_1 = pop_std("n__d1", "s__d1", "ss__d1")
+    wide = sums.groupBy(*KEYS).agg(pick("seas", std_m).alias("_sm"), pick("first", std_1).alias("_s1"),
+                                   pick("mseas", F.col("sa__dm") / F.col("n__dm")).alias("_mm"),
+                                   pick("mfirst", F.col("sa__d1") / F.col("n__d1")).alias("_m1"))
+    out = base.join(wide, KEYS, "left")
+    length = F.col("cut") - F.col("_lo") + 1
+    scale = (F.when(length > season, F.col("_sm")).when(length > 1, F.col("_s1")).otherwise(F.lit(SCALE_FALLBACK)))
+    mase = F.greatest(F.when(F.col("cut") > season, F.col("_mm")).otherwise(F.col("_m1")), F.lit(EPS))
+    return out.select(*KEYS, scale.alias("scale"), mase.alias("mase_scale"))
+
+
+def residual_scale(panel: DataFrame, cutoffs: DataFrame, season: int = DAILY_SEASON,
+                   max_history: int = MAX_TRAIN_HISTORY) -> DataFrame:
+    """F-7 alone: ``unique_id, window, cut, scale``."""
+    return train_scales(panel, cutoffs, season, max_history).drop("mase_scale")
 
 
 def with_bands(forecasts: DataFrame, scales: DataFrame) -> DataFrame:
@@ -246,25 +270,82 @@ def valid_forecasts(forecasts: DataFrame, horizon: int = HORIZON) -> DataFrame:
 
 # ---------------------------------------------------------------- bundles
 
-def baseline_forecasts(panel: DataFrame, cutoffs: DataFrame, horizon: int = HORIZON,
-                       models: Sequence[str] = BASELINE_MODELS, season: int = DAILY_SEASON,
-                       long_season: int = WEEKLY_SEASON, max_history: int = MAX_TRAIN_HISTORY,
-                       bands: bool = True) -> DataFrame:
-    """F-1..F-8 for every (series, window): long table with bands."""
-    builders = {
-        "naive": lambda: naive(panel, cutoffs, horizon),
-        f"seasonal_naive_{season}": lambda: seasonal_naive(panel, cutoffs, season, horizon, max_history),
-        f"seasonal_naive_{long_season}": lambda: seasonal_naive(panel, cutoffs, long_season, horizon, max_history),
-        f"window_average_{long_season}": lambda: window_average(panel, cutoffs, long_season, horizon, max_history),
-        "seasonal_window_average": lambda: seasonal_window_average(panel, cutoffs, season, 7, horizon, max_history),
-        "drift": lambda: drift(panel, cutoffs, horizon, max_history),
-    }
-    parts = [builders[m]() for m in models]
+def _requests(cutoffs: DataFrame, horizon: int, models: Sequence[str], season: int, long_season: int,
+              max_history: int) -> DataFrame:
+    """Every position any selected baseline reads, as one table
+    ``KEYS, model, horizon, _sp`` (horizon 0 = per-window constants)."""
+    lo = _train_lo(max_history)
+    length = F.col("cut") - lo + 1
+    step = F.col("horizon")
+    parts = [cutoffs.select(*KEYS, F.lit("_last").alias("model"), F.lit(0).alias("horizon"), F.col("cut").alias("_sp"))]
+    steps = _steps(cutoffs, horizon)
+    for m in (season, long_season):
+        if f"seasonal_naive_{m}" in models:
+            src = F.when(length < F.lit(m), F.col("cut")).otherwise(F.col("cut") - F.lit(m - 1) + (step - 1) % F.lit(m))
+            parts.append(steps.select(*KEYS, F.lit(f"seasonal_naive_{m}").alias("model"), "horizon", src.alias("_sp")))
+    if f"window_average_{long_season}" in models:
+        wlo = F.greatest(lo, F.col("cut") - F.lit(long_season - 1))
+        parts.append(cutoffs.select(*KEYS, F.lit("_wavg").alias("model"), F.lit(0).alias("horizon"),
+                                    F.explode(F.sequence(wlo, F.col("cut"))).alias("_sp")))
+    if "seasonal_window_average" in models:
+        base = F.col("cut") - F.lit(season - 1) + (step - 1) % F.lit(season)
+        ks = F.filter(F.transform(F.sequence(F.lit(0), F.lit(6)), lambda k: base - k * F.lit(season)),
+                      lambda p: (p >= lo) & (p <= F.col("cut")))
+        parts.append(steps.select(*KEYS, F.lit("seasonal_window_average").alias("model"), "horizon",
+                                  F.explode_outer(ks).alias("_sp")))
+    if "drift" in models:
+        parts.append(cutoffs.select(*KEYS, F.lit("_first").alias("model"), F.lit(0).alias("horizon"), lo.alias("_sp")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    return out
+
+
+def baseline_forecasts(panel: DataFrame, cutoffs: DataFrame, horizon: int = HORIZON,
+                       models: Sequence[str] = BASELINE_MODELS, season: int = DAILY_SEASON,
+                       long_season: int = WEEKLY_SEASON, max_history: int = MAX_TRAIN_HISTORY,
+                       bands: bool = True, scales: DataFrame | None = None) -> DataFrame:
+    """F-1..F-8 for every (series, window): long table with bands.
+
+    All forecasters share ONE lookup: the positions they read form one request
+    table, joined once to the panel on (unique_id, pos) and aggregated once,
+    so the panel is shuffled once whatever the number of models.
+    """
+    req = _requests(cutoffs, horizon, models, season, long_season, max_history)
+    vals = panel.select("unique_id", F.col("pos").alias("_sp"), F.col("y").alias("_v"))
+    agg = (req.join(vals, ["unique_id", "_sp"], "left")
+              .groupBy(*KEYS, "model", "horizon")
+              .agg(F.avg("_v").alias("_m"), F.count("_sp").alias("_c")))
+    consts = (agg.filter(F.col("horizon") == 0).groupBy(*KEYS)
+                 .agg(F.max(F.when(F.col("model") == "_last", F.col("_m"))).alias("_last"),
+                      F.max(F.when(F.col("model") == "_first", F.col("_m"))).alias("_first"),
+                      F.max(F.when(F.col("model") == "_wavg", F.col("_m"))).alias("_wavg")))
+    lo = _train_lo(max_history)
+    length = F.col("cut") - lo + 1
+    slope = F.when(length > 1, (F.col("_last") - F.col("_first")) / (length - 1)).otherwise(F.lit(0.0))
+    const_models = []
+    if "naive" in models:
+        const_models.append(F.struct(F.lit("naive").alias("model"), F.col("_last").alias("y_pred")))
+    if f"window_average_{long_season}" in models:
+        const_models.append(F.struct(F.lit(f"window_average_{long_season}").alias("model"), F.col("_wavg").alias("y_pred")))
+    if "drift" in models:
+        const_models.append(F.struct(F.lit("drift").alias("model"),
+                                     (F.col("_last") + slope * F.col("horizon")).alias("y_pred")))
+    step_rows = (agg.filter(F.col("horizon") > 0).join(consts, KEYS)
+                    .select(*KEYS, "horizon", "model",
+                            F.when((F.col("model") == "seasonal_window_average") & (F.col("_c") == 0), F.col("_last"))
+                             .otherwise(F.col("_m")).alias("y_pred")))
+    out = step_rows
+    if const_models:
+        const_rows = (_steps(cutoffs, horizon).join(consts, KEYS)
+                      .select(*KEYS, "horizon", F.explode(F.array(*const_models)).alias("_r"))
+                      .select(*KEYS, "horizon", "_r.model", "_r.y_pred"))
+        out = out.unionByName(const_rows)
+    out = out.select(*KEYS, "horizon", "model", "y_pred")
     if bands:
-        return with_bands(out, residual_scale(panel, cutoffs, season, max_history))
+        if scales is None:
+            scales = residual_scale(panel, cutoffs, season, max_history)
+        return with_bands(out, scales.select(*KEYS, "scale"))
     return no_bands(out)
 
 

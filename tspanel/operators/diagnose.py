@@ -29,26 +29,27 @@ def residual_sequence(preds: DataFrame, keys: tuple[str, ...] = ("unique_id", "m
                  .withColumn("seq", F.row_number().over(w)))
 
 
-def ljung_box_sums(res: DataFrame, max_lag: int, keys: tuple[str, ...] = ("unique_id", "model"),
-                   value: str = "residual") -> DataFrame:
-    """Biased ACF numerators r_k for k = 1..max_lag plus n and the variance sum."""
-    w = Window.partitionBy(*keys).orderBy("seq")
+def ljung_box(res: DataFrame, max_lag: int, lag: Column | None = None,
+              keys: tuple[str, ...] = ("unique_id", "model"), value: str = "residual") -> DataFrame:
+    """Ljung-Box ``Q = n(n+2) Σ_{k≤lag} r_k² / (n-k)`` with the biased ACF r_k.
+
+    Long format: the residual table (bounded: windows × horizon rows per key)
+    is joined to itself on ``seq - k`` for k = 0..max_lag, so the plan stays
+    small whatever the lag. ``lag`` may be an expression of ``n`` (default
+    ``max_lag``). Returns ``*keys, n, lag, q``."""
     mean = F.avg(value).over(Window.partitionBy(*keys))
-    d = res.filter(F.col(value).isNotNull()).withColumn("_e", F.col(value) - mean)
-    d = d.withColumns({f"_p{k}": F.col("_e") * F.lag("_e", k).over(w) for k in range(1, max_lag + 1)})
-    aggs = [F.count("_e").alias("n"), F.sum(F.col("_e") * F.col("_e")).alias("_c0")]
-    aggs += [F.sum(f"_p{k}").alias(f"_c{k}") for k in range(1, max_lag + 1)]
-    return d.groupBy(*keys).agg(*aggs)
-
-
-def ljung_box_q(n: Column, lag: int) -> Column:
-    """``Q = n(n+2) Σ_{k≤lag} r_k² / (n-k)`` from the ``_c*`` sums."""
-    nn = n.cast("double")
-    total = F.lit(0.0)
-    for k in range(1, lag + 1):
-        r = F.col(f"_c{k}") / F.col("_c0")
-        total = total + r * r / (nn - F.lit(k))
-    return nn * (nn + F.lit(2.0)) * total
+    d = res.filter(F.col(value).isNotNull()).select(*keys, "seq", (F.col(value) - mean).alias("_e"))
+    lags = d.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(max_lag)))).withColumn("_s2", F.col("seq") - F.col("k"))
+    other = d.select(*keys, F.col("seq").alias("_s2"), F.col("_e").alias("_e2"))
+    c = lags.join(other, [*keys, "_s2"]).groupBy(*keys, "k").agg(F.sum(F.col("_e") * F.col("_e2")).alias("_c"))
+    n = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    c0 = c.filter(F.col("k") == 0).select(*keys, F.col("_c").alias("_c0"))
+    lag_expr = F.lit(max_lag) if lag is None else lag
+    nn = F.col("n").cast("double")
+    r = F.col("_c") / F.col("_c0")
+    term = F.when((F.col("k") >= 1) & (F.col("k") <= F.col("lag")), r * r / (nn - F.col("k")))
+    return (c.join(c0, list(keys)).join(n.withColumn("lag", lag_expr.cast("int")), list(keys))
+             .groupBy(*keys, "n", "lag").agg((nn * (nn + F.lit(2.0)) * F.sum(term)).alias("q")))
 
 
 def residual_diagnostics(preds: DataFrame, best: DataFrame, lag: int = 24) -> DataFrame:
@@ -69,8 +70,8 @@ def residual_diagnostics(preds: DataFrame, best: DataFrame, lag: int = 24) -> Da
         F.avg(r).alias("residual_mean"), F.stddev_pop(r).alias("residual_std"), F.avg(F.abs(r)).alias("residual_mae"),
         F.percentile(r, 0.5).alias("residual_median"), F.corr(r, F.col("_prev")).alias("residual_lag1_autocorr"),
         cover(80).alias("coverage_80"), cover(95).alias("coverage_95"))
-    lb = ljung_box_sums(res, lag)
-    q = ljung_box_q(F.col("n"), lag)
+    lb = ljung_box(res, lag)
+    q = F.col("q")
     lbp = lb.select("unique_id", "model", F.when(F.col("n") > lag, SM.chi2_sf_even_expr(q, lag) if lag % 2 == 0
                                                   else SM.chi2_sf_col(q, F.lit(float(lag)))).alias("ljung_box_pvalue"))
     return base.join(lbp, ["unique_id", "model"], "left")
@@ -91,10 +92,9 @@ def pipeline_tests(preds: DataFrame, final_model: str = "seasonal_how_average",
     bias = bias.withColumn("statistic", F.col("_m") / (F.col("_s") / F.sqrt(F.col("n"))))
 
     max_lag = 24
-    lb = ljung_box_sums(fin, max_lag, keys=("unique_id",))
-    lagc = F.least(F.lit(max_lag), F.greatest(F.lit(1), F.floor(F.col("n") / 3))).cast("int")
-    qs = [F.when(lagc == k, ljung_box_q(F.col("n"), k)) for k in range(1, max_lag + 1)]
-    lb = lb.withColumn("_lag", lagc).withColumn("statistic", F.coalesce(*qs))
+    lagc = F.least(F.lit(max_lag), F.greatest(F.lit(1), F.floor(F.col("n") / 3)))
+    lb = (ljung_box(fin, max_lag, lagc, keys=("unique_id",))
+          .withColumnRenamed("lag", "_lag").withColumnRenamed("q", "statistic"))
 
     fa = fin.select("unique_id", "window", "horizon", F.abs("residual").alias("_a"))
     ba = base.select("unique_id", "window", "horizon", F.abs("residual").alias("_b"))

@@ -49,3 +49,30 @@ def pop_std(cnt: str = "cnt", s: str = "s", ss: str = "ss"):
     mean = F.col(s) / n
     var = F.greatest(F.col(ss) / n - mean * mean, F.lit(0.0))
     return F.when(F.col(cnt) > 0, F.sqrt(var))
+
+
+def range_sums(values: DataFrame, ranges: DataFrame, value_cols: list[str],
+               keys: tuple[str, ...] = ("window",)) -> DataFrame:
+    """Like ``range_moments`` for several value columns in one pass: returns
+    ``unique_id, *keys, n_<v>, s_<v>, ss_<v>, sa_<v>`` for each value column.
+    Ranges of different families can share the table (add a family key)."""
+    borders = (ranges.select("unique_id", F.explode(F.array(F.col("lo"), F.col("hi") + 1)).alias("b"))
+                     .groupBy("unique_id").agg(F.array_sort(F.collect_set("b")).alias("_bs")))
+    aggs = []
+    for v in value_cols:
+        c = F.col(v)
+        aggs += [F.count(c).alias(f"n_{v}"), F.sum(c).alias(f"s_{v}"), F.sum(c * c).alias(f"ss_{v}"),
+                 F.sum(F.abs(c)).alias(f"sa_{v}")]
+    seg = (values.join(borders, "unique_id")
+                 .withColumn("_seg", F.size(F.filter("_bs", lambda x: x <= F.col("pos"))))
+                 .filter((F.col("_seg") > 0) & (F.col("_seg") < F.size("_bs")))
+                 .withColumn("_lo", F.element_at("_bs", F.col("_seg")))
+                 .withColumn("_hi", F.element_at("_bs", F.col("_seg") + 1) - 1)
+                 .groupBy("unique_id", "_lo", "_hi").agg(*aggs))
+    joined = ranges.join(seg, "unique_id").filter((F.col("_lo") >= F.col("lo")) & (F.col("_hi") <= F.col("hi")))
+    outs = []
+    for v in value_cols:
+        outs += [F.sum(f"n_{v}").alias(f"n_{v}"), F.sum(f"s_{v}").alias(f"s_{v}"),
+                 F.sum(f"ss_{v}").alias(f"ss_{v}"), F.sum(f"sa_{v}").alias(f"sa_{v}")]
+    out = joined.groupBy("unique_id", *keys).agg(*outs)
+    return ranges.select("unique_id", *keys).join(out, ["unique_id", *keys], "left")

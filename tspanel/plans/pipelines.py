@@ -14,20 +14,31 @@ from tspanel.operators import baselines as B
 from tspanel.operators import evaluate as E
 from tspanel.operators import prepare as P
 from tspanel.operators import profile as A
+from tspanel.session import ensure_checkpoint_dir
 
 NO_CAP = 10 ** 15
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write an intermediate table to the shared checkpoint folder (reliable
+    checkpoint) so later stages read it instead of re-planning its lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def pipeline_backtest(panel: DataFrame, horizon: int = HORIZON, windows: int = PIPELINE_WINDOWS,
                       step_seconds: int = 3600, season: int = DAILY_SEASON,
-                      long_season: int = WEEKLY_SEASON) -> tuple[DataFrame, DataFrame, DataFrame]:
+                      long_season: int = WEEKLY_SEASON, keep: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """F-11: hour-of-week average (F-5) and seasonal naive (F-2) over the
     pipeline windows, scored with the masked metrics and the whole-series
-    MASE scale (E-5, E-6). Returns (predictions, metrics by window, leaderboard)."""
+    MASE scale (E-5, E-6). Returns (predictions, metrics by window, leaderboard);
+    with ``keep`` the predictions table is materialised once."""
     cuts = B.pipeline_cutoffs(panel, horizon, windows, long_season)
     how = B.seasonal_how_average(panel, cuts, step_seconds, horizon)
     snaive = B.seasonal_naive(panel, cuts, long_season, horizon, max_history=NO_CAP)
     preds = B.attach_actuals(how.unionByName(snaive), panel)
+    if keep:
+        preds = materialize(preds)
     by_window = E.metrics_by_window(preds, E.full_series_scale(panel, season), form="masked")
     return preds, by_window, E.leaderboard(by_window)
 
@@ -61,17 +72,23 @@ def with_cutoff_ds(df: DataFrame, panel: DataFrame) -> DataFrame:
 
 def statistical_backtest(panel: DataFrame, cfg: BacktestConfig = BacktestConfig(),
                          models=B.BASELINE_MODELS, long_season: int = WEEKLY_SEASON,
-                         extra=None) -> tuple[DataFrame, DataFrame, DataFrame]:
+                         extra=None, keep: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """PIPE-3 backtest: F-10 cutoffs → baselines with bands (+ optional fleet
     forecasts from ``extra(panel, cutoffs)``) → P-12 → actuals → clamped
     metrics with the in-sample MASE scale → leaderboard."""
     cuts = B.backtest_cutoffs(panel, cfg.horizon, cfg.n_windows, cfg.step, cfg.min_history)
-    fc = B.baseline_forecasts(panel, cuts, cfg.horizon, models, cfg.season, long_season, cfg.max_history)
+    scales = B.train_scales(panel, cuts, cfg.season, cfg.max_history)
+    fc = B.baseline_forecasts(panel, cuts, cfg.horizon, models, cfg.season, long_season, cfg.max_history,
+                              scales=scales)
     if extra is not None:
         fc = fc.unionByName(extra(panel, cuts), allowMissingColumns=True)
     fc = B.valid_forecasts(fc, cfg.horizon)
     preds = with_cutoff_ds(B.attach_actuals(fc, panel), panel).withColumn("group", F.lit("statistical"))
-    by_window = E.metrics_by_window(preds, E.insample_scale(panel, cuts, cfg.season), "clamped")
+    if keep:
+        preds = materialize(preds.join(scales.select("unique_id", "window", "mase_scale"), ["unique_id", "window"], "left"))
+        scales = preds.select("unique_id", "window", "mase_scale").distinct()
+        preds = preds.drop("mase_scale")
+    by_window = E.metrics_by_window(preds, scales.select("unique_id", "window", "mase_scale"), "clamped")
     return preds, by_window, E.leaderboard(by_window)
 
 
