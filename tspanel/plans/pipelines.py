@@ -101,3 +101,87 @@ def statistical_forecast(panel: DataFrame, cfg: BacktestConfig = BacktestConfig(
         fc = fc.unionByName(extra(panel, cuts), allowMissingColumns=True)
     fc = B.valid_forecasts(fc, cfg.horizon)
     return B.future_timestamps(fc, panel, step_seconds)
+
+
+def eda_bundle(panel: DataFrame, season: int = DAILY_SEASON) -> dict[str, DataFrame]:
+    """PIPE-2: quality, describe, seasonal profiles, rolling means, decomposition,
+    ACF / PACF and stationarity tests of a prepared panel."""
+    from tspanel.operators import diagnose as D
+    from tspanel.operators import features as FT
+
+    acf = D.acf(panel, 72, 10_000)
+    return {
+        "quality": A.quality_report(panel.drop("pos")),
+        "descriptive_stats": A.describe(panel),
+        "profiles": A.seasonal_profiles(panel),
+        "rolling_means": FT.add_rolling_means(panel, (season, WEEKLY_SEASON)),
+        "decomposition": D.decompose(panel, season, season * 90),
+        "acf": acf,
+        "pacf": D.pacf_from_acf(acf),
+        "stationarity": D.stationarity_tests(panel, 10_000),
+    }
+
+
+def anomaly_analysis(panel: DataFrame, config=None) -> dict[str, DataFrame]:
+    """PIPE-5: three detectors, combined flags and the summary table."""
+    from tspanel.config import AnomalyConfig
+    from tspanel.operators import anomaly as N
+    from tspanel.operators.isolation import isolation_forest
+
+    cfg = config or AnomalyConfig()
+    combined = materialize(N.combine(panel, cfg, isolation=isolation_forest(panel, cfg)))
+    return {"anomalies": combined, "summary": N.summary(combined)}
+
+
+def data_driven_analysis(panel: DataFrame, models=None, step_seconds: int = 3600) -> dict[str, DataFrame]:
+    """PIPE-4: ML models (F-19/F-20) and the direct-window model (F-21) over the
+    backtest windows, their leaderboards, the combined re-ranked table and the
+    final 24-step forecasts."""
+    from tspanel.operators import ml as ML
+
+    cfg = BacktestConfig()
+    cuts = B.backtest_cutoffs(panel, cfg.horizon, cfg.n_windows, cfg.step, cfg.min_history)
+    scale = E.insample_scale(panel, cuts, cfg.season)
+    ml = materialize(with_cutoff_ds(B.attach_actuals(ML.ml_forecasts(panel, cuts, models, step_seconds=step_seconds),
+                                                     panel), panel).withColumn("group", F.lit("ML")))
+    dl = materialize(with_cutoff_ds(B.attach_actuals(ML.direct_window_forecasts(panel, cuts), panel), panel)
+                     .withColumn("group", F.lit("DL")))
+    ml_board = E.leaderboard(E.metrics_by_window(ml, scale, "clamped")).withColumn("group", F.lit("ML"))
+    dl_board = E.leaderboard(E.metrics_by_window(dl, scale, "clamped")).withColumn("group", F.lit("DL"))
+    final = B.final_cutoffs(panel)
+    forecasts = B.future_timestamps(ML.ml_forecasts(panel, final, models, step_seconds=step_seconds), panel, step_seconds)
+    return {"ml_predictions": ml, "dl_predictions": dl, "ml_leaderboard": ml_board, "dl_leaderboard": dl_board,
+            "combined": E.combine_leaderboards(ml_board, dl_board), "forecasts": forecasts}
+
+
+def statistical_analysis(panel: DataFrame, with_fleet: bool = True, step_seconds: int = 3600) -> dict[str, DataFrame]:
+    """PIPE-3: every statistical model backtested, ranked, selected, diagnosed
+    and refitted for the final forecast."""
+    from tspanel.operators import diagnose as D
+    from tspanel.operators import fleet as FL
+
+    extra = (lambda p, c: FL.fleet_forecasts(p, c).drop("error")) if with_fleet else None
+    preds, by_window, board = statistical_backtest(panel, extra=extra)
+    return {"predictions": preds, "metrics_by_window": by_window, "leaderboard": board,
+            "selection": E.selection_table(board),
+            "diagnostics": D.residual_diagnostics(preds, E.best_model(board)),
+            "forecast": statistical_forecast(panel, step_seconds=step_seconds, extra=extra)}
+
+
+def run_pipeline(panel: DataFrame, out_dir: str | None = None, boards: list[DataFrame] | None = None,
+                 step_seconds: int = 3600, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """PIPE-6: validate → rank the available leaderboards → pipeline backtest →
+    forecast → statistical tests → table sinks (S-8) under ``out_dir``."""
+    from tspanel.operators import diagnose as D
+    from tspanel.sources.readers import write_table
+
+    tests = A.validate_series(panel.drop("pos"), step_seconds)
+    preds, by_window, board = pipeline_backtest(panel, step_seconds=step_seconds)
+    ranked = E.combine_leaderboards(*boards) if boards else board
+    out = {"validation": tests, "model_ranking": ranked, "backtest_predictions": preds,
+           "backtest_metrics": board, "forecast": pipeline_forecast(panel, step_seconds=step_seconds),
+           "statistical_tests": D.pipeline_tests(preds)}
+    if out_dir:
+        for name, df in out.items():
+            write_table(df, f"{out_dir}/{name}", fmt, partition_by=())
+    return out
