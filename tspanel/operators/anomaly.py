@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tspanel.config import AnomalyConfig
 from tspanel.operators import features as FT
 from tspanel.operators.prepare import flag_or_false, zero_to_null
+from tspanel.operators.quantiles import exact_quantiles
 
 FLAG_COLUMNS = {"rolling_z_score": "rolling_z_anomaly", "seasonal_iqr": "seasonal_iqr_anomaly",
                 "isolation_forest": "isolation_anomaly", "selected_method": "selected_anomaly"}
@@ -30,8 +31,9 @@ def rolling_zscore(panel: DataFrame, config: AnomalyConfig = AnomalyConfig()) ->
 
 def hour_of_week_profile(panel: DataFrame) -> DataFrame:
     """A-8: median ``y`` per (series, hour of week)."""
-    return (panel.withColumn("hour_of_week", FT.hour_of_week())
-                 .groupBy("unique_id", "hour_of_week").agg(F.percentile("y", 0.5).alias("seasonal_expected")))
+    d = panel.withColumn("hour_of_week", FT.hour_of_week())
+    return exact_quantiles(d, ["unique_id", "hour_of_week"], "y", [0.5], out="_q").withColumnRenamed(
+        "_q_0", "seasonal_expected")
 
 
 def seasonal_iqr(panel: DataFrame, config: AnomalyConfig = AnomalyConfig()) -> DataFrame:
@@ -41,9 +43,9 @@ def seasonal_iqr(panel: DataFrame, config: AnomalyConfig = AnomalyConfig()) -> D
     d = (panel.select("unique_id", "ds", "pos", "y").withColumn("hour_of_week", FT.hour_of_week())
               .join(prof, ["unique_id", "hour_of_week"], "left")
               .withColumn("seasonal_iqr_score", F.col("y") - F.col("seasonal_expected")))
-    q = d.groupBy("unique_id").agg(F.percentile("seasonal_iqr_score", [0.25, 0.75]).alias("_q"))
+    q = exact_quantiles(d, ["unique_id"], "seasonal_iqr_score", [0.25, 0.75], out="_q")
     k = F.lit(config.iqr_multiplier)
-    q1, q3 = F.col("_q")[0], F.col("_q")[1]
+    q1, q3 = F.col("_q_0"), F.col("_q_1")
     lower, upper = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
     r = F.col("seasonal_iqr_score")
     return (d.join(q, "unique_id", "left")

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tspanel.config import AnomalyConfig
 from tspanel.operators.features import ISOLATION_FEATURES, isolation_features
+from tspanel.operators.quantiles import exact_quantiles
 from tspanel.operators.windowing import bucket_of
 
 EULER = 0.5772156649015329
@@ -139,7 +140,7 @@ def isolation_forest(panel: DataFrame, config: AnomalyConfig = AnomalyConfig(),
               .cogroup(forest_blocks.groupBy("unique_id", "_blk"))
               .applyInPandas(score_fn, "unique_id string, pos long, _s double"))
     q = 1.0 - config.isolation_contamination
-    thr = scored.groupBy("unique_id").agg(F.percentile("_s", q).alias("_thr"))
+    thr = exact_quantiles(scored, ["unique_id"], "_s", [q], out="_t").withColumnRenamed("_t_0", "_thr")
     return (scored.join(thr, "unique_id")
                   .select("unique_id", "pos", (F.col("_s") - F.col("_thr")).alias("isolation_score"),
                           (F.col("_s") > F.col("_thr")).alias("isolation_anomaly")))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tspanel.config import HORIZON, WEEKLY_SEASON
+from tspanel.operators.quantiles import exact_quantiles
 
 # Percentiles of the descriptive table.
 DESCRIBE_PERCENTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
@@ -65,9 +66,9 @@ def quality_report(df: DataFrame, target: str = "y", bucket_seconds: int = GAP_B
         (F.count(F.lit(1)) - F.count_distinct("ds")
          - F.when(F.count_if(F.col("ds").isNull()) > 0, 1).otherwise(0)).alias("duplicate_dates"),
         F.count_if(y.isNull()).alias("missing_target"),
-        F.min(y).alias("target_min"), F.max(y).alias("target_max"), F.avg(y).alias("target_mean"),
-        F.percentile(y, 0.5).alias("target_median"))
-    base = base.withColumn("columns", F.lit(len(df.columns)).cast("bigint"))
+        F.min(y).alias("target_min"), F.max(y).alias("target_max"), F.avg(y).alias("target_mean"))
+    med = exact_quantiles(df, ["unique_id"], target, [0.5], out="_q").withColumnRenamed("_q_0", "target_median")
+    base = base.join(med, "unique_id", "left").withColumn("columns", F.lit(len(df.columns)).cast("bigint"))
     return base.join(step_stats(df, bucket_seconds), "unique_id", "left")
 
 
@@ -92,19 +93,19 @@ def describe(df: DataFrame, target: str = "y", percentiles: Sequence[float] = DE
     """A-4..A-6: count, mean, std (n-1), min, percentiles (linear interpolation),
     max, missing/zero count and share, bias-corrected skew and excess kurtosis."""
     y = F.col(target)
-    pct = F.percentile(y, list(percentiles))
     out = df.groupBy("unique_id").agg(
         F.count(y).alias("count"), F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"),
-        F.min(y).alias("min"), F.max(y).alias("max"), pct.alias("_p"),
+        F.min(y).alias("min"), F.max(y).alias("max"),
         F.count_if(y.isNull()).alias("missing_count"), F.avg(y.isNull().cast("double")).alias("missing_share"),
         F.count_if(y == 0).alias("zero_count"), F.avg(F.coalesce((y == 0).cast("double"), F.lit(0.0))).alias("zero_share"),
         F.skewness(y).alias("_g1"), F.kurtosis(y).alias("_g2"))
     n = F.col("count").cast("double")
     skew = F.when(n > 2, F.col("_g1") * F.sqrt(n * (n - 1)) / (n - 2))
     kurt = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("_g2") + 6))
-    for i, p in enumerate(percentiles):
-        out = out.withColumn(f"p{int(round(p * 100)):02d}", F.col("_p")[i])
-    return out.withColumn("skew", skew).withColumn("kurtosis", kurt).drop("_p", "_g1", "_g2")
+    q = exact_quantiles(df, ["unique_id"], target, percentiles, out="_q")
+    q = q.select("unique_id", *[F.col(f"_q_{i}").alias(f"p{int(round(p * 100)):02d}") for i, p in enumerate(percentiles)])
+    out = out.join(q, "unique_id", "left")
+    return out.withColumn("skew", skew).withColumn("kurtosis", kurt).drop("_g1", "_g2")
 
 
 def seasonal_profiles(df: DataFrame, target: str = "y") -> DataFrame:

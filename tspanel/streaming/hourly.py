@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tspanel.config import AnomalyConfig
 from tspanel.operators.anomaly import hour_of_week_profile
 from tspanel.operators.features import hour_of_week
+from tspanel.operators.quantiles import exact_quantiles
 
 
 def stream_resample_mean(events: DataFrame, id_col: str, ts_col: str, value_col: str,
@@ -33,9 +34,9 @@ def iqr_bounds(panel: DataFrame, config: AnomalyConfig = AnomalyConfig()) -> Dat
     prof = hour_of_week_profile(panel)
     resid = (panel.withColumn("hour_of_week", hour_of_week()).join(prof, ["unique_id", "hour_of_week"])
                   .withColumn("_r", F.col("y") - F.col("seasonal_expected")))
-    q = resid.groupBy("unique_id").agg(F.percentile("_r", [0.25, 0.75]).alias("_q"))
+    q = exact_quantiles(resid, ["unique_id"], "_r", [0.25, 0.75], out="_q")
     k = F.lit(config.iqr_multiplier)
-    q1, q3 = F.col("_q")[0], F.col("_q")[1]
+    q1, q3 = F.col("_q_0"), F.col("_q_1")
     return (prof.join(q, "unique_id")
                 .select("unique_id", "hour_of_week", "seasonal_expected",
                         (q1 - k * (q3 - q1)).alias("lower"), (q3 + k * (q3 - q1)).alias("upper")))
