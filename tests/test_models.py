@@ -218,3 +218,20 @@ def test_selection_table_and_combine(spark):
     b = a.withColumn("smape", F.col("smape") - 3).withColumn("model", F.concat(F.lit("x_"), "model"))
     comb = E.combine_leaderboards(a.withColumn("group", F.lit("g1")), b.withColumn("group", F.lit("g2")))
     assert [r["model"] for r in comb.orderBy("rank").collect()] == ["x_naive", "x_drift", "naive", "drift"]
+
+
+def test_short_and_constant_series_do_not_raise(spark):
+    """ANSI mode: empty training ranges and constant residuals give NULLs, not errors."""
+    from tspanel.operators.prepare import regularize
+    from tspanel.plans import pipelines as PL
+
+    rows = [("short", str(pd.Timestamp("2024-01-01") + pd.Timedelta(hours=i)), float(i % 3)) for i in range(20)]
+    rows += [("const", str(pd.Timestamp("2024-01-01") + pd.Timedelta(hours=i)), 5.0) for i in range(400)]
+    p = regularize(panel_df(spark, rows, with_pos=False), 3600)
+    cuts = B.pipeline_cutoffs(p)
+    assert B.baseline_forecasts(p, cuts).count() > 0
+    preds, _, board = PL.pipeline_backtest(p)
+    assert board.count() > 0
+    tests = D.pipeline_tests(preds).collect()
+    assert all(r["statistic"] is None or r["statistic"] == r["statistic"] for r in tests)
+    assert B.train_scales(p, cuts).count() == cuts.count()

@@ -75,5 +75,5 @@ def summary(anomalies: DataFrame, methods: dict[str, str] = FLAG_COLUMNS) -> Dat
     aggs = [F.count(F.lit(1)).alias("_n")] + [F.count_if(F.col(c)).alias(m) for m, c in methods.items()]
     wide = anomalies.groupBy("unique_id").agg(*aggs)
     long = wide.unpivot(["unique_id", "_n"], list(methods), "method", "anomalies")
-    share = F.round(F.col("anomalies") / F.col("_n") * F.lit(100.0) + F.lit(3.3e-9), 3)
+    share = F.round(F.try_divide(F.col("anomalies"), F.col("_n")) * F.lit(100.0) + F.lit(3.3e-9), 3)
     return long.select("unique_id", "method", "anomalies", share.alias("share_percent"))

@@ -222,8 +222,8 @@ def train_scales(panel: DataFrame, cutoffs: DataFrame, season: int = DAILY_SEASO
     std_m = pop_std("n__dm", "s__dm", "ss__dm")
     std_1 = pop_std("n__d1", "s__d1", "ss__d1")
     wide = sums.groupBy(*KEYS).agg(pick("seas", std_m).alias("_sm"), pick("first", std_1).alias("_s1"),
-                                   pick("mseas", F.col("sa__dm") / F.col("n__dm")).alias("_mm"),
-                                   pick("mfirst", F.col("sa__d1") / F.col("n__d1")).alias("_m1"))
+                                   pick("mseas", F.try_divide(F.col("sa__dm"), F.col("n__dm"))).alias("_mm"),
+                                   pick("mfirst", F.try_divide(F.col("sa__d1"), F.col("n__d1"))).alias("_m1"))
     out = base.join(wide, KEYS, "left")
     length = F.col("cut") - F.col("_lo") + 1
     scale = (F.when(length > season, F.col("_sm")).when(length > 1, F.col("_s1")).otherwise(F.lit(SCALE_FALLBACK)))
@@ -322,7 +322,7 @@ def baseline_forecasts(panel: DataFrame, cutoffs: DataFrame, horizon: int = HORI
                       F.max(F.when(F.col("model") == "_wavg", F.col("_m"))).alias("_wavg")))
     lo = _train_lo(max_history)
     length = F.col("cut") - lo + 1
-    slope = F.when(length > 1, (F.col("_last") - F.col("_first")) / (length - 1)).otherwise(F.lit(0.0))
+    slope = F.when(length > 1, F.try_divide(F.col("_last") - F.col("_first"), length - 1)).otherwise(F.lit(0.0))
     const_models = []
     if "naive" in models:
         const_models.append(F.struct(F.lit("naive").alias("model"), F.col("_last").alias("y_pred")))

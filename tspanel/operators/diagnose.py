@@ -46,8 +46,8 @@ def ljung_box(res: DataFrame, max_lag: int, lag: Column | None = None,
     c0 = c.filter(F.col("k") == 0).select(*keys, F.col("_c").alias("_c0"))
     lag_expr = F.lit(max_lag) if lag is None else lag
     nn = F.col("n").cast("double")
-    r = F.col("_c") / F.col("_c0")
-    term = F.when((F.col("k") >= 1) & (F.col("k") <= F.col("lag")), r * r / (nn - F.col("k")))
+    r = F.try_divide(F.col("_c"), F.col("_c0"))
+    term = F.when((F.col("k") >= 1) & (F.col("k") <= F.col("lag")), F.try_divide(r * r, nn - F.col("k")))
     return (c.join(c0, list(keys)).join(n.withColumn("lag", lag_expr.cast("int")), list(keys))
              .groupBy(*keys, "n", "lag").agg((nn * (nn + F.lit(2.0)) * F.sum(term)).alias("q")))
 
@@ -89,7 +89,7 @@ def pipeline_tests(preds: DataFrame, final_model: str = "seasonal_how_average",
 
     bias = fin.groupBy("unique_id").agg(F.count("residual").alias("n"), F.avg("residual").alias("_m"),
                                         F.stddev_samp("residual").alias("_s"))
-    bias = bias.withColumn("statistic", F.col("_m") / (F.col("_s") / F.sqrt(F.col("n"))))
+    bias = bias.withColumn("statistic", F.try_divide(F.col("_m"), F.try_divide(F.col("_s"), F.sqrt(F.col("n")))))
 
     max_lag = 24
     lagc = F.least(F.lit(max_lag), F.greatest(F.lit(1), F.floor(F.col("n") / 3)))
@@ -104,7 +104,7 @@ def pipeline_tests(preds: DataFrame, final_model: str = "seasonal_how_average",
                 .groupBy("unique_id").agg(F.count("_d").alias("n"), F.avg("_d").alias("_m"), F.stddev_samp("_d").alias("_s"),
                                           F.avg("_a").alias("_ma"), F.avg("_b").alias("_mb"))
                 .join(counts, "unique_id").filter(F.col("_nf") == F.col("_nb"))
-                .withColumn("statistic", F.col("_m") / (F.col("_s") / F.sqrt(F.col("n")))))
+                .withColumn("statistic", F.try_divide(F.col("_m"), F.try_divide(F.col("_s"), F.sqrt(F.col("n"))))))
 
     def pv_t(df: DataFrame) -> Column:
         return SM.t_two_sided_col(F.col("statistic"), (F.col("n") - 1).cast("double")) if with_pvalues else F.lit(None).cast("double")
@@ -149,7 +149,7 @@ def acf(panel: DataFrame, nlags: int = 72, max_points: int | None = 10_000) -> D
     c0 = sums.select("unique_id", F.col("_p0").alias("_c0"))
     return (long.join(c0, "unique_id")
                 .select("unique_id", F.regexp_extract("_name", r"(\d+)", 1).cast("int").alias("lag"),
-                        (F.col("_s") / F.col("_c0")).alias("acf")))
+                        F.try_divide(F.col("_s"), F.col("_c0")).alias("acf")))
 
 
 def pacf_from_acf(acf_df: DataFrame) -> DataFrame:

@@ -41,8 +41,8 @@ def insample_scale(panel: DataFrame, cutoffs: DataFrame, season: int = DAILY_SEA
     one = range_moments(diffs.select("unique_id", "pos", F.col("_ad1").alias("v")),
                         rng.select(*KEYS, (F.col("_lo") + 1).alias("lo"), F.col("cut").alias("hi")),
                         keys=("window", "cut"))
-    out = (rng.join(seas.select(*KEYS, (F.col("s") / F.col("cnt")).alias("_ms")), KEYS, "left")
-              .join(one.select(*KEYS, (F.col("s") / F.col("cnt")).alias("_m1")), KEYS, "left"))
+    out = (rng.join(seas.select(*KEYS, F.try_divide(F.col("sa"), F.col("cnt")).alias("_ms")), KEYS, "left")
+              .join(one.select(*KEYS, F.try_divide(F.col("sa"), F.col("cnt")).alias("_m1")), KEYS, "left"))
     raw = F.when(F.col("_len") > season, F.col("_ms")).otherwise(F.col("_m1"))
     return out.select(*KEYS, F.greatest(raw, F.lit(EPS)).alias("mase_scale"))
 
@@ -71,7 +71,7 @@ def metrics_by_window(predictions: DataFrame, scales: DataFrame | None = None, f
         return out.withColumn("mase", F.lit(None).cast("double"))
     keys = [k for k in ("unique_id", "window") if k in scales.columns]
     out = out.join(scales.select(*keys, "mase_scale"), keys, "left")
-    mase = F.col("mae") / F.col("mase_scale")
+    mase = F.try_divide(F.col("mae"), F.col("mase_scale"))
     if form == "masked":
         mase = F.when(F.col("mase_scale") > 0, mase)
     return out.withColumn("mase", mase).drop("mase_scale")

@@ -215,7 +215,7 @@ def fill_gaps(df: DataFrame, method: str = "interpolate", bucket: int = BUCKET_S
     if method == "ffill":
         filled = F.coalesce(F.col("y"), prev.getField("v"), nxt.getField("v"))
     else:
-        slope = (nxt.getField("v") - prev.getField("v")) / (nxt.getField("p") - prev.getField("p"))
+        slope = F.try_divide(nxt.getField("v") - prev.getField("v"), nxt.getField("p") - prev.getField("p"))
         interp = slope * (F.col("pos") - prev.getField("p")) + prev.getField("v")
         filled = F.coalesce(F.col("y"), interp, prev.getField("v"), nxt.getField("v"))
     return d.withColumn("y", filled).drop("_bkt", "_prev", "_next", "_cprev", "_cnext")

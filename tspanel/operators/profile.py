@@ -84,7 +84,7 @@ def missing_values_table(df: DataFrame) -> DataFrame:
     types = df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema.fields],
                                             "column string, dtype string")
     out = (long.join(F.broadcast(types), "column")
-               .withColumn("missing_share", F.col("missing_count") / F.col("_n"))
+               .withColumn("missing_share", F.try_divide(F.col("missing_count"), F.col("_n")))
                .select("column", "missing_count", "missing_share", "dtype"))
     return out.orderBy(F.col("missing_share").desc(), F.col("column"))
 

@@ -46,8 +46,8 @@ def range_moments(values: DataFrame, ranges: DataFrame, value: str = "v",
 def pop_std(cnt: str = "cnt", s: str = "s", ss: str = "ss"):
     """Population standard deviation from count / sum / sum of squares."""
     n = F.col(cnt).cast("double")
-    mean = F.col(s) / n
-    var = F.greatest(F.col(ss) / n - mean * mean, F.lit(0.0))
+    mean = F.try_divide(F.col(s), n)
+    var = F.greatest(F.try_divide(F.col(ss), n) - mean * mean, F.lit(0.0))
     return F.when(F.col(cnt) > 0, F.sqrt(var))
 
 

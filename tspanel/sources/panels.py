@@ -55,7 +55,7 @@ def raw_panel(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     ds = F.timestamp_seconds(F.floor(secs / F.lit(p.step_seconds)) * F.lit(p.step_seconds))
     y = exact_sum(p.value_col)
     if p.agg == "mean":
-        y = y / F.count(p.value_col)
+        y = F.try_divide(y, F.count(p.value_col))
     return (src.groupBy(F.col(p.id_col).cast("string").alias("unique_id"), ds.alias("ds"))
                .agg(y.alias("y")))
 
