@@ -31,6 +31,7 @@ from tspanel.config import AnomalyConfig
 from tspanel.operators.features import ISOLATION_FEATURES, isolation_features
 from tspanel.operators.quantiles import exact_quantiles
 from tspanel.operators.windowing import bucket_of
+from tspanel.session import materialize
 
 EULER = 0.5772156649015329
 SCORE_BLOCK = 8192
@@ -94,7 +95,7 @@ def isolation_forest(panel: DataFrame, config: AnomalyConfig = AnomalyConfig(),
     complete features (others get no row; the combiner maps them to False)."""
     psi, n_trees, seed = config.sample_size, config.n_trees, config.seed
     max_depth = int(math.ceil(math.log2(psi)))
-    feats = isolation_features(panel).dropna(subset=features).select("unique_id", "pos", *features)
+    feats = materialize(isolation_features(panel).dropna(subset=features).select("unique_id", "pos", *features))
     counts = feats.groupBy("unique_id").agg(F.count(F.lit(1)).alias("_n"))
     rows = feats.join(counts, "unique_id")
 
@@ -139,6 +140,7 @@ def isolation_forest(panel: DataFrame, config: AnomalyConfig = AnomalyConfig(),
     scored = (blocks.groupBy("unique_id", "_blk")
               .cogroup(forest_blocks.groupBy("unique_id", "_blk"))
               .applyInPandas(score_fn, "unique_id string, pos long, _s double"))
+    scored = materialize(scored)    # read by the threshold and the flag join: score once
     q = 1.0 - config.isolation_contamination
     thr = exact_quantiles(scored, ["unique_id"], "_s", [q], out="_t").withColumnRenamed("_t_0", "_thr")
     return (scored.join(thr, "unique_id")

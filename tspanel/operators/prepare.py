@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tspanel.config import BUCKET_STEPS
 from tspanel.operators.windowing import bucket_of
 from tspanel.schema import require_columns
+from tspanel.session import materialize
 
 # Missing-value tokens of the raw sensor format, in reference order.
 RAW_NA_TOKENS = ["?", "", "NA", "NaN", "nan", "null", "None"]
@@ -143,13 +144,17 @@ def grid(bounds: DataFrame, step_seconds: int, chunk: int = GRID_CHUNK) -> DataF
 
 
 def regularize(df: DataFrame, step_seconds: int = 3600, fill: str = "interpolate",
-               bucket: int = BUCKET_STEPS, order_col: str | None = None) -> DataFrame:
+               bucket: int = BUCKET_STEPS, order_col: str | None = None, keep_input: bool = True) -> DataFrame:
     """R-3 + R-4..R-7: regular grid from the first to the last timestamp.
 
     Rows without ``ds`` are dropped, duplicates keep the first (by ``order_col``
     or, lacking one, by the smallest ``y``), rows off the grid are dropped,
     missing slots are NULL and then filled with ``fill``. Returns
     ``unique_id, ds, y, pos``.
+
+    The de-duplicated input feeds several branches (bounds, grid, on-grid
+    rows); with ``keep_input`` it is written once to the checkpoint folder so
+    the source table is scanned once, not once per branch.
     """
     if fill not in FILL_METHODS:
         raise ValueError(f"fill must be one of {FILL_METHODS}")
@@ -161,6 +166,8 @@ def regularize(df: DataFrame, step_seconds: int = 3600, fill: str = "interpolate
         rows = dedupe_keep_first(rows, ["unique_id", "ds"], order_col).drop(order_col)
     else:
         rows = rows.groupBy("unique_id", "ds").agg(F.min("y").alias("y"))
+    if keep_input:
+        rows = materialize(rows)
     bounds = series_bounds(rows)
     off = F.unix_seconds("ds") - F.unix_seconds("_mn")
     on_grid = (rows.join(bounds, "unique_id")

@@ -19,11 +19,7 @@ from tspanel.session import ensure_checkpoint_dir
 NO_CAP = 10 ** 15
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write an intermediate table to the shared checkpoint folder (reliable
-    checkpoint) so later stages read it instead of re-planning its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+from tspanel.session import materialize  # noqa: E402  (re-exported for callers)
 
 
 def pipeline_backtest(panel: DataFrame, horizon: int = HORIZON, windows: int = PIPELINE_WINDOWS,
@@ -54,6 +50,7 @@ def prepare_dataset(raw: DataFrame, target: str = "Global_active_power", step_se
                     unique_id: str = "household_1", fill: str = "time") -> dict[str, DataFrame]:
     """PIPE-1: typed raw table → quality blocks, missing table, resampled mean,
     regular grid with gap fill, canonical panel."""
+    raw = materialize(raw)          # typed raw table: read by five branches, scanned once
     raw_series = raw.select(F.lit(unique_id).alias("unique_id"), "ds", F.col(target).alias("y"))
     hourly = P.resample(raw_series, step_seconds, "mean", densify=True)
     prepared = P.regularize(hourly.drop("pos"), step_seconds, fill=fill)

@@ -46,6 +46,14 @@ def apply_session_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder (reliable checkpoint)
+    and return the re-readable result, so plans that reference it in several
+    branches do not recompute — or rescan — its lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset."""
     sc = spark.sparkContext
