@@ -218,8 +218,12 @@ def numpy_features(hist: np.ndarray, ds: pd.Series, config: FeatureConfig) -> np
 def recursive_forecast(models: dict, state: DataFrame, horizon: int, step_seconds: int,
                        config: FeatureConfig, keep: int) -> DataFrame:
     """F-20 for every state row in one Arrow-batched pass: ``models`` maps
-    (model name, window) → exported model."""
+    (model name, window) → exported model. The exported models (bounded by
+    trees × nodes, not by data) travel as one broadcast variable."""
+    shared = state.sparkSession.sparkContext.broadcast(models)
+
     def run(it):
+        models = shared.value
         for pdf in it:
             if pdf.empty:
                 continue
