@@ -249,6 +249,17 @@ def with_bands(forecasts: DataFrame, scales: DataFrame) -> DataFrame:
     return out.drop("scale")
 
 
+def with_band_columns(forecasts: DataFrame) -> DataFrame:
+    """F-8 on rows that already carry the raw ``scale`` column."""
+    s = F.col("scale")
+    s = F.when(s.isNotNull() & ~F.isnan(s) & (s > 0) & (F.abs(s) != F.lit(float("inf"))), s).otherwise(F.lit(SCALE_FALLBACK))
+    out = forecasts.withColumn("scale", s)
+    for level, mult in LEVEL_MULTIPLIERS.items():
+        out = out.withColumn(f"lower_{level}", F.col("y_pred") - F.lit(mult) * F.col("scale"))
+        out = out.withColumn(f"upper_{level}", F.col("y_pred") + F.lit(mult) * F.col("scale"))
+    return out.drop("scale")
+
+
 def no_bands(forecasts: DataFrame) -> DataFrame:
     out = forecasts
     for level in LEVEL_MULTIPLIERS:
@@ -301,52 +312,112 @@ def _requests(cutoffs: DataFrame, horizon: int, models: Sequence[str], season: i
     return out
 
 
+def _lookup_agg(panel: DataFrame, req: DataFrame) -> DataFrame:
+    """Join every requested position to the panel once and aggregate per
+    (window, model, step): mean value, number of requested positions, and the
+    timestamp (for single-position requests)."""
+    vals = panel.select("unique_id", F.col("pos").alias("_sp"), F.col("y").alias("_v"), F.col("ds").alias("_d"))
+    return (req.join(vals, ["unique_id", "_sp"], "left")
+               .groupBy(*KEYS, "model", "horizon")
+               .agg(F.avg("_v").alias("_m"), F.count("_sp").alias("_c"), F.max("_d").alias("_ds")))
+
+
+def _pick(name: str, col: str = "_m") -> Column:
+    return F.max(F.when(F.col("model") == name, F.col(col)))
+
+
+def _assemble(agg: DataFrame, step_names: Sequence[str], const_names: Sequence[str],
+              models: list[tuple[str, Column]], scales: DataFrame | None) -> DataFrame:
+    """Wide per-step rows (+ per-window constants, + scales) → one long row per
+    model: ``KEYS, horizon, model, y_pred, y, ds, cutoff[, scale]``."""
+    step = agg.filter(F.col("horizon") > 0).groupBy(*KEYS, "horizon").agg(
+        _pick("_actual").alias("y"), _pick("_actual", "_ds").alias("ds"),
+        *[_pick(n).alias(f"m_{n}") for n in step_names], *[_pick(n, "_c").alias(f"c_{n}") for n in step_names])
+    const = agg.filter(F.col("horizon") == 0).groupBy(*KEYS).agg(
+        _pick("_last", "_ds").alias("cutoff"), *[_pick(n).alias(n) for n in const_names])
+    if scales is not None:
+        const = const.join(scales.select(*KEYS, "scale"), KEYS, "left")
+    wide = step.join(const, KEYS)
+    rows = F.explode(F.array(*[F.struct(F.lit(name).alias("model"), expr.alias("y_pred")) for name, expr in models]))
+    keep = ["scale"] if scales is not None else []
+    return (wide.select(*KEYS, "horizon", "y", "ds", "cutoff", *keep, rows.alias("_r"))
+                .select(*KEYS, "horizon", F.col("_r.model").alias("model"), F.col("_r.y_pred").alias("y_pred"),
+                        "y", "ds", "cutoff", *keep))
+
+
 def baseline_forecasts(panel: DataFrame, cutoffs: DataFrame, horizon: int = HORIZON,
                        models: Sequence[str] = BASELINE_MODELS, season: int = DAILY_SEASON,
                        long_season: int = WEEKLY_SEASON, max_history: int = MAX_TRAIN_HISTORY,
-                       bands: bool = True, scales: DataFrame | None = None) -> DataFrame:
+                       bands: bool = True, scales: DataFrame | None = None, actuals: bool = False) -> DataFrame:
     """F-1..F-8 for every (series, window): long table with bands.
 
-    All forecasters share ONE lookup: the positions they read form one request
-    table, joined once to the panel on (unique_id, pos) and aggregated once,
-    so the panel is shuffled once whatever the number of models.
+    All forecasters share ONE lookup: the positions they read (and, with
+    ``actuals``, the target positions) form one request table, joined once to
+    the panel on (unique_id, pos) and aggregated once, so the panel is shuffled
+    once whatever the number of models. With ``actuals`` the rows also carry
+    ``y``, ``ds``, ``residual`` and ``cutoff`` (J-1).
     """
     req = _requests(cutoffs, horizon, models, season, long_season, max_history)
-    vals = panel.select("unique_id", F.col("pos").alias("_sp"), F.col("y").alias("_v"))
-    agg = (req.join(vals, ["unique_id", "_sp"], "left")
-              .groupBy(*KEYS, "model", "horizon")
-              .agg(F.avg("_v").alias("_m"), F.count("_sp").alias("_c")))
-    consts = (agg.filter(F.col("horizon") == 0).groupBy(*KEYS)
-                 .agg(F.max(F.when(F.col("model") == "_last", F.col("_m"))).alias("_last"),
-                      F.max(F.when(F.col("model") == "_first", F.col("_m"))).alias("_first"),
-                      F.max(F.when(F.col("model") == "_wavg", F.col("_m"))).alias("_wavg")))
+    req = req.unionByName(_steps(cutoffs, horizon).select(*KEYS, F.lit("_actual").alias("model"), "horizon",
+                                                          (F.col("cut") + F.col("horizon")).alias("_sp")))
+    agg = _lookup_agg(panel, req)
+    step_names = [m for m in models if m.startswith("seasonal_naive_") or m == "seasonal_window_average"]
     lo = _train_lo(max_history)
     length = F.col("cut") - lo + 1
     slope = F.when(length > 1, F.try_divide(F.col("_last") - F.col("_first"), length - 1)).otherwise(F.lit(0.0))
-    const_models = []
-    if "naive" in models:
-        const_models.append(F.struct(F.lit("naive").alias("model"), F.col("_last").alias("y_pred")))
-    if f"window_average_{long_season}" in models:
-        const_models.append(F.struct(F.lit(f"window_average_{long_season}").alias("model"), F.col("_wavg").alias("y_pred")))
-    if "drift" in models:
-        const_models.append(F.struct(F.lit("drift").alias("model"),
-                                     (F.col("_last") + slope * F.col("horizon")).alias("y_pred")))
-    step_rows = (agg.filter(F.col("horizon") > 0).join(consts, KEYS)
-                    .select(*KEYS, "horizon", "model",
-                            F.when((F.col("model") == "seasonal_window_average") & (F.col("_c") == 0), F.col("_last"))
-                             .otherwise(F.col("_m")).alias("y_pred")))
-    out = step_rows
-    if const_models:
-        const_rows = (_steps(cutoffs, horizon).join(consts, KEYS)
-                      .select(*KEYS, "horizon", F.explode(F.array(*const_models)).alias("_r"))
-                      .select(*KEYS, "horizon", "_r.model", "_r.y_pred"))
-        out = out.unionByName(const_rows)
-    out = out.select(*KEYS, "horizon", "model", "y_pred")
-    if bands:
-        if scales is None:
-            scales = residual_scale(panel, cutoffs, season, max_history)
-        return with_bands(out, scales.select(*KEYS, "scale"))
-    return no_bands(out)
+    exprs = {
+        "naive": F.col("_last"),
+        f"window_average_{long_season}": F.col("_wavg"),
+        "drift": F.col("_last") + slope * F.col("horizon"),
+        "seasonal_window_average": F.when(F.col("c_seasonal_window_average") == 0, F.col("_last"))
+                                    .otherwise(F.col("m_seasonal_window_average")),
+    }
+    chosen = [(m, exprs.get(m, F.col(f"m_{m}"))) for m in models]
+    if bands and scales is None:
+        scales = residual_scale(panel, cutoffs, season, max_history)
+    out = _assemble(agg, step_names, ["_last", "_first", "_wavg"], chosen, scales if bands else None)
+    out = with_band_columns(out) if bands else no_bands(out)
+    if actuals:
+        return out.withColumn("residual", F.col("y") - F.col("y_pred"))
+    return out.select(*KEYS, "horizon", "model", "y_pred", *[f"{s}_{lv}" for lv in LEVEL_MULTIPLIERS
+                                                               for s in ("lower", "upper")])
+
+
+def pipeline_forecasts(panel: DataFrame, cutoffs: DataFrame, step_seconds: int = 3600, horizon: int = HORIZON,
+                       recent_weeks: int = RECENT_WEEKS, fallback_window: int = DAILY_SEASON,
+                       long_season: int = WEEKLY_SEASON, actuals: bool = True) -> DataFrame:
+    """F-5 (hour-of-week average) and F-2 (seasonal naive, whole history) of
+    the final pipeline through one request table; with ``actuals`` the rows
+    carry ``y``, ``ds``, ``residual``, ``cutoff``."""
+    week = 7 * 24 * 3600
+    if week % step_seconds or step_seconds % 3600:
+        raise ValueError("seasonal_how_average needs a step that is a whole number of hours dividing a week")
+    period = week // step_seconds
+    steps = _steps(cutoffs, horizon)
+    target = F.col("cut") + F.col("horizon")
+    how = F.filter(F.transform(F.sequence(F.lit(1), F.lit(recent_weeks)), lambda k: target - k * F.lit(period)),
+                   lambda p: p >= 1)
+    sn = F.when(F.col("cut") < F.lit(long_season), F.col("cut")).otherwise(
+        F.col("cut") - F.lit(long_season - 1) + (F.col("horizon") - 1) % F.lit(long_season))
+    fb_lo = F.greatest(F.lit(1), F.col("cut") - F.lit(fallback_window - 1))
+    parts = [
+        steps.select(*KEYS, F.lit("seasonal_how_average").alias("model"), "horizon", F.explode_outer(how).alias("_sp")),
+        steps.select(*KEYS, F.lit(f"seasonal_naive_{long_season}").alias("model"), "horizon", sn.alias("_sp")),
+        steps.select(*KEYS, F.lit("_actual").alias("model"), "horizon", target.alias("_sp")),
+        cutoffs.select(*KEYS, F.lit("_last").alias("model"), F.lit(0).alias("horizon"), F.col("cut").alias("_sp")),
+        cutoffs.select(*KEYS, F.lit("_fb").alias("model"), F.lit(0).alias("horizon"),
+                       F.explode(F.sequence(fb_lo, F.col("cut"))).alias("_sp")),
+    ]
+    req = parts[0]
+    for p in parts[1:]:
+        req = req.unionByName(p)
+    agg = _lookup_agg(panel, req)
+    models = [("seasonal_how_average", F.coalesce(F.col("m_seasonal_how_average"), F.col("_fb"), F.col("_last"))),
+              (f"seasonal_naive_{long_season}", F.col(f"m_seasonal_naive_{long_season}"))]
+    out = _assemble(agg, ["seasonal_how_average", f"seasonal_naive_{long_season}"], ["_last", "_fb"], models, None)
+    if actuals:
+        return out.withColumn("residual", F.col("y") - F.col("y_pred"))
+    return out.select(*KEYS, "horizon", "model", "y_pred")
 
 
 def attach_actuals(forecasts: DataFrame, panel: DataFrame) -> DataFrame:

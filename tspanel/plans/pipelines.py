@@ -30,9 +30,7 @@ def pipeline_backtest(panel: DataFrame, horizon: int = HORIZON, windows: int = P
     MASE scale (E-5, E-6). Returns (predictions, metrics by window, leaderboard);
     with ``keep`` the predictions table is materialised once."""
     cuts = B.pipeline_cutoffs(panel, horizon, windows, long_season)
-    how = B.seasonal_how_average(panel, cuts, step_seconds, horizon)
-    snaive = B.seasonal_naive(panel, cuts, long_season, horizon, max_history=NO_CAP)
-    preds = B.attach_actuals(how.unionByName(snaive), panel)
+    preds = B.pipeline_forecasts(panel, cuts, step_seconds, horizon, long_season=long_season)
     if keep:
         preds = materialize(preds)
     by_window = E.metrics_by_window(preds, E.full_series_scale(panel, season), form="masked")
@@ -76,11 +74,11 @@ def statistical_backtest(panel: DataFrame, cfg: BacktestConfig = BacktestConfig(
     cuts = B.backtest_cutoffs(panel, cfg.horizon, cfg.n_windows, cfg.step, cfg.min_history)
     scales = B.train_scales(panel, cuts, cfg.season, cfg.max_history)
     fc = B.baseline_forecasts(panel, cuts, cfg.horizon, models, cfg.season, long_season, cfg.max_history,
-                              scales=scales)
+                              scales=scales, actuals=True)
     if extra is not None:
-        fc = fc.unionByName(extra(panel, cuts), allowMissingColumns=True)
-    fc = B.valid_forecasts(fc, cfg.horizon)
-    preds = with_cutoff_ds(B.attach_actuals(fc, panel), panel).withColumn("group", F.lit("statistical"))
+        more = with_cutoff_ds(B.attach_actuals(extra(panel, cuts), panel), panel)
+        fc = fc.unionByName(more, allowMissingColumns=True)
+    preds = B.valid_forecasts(fc, cfg.horizon).withColumn("group", F.lit("statistical"))
     if keep:
         preds = materialize(preds.join(scales.select("unique_id", "window", "mase_scale"), ["unique_id", "window"], "left"))
         scales = preds.select("unique_id", "window", "mase_scale").distinct()
