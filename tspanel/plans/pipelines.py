@@ -38,10 +38,12 @@ def pipeline_backtest(panel: DataFrame, horizon: int = HORIZON, windows: int = P
 
 
 def pipeline_forecast(panel: DataFrame, horizon: int = HORIZON, step_seconds: int = 3600) -> DataFrame:
-    """F-12 of the pipeline: hour-of-week average past the end of each series."""
-    cuts = B.final_cutoffs(panel)
-    fc = B.seasonal_how_average(panel, cuts, step_seconds, horizon)
-    return B.future_timestamps(fc, panel, step_seconds).select("unique_id", "ds", "horizon", "model", "y_pred")
+    """F-12 of the pipeline: hour-of-week average past the end of each series
+    (future timestamps by arithmetic from the last timestamp)."""
+    fc = B.pipeline_forecasts(panel, B.final_cutoffs(panel), step_seconds, horizon)
+    ds = F.timestamp_seconds(F.unix_seconds("cutoff") + F.col("horizon") * F.lit(step_seconds))
+    return (fc.filter(F.col("model") == "seasonal_how_average")
+              .select("unique_id", ds.alias("ds"), "horizon", "model", "y_pred"))
 
 
 def prepare_dataset(raw: DataFrame, target: str = "Global_active_power", step_seconds: int = 3600,
@@ -91,11 +93,13 @@ def statistical_forecast(panel: DataFrame, cfg: BacktestConfig = BacktestConfig(
                          models=B.BASELINE_MODELS, long_season: int = WEEKLY_SEASON, extra=None) -> DataFrame:
     """F-12: every model fitted on the whole (capped) series, future timestamps."""
     cuts = B.final_cutoffs(panel)
-    fc = B.baseline_forecasts(panel, cuts, cfg.horizon, models, cfg.season, long_season, cfg.max_history)
+    fc = B.baseline_forecasts(panel, cuts, cfg.horizon, models, cfg.season, long_season, cfg.max_history,
+                              actuals=True)
     if extra is not None:
-        fc = fc.unionByName(extra(panel, cuts), allowMissingColumns=True)
+        fc = fc.unionByName(with_cutoff_ds(extra(panel, cuts), panel), allowMissingColumns=True)
     fc = B.valid_forecasts(fc, cfg.horizon)
-    return B.future_timestamps(fc, panel, step_seconds)
+    ds = F.timestamp_seconds(F.unix_seconds("cutoff") + F.col("horizon") * F.lit(step_seconds))
+    return fc.withColumn("ds", ds).drop("y", "residual")
 
 
 def eda_bundle(panel: DataFrame, season: int = DAILY_SEASON) -> dict[str, DataFrame]:
