@@ -21,27 +21,28 @@ from tspanel.sources.panels import panel, panel_sql, prepared_panel
 CAP = 35040
 
 
-def baseline_sql(cuts_sql: str) -> str:
+def baseline_sql(cuts_sql: str, h: int = 24, m: int = 24, big: int = 168, cap: int = CAP) -> str:
     """CTEs computing the six baselines with bands for the cutoffs in
     ``cuts(unique_id, win, cut)``; result CTE ``fc`` (validated)."""
+    CAP = cap  # noqa: N806
     lo = f"greatest(1, c.cut - {CAP - 1})"
     return f"""
 cuts AS ({cuts_sql}),
-steps AS (SELECT c.unique_id, c.win, c.cut, h.h FROM cuts c, generate_series(1, 24) AS h(h)),
+steps AS (SELECT c.unique_id, c.win, c.cut, h.h FROM cuts c, generate_series(1, {h}) AS h(h)),
 lastv AS (SELECT c.unique_id, c.win, c.cut, p.y AS last_y FROM cuts c
           LEFT JOIN panel p ON p.unique_id = c.unique_id AND p.pos = c.cut),
 f_naive AS (SELECT s.unique_id, s.win, s.cut, s.h, 'naive' AS model, l.last_y AS y_pred
             FROM steps s JOIN lastv l USING (unique_id, win, cut)),
 f_sn AS (SELECT s.unique_id, s.win, s.cut, s.h, 'seasonal_naive_' || CAST(m.m AS VARCHAR) AS model, p.y AS y_pred
-         FROM steps s CROSS JOIN (VALUES (24), (168)) AS m(m)
+         FROM steps s CROSS JOIN (VALUES ({m}), ({big})) AS m(m)
          LEFT JOIN panel p ON p.unique_id = s.unique_id AND p.pos = CASE
               WHEN s.cut - greatest(1, s.cut - {CAP - 1}) + 1 < m.m THEN s.cut
               ELSE s.cut - (m.m - 1) + (s.h - 1) % m.m END),
 wa AS (SELECT c.unique_id, c.win, c.cut, avg(p.y) AS v FROM cuts c
-       JOIN panel p ON p.unique_id = c.unique_id AND p.pos BETWEEN greatest({lo}, c.cut - 167) AND c.cut GROUP BY 1, 2, 3),
-f_wa AS (SELECT s.unique_id, s.win, s.cut, s.h, 'window_average_168' AS model, wa.v AS y_pred
+       JOIN panel p ON p.unique_id = c.unique_id AND p.pos BETWEEN greatest({lo}, c.cut - {big - 1}) AND c.cut GROUP BY 1, 2, 3),
+f_wa AS (SELECT s.unique_id, s.win, s.cut, s.h, 'window_average_{big}' AS model, wa.v AS y_pred
          FROM steps s JOIN wa USING (unique_id, win, cut)),
-swa_src AS (SELECT s.unique_id, s.win, s.cut, s.h, s.cut - 23 + (s.h - 1) % 24 - k.k * 24 AS sp
+swa_src AS (SELECT s.unique_id, s.win, s.cut, s.h, s.cut - {m - 1} + (s.h - 1) % {m} - k.k * {m} AS sp
             FROM steps s, generate_series(0, 6) AS k(k)),
 swa AS (SELECT s.unique_id, s.win, s.cut, s.h, avg(p.y) AS v FROM swa_src s
         JOIN panel p ON p.unique_id = s.unique_id AND p.pos = s.sp
@@ -54,41 +55,45 @@ dr AS (SELECT c.unique_id, c.win, c.cut, {lo} AS fp, pf.y AS first_y, pl.y AS la
 f_dr AS (SELECT s.unique_id, s.win, s.cut, s.h, 'drift' AS model,
                 d.last_y + (CASE WHEN d.cut - d.fp + 1 > 1 THEN (d.last_y - d.first_y) / (d.cut - d.fp) ELSE 0.0 END) * s.h AS y_pred
          FROM steps s JOIN dr d USING (unique_id, win, cut)),
-dd AS (SELECT a.unique_id, a.pos, a.y - b.y AS d24, a.y - c.y AS d1 FROM panel a
-       LEFT JOIN panel b ON b.unique_id = a.unique_id AND b.pos = a.pos - 24
+dd AS (SELECT a.unique_id, a.pos, a.y - b.y AS dm, a.y - c.y AS d1 FROM panel a
+       LEFT JOIN panel b ON b.unique_id = a.unique_id AND b.pos = a.pos - {m}
        LEFT JOIN panel c ON c.unique_id = a.unique_id AND c.pos = a.pos - 1),
-sc24 AS (SELECT c.unique_id, c.win, c.cut, stddev_pop(dd.d24) AS s FROM cuts c
-         JOIN dd ON dd.unique_id = c.unique_id AND dd.pos BETWEEN {lo} + 24 AND c.cut GROUP BY 1, 2, 3),
+sc24 AS (SELECT c.unique_id, c.win, c.cut, stddev_pop(dd.dm) AS s FROM cuts c
+         JOIN dd ON dd.unique_id = c.unique_id AND dd.pos BETWEEN {lo} + {m} AND c.cut GROUP BY 1, 2, 3),
 sc1 AS (SELECT c.unique_id, c.win, c.cut, stddev_pop(dd.d1) AS s FROM cuts c
         JOIN dd ON dd.unique_id = c.unique_id AND dd.pos BETWEEN {lo} + 1 AND c.cut GROUP BY 1, 2, 3),
 scl0 AS (SELECT c.unique_id, c.win, c.cut,
-                CASE WHEN c.cut - {lo} + 1 > 24 THEN a.s WHEN c.cut - {lo} + 1 > 1 THEN b.s ELSE 0.1 END AS s
+                CASE WHEN c.cut - {lo} + 1 > {m} THEN a.s WHEN c.cut - {lo} + 1 > 1 THEN b.s ELSE 0.1 END AS s
          FROM cuts c LEFT JOIN sc24 a USING (unique_id, win, cut) LEFT JOIN sc1 b USING (unique_id, win, cut)),
 scl AS (SELECT unique_id, win, cut,
                CASE WHEN s IS NOT NULL AND NOT isnan(s) AND s > 0 AND NOT isinf(s) THEN s ELSE 0.1 END AS scale FROM scl0),
 allf AS (SELECT * FROM f_naive UNION ALL SELECT * FROM f_sn UNION ALL SELECT * FROM f_wa
          UNION ALL SELECT * FROM f_swa UNION ALL SELECT * FROM f_dr),
 okf AS (SELECT unique_id, win, cut, model FROM allf GROUP BY 1, 2, 3, 4
-        HAVING count(*) = 24 AND count(*) FILTER (WHERE y_pred IS NULL OR isnan(y_pred) OR isinf(y_pred)) = 0),
+        HAVING count(*) = {h} AND count(*) FILTER (WHERE y_pred IS NULL OR isnan(y_pred) OR isinf(y_pred)) = 0),
 fc AS (SELECT a.*, a.y_pred - 1.28 * s.scale AS lower_80, a.y_pred + 1.28 * s.scale AS upper_80,
               a.y_pred - 1.96 * s.scale AS lower_95, a.y_pred + 1.96 * s.scale AS upper_95
        FROM allf a SEMI JOIN okf USING (unique_id, win, cut, model) LEFT JOIN scl s USING (unique_id, win, cut))"""
 
 
-BACKTEST_CUTS = ("SELECT l.unique_id, g.win, l.n - 24 - 2 * 24 + (g.win - 1) * 24 AS cut "
-                 "FROM (SELECT unique_id, max(pos) AS n FROM panel GROUP BY 1) l, generate_series(1, 3) AS g(win) "
-                 "WHERE l.n >= 24 + 2 * 24 + 336")
+def backtest_cuts_sql(h: int = 24, windows: int = 3, step: int = 24, min_hist: int = 336) -> str:
+    return (f"SELECT l.unique_id, g.win, l.n - {h} - {windows - 1} * {step} + (g.win - 1) * {step} AS cut "
+            f"FROM (SELECT unique_id, max(pos) AS n FROM panel GROUP BY 1) l, generate_series(1, {windows}) AS g(win) "
+            f"WHERE l.n >= {h} + {windows - 1} * {step} + {max(min_hist, h)}")
+
+
+BACKTEST_CUTS = backtest_cuts_sql()
 FINAL_CUTS = "SELECT unique_id, 0 AS win, max(pos) AS cut FROM panel GROUP BY 1"
 
-SCORING_SQL = """
+SCORING_SQL_T = """
 preds AS (SELECT f.*, p.ds, p.y, p.y - f.y_pred AS residual, pc.ds AS cutoff FROM fc f
           LEFT JOIN panel p ON p.unique_id = f.unique_id AND p.pos = f.cut + f.h
           LEFT JOIN panel pc ON pc.unique_id = f.unique_id AND pc.pos = f.cut),
-ins24 AS (SELECT c.unique_id, c.win, avg(abs(dd.d24)) AS m FROM cuts c
-          JOIN dd ON dd.unique_id = c.unique_id AND dd.pos BETWEEN 1 + 24 AND c.cut GROUP BY 1, 2),
+ins24 AS (SELECT c.unique_id, c.win, avg(abs(dd.dm)) AS m FROM cuts c
+          JOIN dd ON dd.unique_id = c.unique_id AND dd.pos BETWEEN 1 + {m} AND c.cut GROUP BY 1, 2),
 ins1 AS (SELECT c.unique_id, c.win, avg(abs(dd.d1)) AS m FROM cuts c
          JOIN dd ON dd.unique_id = c.unique_id AND dd.pos BETWEEN 2 AND c.cut GROUP BY 1, 2),
-ins AS (SELECT c.unique_id, c.win, greatest(CASE WHEN c.cut > 24 THEN a.m ELSE b.m END, 1e-8) AS mase_scale
+ins AS (SELECT c.unique_id, c.win, greatest(CASE WHEN c.cut > {m} THEN a.m ELSE b.m END, 1e-8) AS mase_scale
         FROM cuts c LEFT JOIN ins24 a USING (unique_id, win) LEFT JOIN ins1 b USING (unique_id, win)),
 bw AS (SELECT unique_id, model, win, avg(abs(y - y_pred)) AS mae, sqrt(avg((y - y_pred) * (y - y_pred))) AS rmse,
               avg(abs((y - y_pred) / greatest(abs(y), 1e-8))) * 100 AS mape,
@@ -100,6 +105,13 @@ lb0 AS (SELECT unique_id, model, avg(mae) AS mae, avg(rmse) AS rmse, avg(mape) A
 lb AS (SELECT *, row_number() OVER (PARTITION BY unique_id ORDER BY smape ASC NULLS LAST, model) AS rank FROM lb0)"""
 
 
+def scoring_sql(m: int = 24) -> str:
+    return SCORING_SQL_T.replace("{m}", str(m))
+
+
+SCORING_SQL = scoring_sql(24)
+
+
 def _stat_backtest(spark, sf):
     return PL.statistical_backtest(prepared_panel(spark, sf, "H"), BacktestConfig())
 
@@ -394,3 +406,32 @@ def q_pipe_tests(spark, sf):
     """D-4..D-6 with p-values (incomplete beta / gamma) and pass/warn status."""
     preds, _, _ = PL.pipeline_backtest(prepared_panel(spark, sf, "H"))
     return rounded(D.pipeline_tests(preds))
+
+
+# ---------------------------------------------------------------- the same operators on a daily panel
+
+DAILY_MODELS = ("naive", "seasonal_naive_7", "seasonal_naive_28", "window_average_28", "seasonal_window_average", "drift")
+DAILY_CFG = BacktestConfig(horizon=7, n_windows=3, step=7, season=7, min_history=7 * 14)
+
+
+def _daily_backtest(spark, sf):
+    return PL.statistical_backtest(prepared_panel(spark, sf, "D"), DAILY_CFG, models=DAILY_MODELS, long_season=28)
+
+
+@register("statistical_backtest_daily_predictions", f"""
+WITH {panel_sql('D')}, {baseline_sql(backtest_cuts_sql(7, 3, 7, 98), h=7, m=7, big=28)}, {scoring_sql(7)}
+SELECT unique_id, win AS "window", cutoff, ds, CAST(h AS BIGINT) AS horizon, model,
+       {R('y y_pred lower_80 upper_80 lower_95 upper_95 residual')} FROM preds""")
+def q_daily_preds(spark, sf):
+    """F-1..F-10 on the daily orders panel: horizon 7, seasons 7 and 28."""
+    preds, _, _ = _daily_backtest(spark, sf)
+    return rounded(preds.select("unique_id", "window", "cutoff", "ds", "horizon", "model", "y", "y_pred",
+                                "lower_80", "upper_80", "lower_95", "upper_95", "residual"))
+
+
+@register("statistical_leaderboard_daily", f"""
+WITH {panel_sql('D')}, {baseline_sql(backtest_cuts_sql(7, 3, 7, 98), h=7, m=7, big=28)}, {scoring_sql(7)}
+SELECT unique_id, CAST(rank AS BIGINT) AS rank, model, {R('mae rmse mape smape mase')} FROM lb""")
+def q_daily_lb(spark, sf):
+    _, _, lb = _daily_backtest(spark, sf)
+    return rounded(lb)
