@@ -169,6 +169,25 @@ def combine_leaderboards(*boards: DataFrame, by: Sequence[str] = ("unique_id",))
     return rank_models(out, by).select(*by, "rank", "group", "model", *METRIC_COLUMNS)
 
 
+def combine_selection_tables(selections: Sequence[DataFrame], board: DataFrame,
+                             best_label: str = "primary data-driven candidate",
+                             other_label: str = "comparison model") -> DataFrame:
+    """J-4 / E-9: selection tables of several groups re-attached to a combined,
+    re-ranked leaderboard. Old metric columns are dropped before a right join
+    on (group, model), so the row set is the leaderboard's and comments come
+    from the selection tables."""
+    sel = selections[0]
+    for s in selections[1:]:
+        sel = sel.unionByName(s, allowMissingColumns=True)
+    lead = [c for c in ("unique_id",) if c in board.columns]
+    keys = lead + ["group", "model"]
+    sel = sel.select(*keys, "comment")
+    out = sel.join(board, keys, "right")
+    decision = F.when(F.col("rank") == 1, F.lit(best_label)).otherwise(F.lit(other_label))
+    return out.select(*lead, "rank", "group", "model", "mae", "rmse", "smape", "mase",
+                      F.coalesce("comment", F.lit("")).alias("comment"), decision.alias("decision"))
+
+
 def normalise_model_name(c: str = "model") -> F.Column:
     """P-11 / X-7: strip underscores, lower-case, map known aliases."""
     key = F.lower(F.regexp_replace(F.col(c), "_", ""))

@@ -155,10 +155,11 @@ def validate_series(df: DataFrame, step_seconds: int = 3600, min_length: int = W
 
 
 def window_numbers(cutoffs: DataFrame) -> DataFrame:
-    """A-13: distinct cutoff timestamps → window number 1..k (oldest first).
-    The distinct set is small (one row per window), so one ordered window is fine."""
-    d = cutoffs.select("cutoff").distinct()
-    return d.withColumn("window", F.dense_rank().over(Window.orderBy("cutoff")))
+    """A-13: distinct cutoff timestamps of each series → window number 1..k
+    (oldest first). Ranked per series, so each window partition holds only
+    that series' few cutoffs (never one global ordering)."""
+    d = cutoffs.select("unique_id", "cutoff").distinct()
+    return d.withColumn("window", F.dense_rank().over(Window.partitionBy("unique_id").orderBy("cutoff")))
 
 
 def flatten_report(wide: DataFrame, block: str | Column, id_cols: Sequence[str] = ("unique_id",)) -> DataFrame:
