@@ -76,6 +76,14 @@ def register_model(name: str, factory: Callable[..., object]) -> None:
 
 # ---------------------------------------------------------------- training sets (F-19)
 
+def tail_for_cutoffs(panel: DataFrame, cutoffs: DataFrame, keep: int) -> DataFrame:
+    """Only the positions any window can read: ``pos > min(cut) - keep`` per
+    series, so features / windows are not computed over the whole history."""
+    first = cutoffs.groupBy("unique_id").agg(F.min("cut").alias("_c0"))
+    return (panel.join(first, "unique_id")
+                 .filter(F.col("pos") > F.col("_c0") - F.lit(keep)).drop("_c0"))
+
+
 def training_rows(features: DataFrame, cutoffs: DataFrame, config: FeatureConfig) -> DataFrame:
     """Feature rows of each window: ``lo + lookback <= pos <= cut`` with
     ``lo = max(1, cut - max_train + 1)``; incomplete rows dropped."""
@@ -260,7 +268,9 @@ def ml_forecasts(panel: DataFrame, cutoffs: DataFrame, models: list[str] | None
                  step_seconds: int = 3600) -> DataFrame:
     """F-19 + F-20 for every (model, series, window)."""
     models = models or list(MODEL_REGISTRY)
-    feats = forecast_features(panel.select("unique_id", "ds", "y", "pos"), config)
+    look = max(max(config.lags), max(config.rolling_windows))
+    tail = tail_for_cutoffs(panel.select("unique_id", "ds", "y", "pos"), cutoffs, config.max_train_size + look)
+    feats = forecast_features(tail, config)
     ensure_checkpoint_dir(panel.sparkSession)
     train = training_rows(feats, cutoffs, config).checkpoint(eager=True)
     windows = sorted(r["window"] for r in cutoffs.select("window").distinct().collect())
@@ -289,8 +299,8 @@ def direct_window_forecasts(panel: DataFrame, cutoffs: DataFrame, input_size: in
     span = input_size + horizon
     w = hw.series_window()
     frame = w.rowsBetween(-(input_size - 1), horizon)
-    rows = hw.rolling(panel.select("unique_id", "pos", "y"), {"_win": F.collect_list("y").over(frame)},
-                      behind=input_size - 1, ahead=horizon)
+    tail = tail_for_cutoffs(panel.select("unique_id", "pos", "y"), cutoffs, train_size + input_size)
+    rows = hw.rolling(tail, {"_win": F.collect_list("y").over(frame)}, behind=input_size - 1, ahead=horizon)
     rows = rows.filter(F.size("_win") == span)
     # a training window ending its targets at pos + horizon belongs to backtest window w
     cuts = cutoffs.groupBy("unique_id").agg(F.collect_list(F.struct("window", "cut")).alias("_cs"))
