@@ -8,7 +8,6 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from tests.conftest import panel_df
 from tspanel.operators import prepare as P

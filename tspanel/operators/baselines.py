@@ -21,7 +21,7 @@ from tspanel.config import (DAILY_SEASON, HORIZON, LEVEL_MULTIPLIERS, MAX_TRAIN_
                             RECENT_WEEKS, SCALE_FALLBACK, WEEKLY_SEASON)
 from tspanel.operators import windowing as hw
 from tspanel.operators.prepare import series_length
-from tspanel.operators.ranges import pop_std, range_moments, range_sums
+from tspanel.operators.ranges import pop_std, range_sums
 
 KEYS = ["unique_id", "window", "cut"]
 

@@ -14,7 +14,6 @@ from tspanel.operators import baselines as B
 from tspanel.operators import evaluate as E
 from tspanel.operators import prepare as P
 from tspanel.operators import profile as A
-from tspanel.session import ensure_checkpoint_dir
 
 NO_CAP = 10 ** 15
 

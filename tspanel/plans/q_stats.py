@@ -11,7 +11,6 @@ from tspanel.config import BacktestConfig
 from tspanel.operators import baselines as B
 from tspanel.operators import diagnose as D
 from tspanel.operators import evaluate as E
-from tspanel.operators import profile as A
 from tspanel.plans import pipelines as PL
 from tspanel.plans.q_pipeline import pipeline_ctes
 from tspanel.plans.registry import R, register, rnd
