@@ -235,3 +235,22 @@ def test_short_and_constant_series_do_not_raise(spark):
     tests = D.pipeline_tests(preds).collect()
     assert all(r["statistic"] is None or r["statistic"] == r["statistic"] for r in tests)
     assert B.train_scales(p, cuts).count() == cuts.count()
+
+
+def test_registered_forecaster_joins_backtest(spark, seasonal):
+    from tspanel.plans import pipelines as PL
+
+    p, _, _ = seasonal
+
+    def mean_of_train(panel, cuts):
+        means = (panel.join(cuts, "unique_id").filter(F.col("pos") <= F.col("cut"))
+                      .groupBy("unique_id", "window", "cut").agg(F.avg("y").alias("y_pred")))
+        return means.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(24)))).withColumn("model", F.lit("mean"))
+
+    PL.register_forecaster("mean", mean_of_train)
+    try:
+        _, _, lb = PL.statistical_backtest(p)
+        assert "mean" in {r["model"] for r in lb.collect()}
+        assert PL.statistical_forecast(p).filter("model = 'mean'").count() == 48
+    finally:
+        PL.FORECASTERS.pop("mean")

@@ -17,6 +17,30 @@ from tspanel.operators import profile as A
 
 NO_CAP = 10 ** 15
 
+# Extension point: name → fn(panel, cutoffs) returning
+# ``unique_id, window, cut, horizon, model, y_pred`` (+ optional band columns).
+FORECASTERS: dict = {}
+
+
+def register_forecaster(name: str, fn) -> None:
+    """Add a DataFrame → DataFrame forecaster to every statistical backtest and
+    final forecast (it receives the regular panel and the cutoff table)."""
+    FORECASTERS[name] = fn
+
+
+def _with_registered(extra):
+    fns = list(FORECASTERS.values()) + ([extra] if extra is not None else [])
+    if not fns:
+        return None
+
+    def run(panel, cuts):
+        out = None
+        for fn in fns:
+            part = fn(panel, cuts)
+            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+        return out
+    return run
+
 
 from tspanel.session import materialize  # noqa: E402  (re-exported for callers)
 
@@ -72,6 +96,7 @@ def statistical_backtest(panel: DataFrame, cfg: BacktestConfig = BacktestConfig(
     """PIPE-3 backtest: F-10 cutoffs → baselines with bands (+ optional fleet
     forecasts from ``extra(panel, cutoffs)``) → P-12 → actuals → clamped
     metrics with the in-sample MASE scale → leaderboard."""
+    extra = _with_registered(extra)
     cuts = B.backtest_cutoffs(panel, cfg.horizon, cfg.n_windows, cfg.step, cfg.min_history)
     scales = B.train_scales(panel, cuts, cfg.season, cfg.max_history)
     fc = B.baseline_forecasts(panel, cuts, cfg.horizon, models, cfg.season, long_season, cfg.max_history,
@@ -91,6 +116,7 @@ def statistical_backtest(panel: DataFrame, cfg: BacktestConfig = BacktestConfig(
 def statistical_forecast(panel: DataFrame, cfg: BacktestConfig = BacktestConfig(), step_seconds: int = 3600,
                          models=B.BASELINE_MODELS, long_season: int = WEEKLY_SEASON, extra=None) -> DataFrame:
     """F-12: every model fitted on the whole (capped) series, future timestamps."""
+    extra = _with_registered(extra)
     cuts = B.final_cutoffs(panel)
     fc = B.baseline_forecasts(panel, cuts, cfg.horizon, models, cfg.season, long_season, cfg.max_history,
                               actuals=True)
