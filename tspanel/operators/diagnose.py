@@ -29,33 +29,12 @@ def residual_sequence(preds: DataFrame, keys: tuple[str, ...] = ("unique_id", "m
                  .withColumn("seq", F.row_number().over(w)))
 
 
-def ljung_box(res: DataFrame, max_lag: int, lag: Column | None = None,
-              keys: tuple[str, ...] = ("unique_id", "model"), value: str = "residual") -> DataFrame:
-    """Ljung-Box ``Q = n(n+2) Σ_{k≤lag} r_k² / (n-k)`` with the biased ACF r_k.
-
-    Long format: the residual table (bounded: windows × horizon rows per key)
-    is joined to itself on ``seq - k`` for k = 0..max_lag, so the plan stays
-    small whatever the lag. ``lag`` may be an expression of ``n`` (default
-    ``max_lag``). Returns ``*keys, n, lag, q``."""
-    mean = F.avg(value).over(Window.partitionBy(*keys))
-    d = res.filter(F.col(value).isNotNull()).select(*keys, "seq", (F.col(value) - mean).alias("_e"))
-    lags = d.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(max_lag)))).withColumn("_s2", F.col("seq") - F.col("k"))
-    other = d.select(*keys, F.col("seq").alias("_s2"), F.col("_e").alias("_e2"))
-    c = lags.join(other, [*keys, "_s2"]).groupBy(*keys, "k").agg(F.sum(F.col("_e") * F.col("_e2")).alias("_c"))
-    n = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    c0 = c.filter(F.col("k") == 0).select(*keys, F.col("_c").alias("_c0"))
-    lag_expr = F.lit(max_lag) if lag is None else lag
-    nn = F.col("n").cast("double")
-    r = F.try_divide(F.col("_c"), F.col("_c0"))
-    term = F.when((F.col("k") >= 1) & (F.col("k") <= F.col("lag")), F.try_divide(r * r, nn - F.col("k")))
-    return (c.join(c0, list(keys)).join(n.withColumn("lag", lag_expr.cast("int")), list(keys))
-             .groupBy(*keys, "n", "lag").agg((nn * (nn + F.lit(2.0)) * F.sum(term)).alias("q")))
-
-
 def residual_diagnostics(preds: DataFrame, best: DataFrame, lag: int = 24) -> DataFrame:
     """D-1..D-4 for each series' chosen model: mean, std (ddof 0), MAE, median,
     lag-1 Pearson autocorrelation, 80/95 coverage (NULL without bands),
-    Ljung-Box p-value at ``lag`` (χ² with even df in closed form)."""
+    Ljung-Box p-value at ``lag`` (χ² with even df in closed form). The
+    residuals of one (series, model) are bounded by windows × horizon, so one
+    aggregation gathers them and the Ljung-Box sum runs on the ordered array."""
     res = residual_sequence(preds.join(best.select("unique_id", "model"), ["unique_id", "model"], "left_semi"))
     w = Window.partitionBy("unique_id", "model").orderBy("seq")
     res = res.withColumn("_prev", F.lag("residual").over(w))
@@ -69,12 +48,33 @@ def residual_diagnostics(preds: DataFrame, best: DataFrame, lag: int = 24) -> Da
     base = res.groupBy("unique_id", "model").agg(
         F.avg(r).alias("residual_mean"), F.stddev_pop(r).alias("residual_std"), F.avg(F.abs(r)).alias("residual_mae"),
         F.percentile(r, 0.5).alias("residual_median"), F.corr(r, F.col("_prev")).alias("residual_lag1_autocorr"),
-        cover(80).alias("coverage_80"), cover(95).alias("coverage_95"))
-    lb = ljung_box(res, lag)
-    q = F.col("q")
-    lbp = lb.select("unique_id", "model", F.when(F.col("n") > lag, SM.chi2_sf_even_expr(q, lag) if lag % 2 == 0
-                                                  else SM.chi2_sf_col(q, F.lit(float(lag)))).alias("ljung_box_pvalue"))
-    return base.join(lbp, ["unique_id", "model"], "left")
+        cover(80).alias("coverage_80"), cover(95).alias("coverage_95"),
+        F.array_sort(F.collect_list(F.when(r.isNotNull(), F.struct("seq", "residual")))).alias("_s"))
+    arr = F.transform("_s", lambda x: x["residual"])
+    q = ljung_box_array(arr, F.lit(lag))
+    p = SM.chi2_sf_even_expr(q, lag) if lag % 2 == 0 else SM.chi2_sf_col(q, F.lit(float(lag)))
+    return base.withColumn("ljung_box_pvalue", F.when(F.size(arr) > lag, p)).drop("_s")
+
+
+def _array_mean(arr: Column) -> Column:
+    return F.try_divide(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x), F.size(arr).cast("double"))
+
+
+def ljung_box_array(arr: Column, lag: Column) -> Column:
+    """Ljung-Box Q of an ordered residual array (bounded: windows × horizon
+    values), computed JVM-side with higher-order functions."""
+    n = F.size(arr).cast("double")
+    m = _array_mean(arr)
+    c0 = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + (x - m) * (x - m))
+
+    def ck(k):
+        idx = F.sequence(k + 1, F.size(arr))
+        return F.aggregate(idx, F.lit(0.0),
+                           lambda acc, t: acc + (F.element_at(arr, t) - m) * (F.element_at(arr, t - k) - m))
+
+    terms = F.aggregate(F.sequence(F.lit(1), lag), F.lit(0.0),
+                        lambda acc, k: acc + F.try_divide(F.try_divide(ck(k), c0) * F.try_divide(ck(k), c0), n - k))
+    return F.when(lag >= 1, n * (n + F.lit(2.0)) * terms)
 
 
 def pipeline_tests(preds: DataFrame, final_model: str = "seasonal_how_average",
@@ -82,51 +82,51 @@ def pipeline_tests(preds: DataFrame, final_model: str = "seasonal_how_average",
     """D-4..D-6 of the final pipeline per series: bias t-test (n ≥ 10), Ljung-Box
     at ``min(24, max(1, n // 3))`` (n ≥ 30), paired t-test of absolute errors
     against the baseline (equal counts, n ≥ 10).
-    Returns ``unique_id, test, statistic, pvalue, status``."""
-    res = residual_sequence(preds.filter(F.col("model").isin(final_model, base_model)))
-    fin = res.filter((F.col("model") == final_model) & F.col("residual").isNotNull())
-    base = res.filter((F.col("model") == base_model) & F.col("residual").isNotNull())
-
-    bias = fin.groupBy("unique_id").agg(F.count("residual").alias("n"), F.avg("residual").alias("_m"),
-                                        F.stddev_samp("residual").alias("_s"))
-    bias = bias.withColumn("statistic", F.try_divide(F.col("_m"), F.try_divide(F.col("_s"), F.sqrt(F.col("n")))))
-
-    max_lag = 24
-    lagc = F.least(F.lit(max_lag), F.greatest(F.lit(1), F.floor(F.col("n") / 3)))
-    lb = (ljung_box(fin, max_lag, lagc, keys=("unique_id",))
-          .withColumnRenamed("lag", "_lag").withColumnRenamed("q", "statistic"))
-
-    fa = fin.select("unique_id", "window", "horizon", F.abs("residual").alias("_a"))
-    ba = base.select("unique_id", "window", "horizon", F.abs("residual").alias("_b"))
-    counts = (fin.groupBy("unique_id").agg(F.count(F.lit(1)).alias("_nf"))
-                 .join(base.groupBy("unique_id").agg(F.count(F.lit(1)).alias("_nb")), "unique_id"))
-    paired = (fa.join(ba, ["unique_id", "window", "horizon"]).withColumn("_d", F.col("_a") - F.col("_b"))
-                .groupBy("unique_id").agg(F.count("_d").alias("n"), F.avg("_d").alias("_m"), F.stddev_samp("_d").alias("_s"),
-                                          F.avg("_a").alias("_ma"), F.avg("_b").alias("_mb"))
-                .join(counts, "unique_id").filter(F.col("_nf") == F.col("_nb"))
-                .withColumn("statistic", F.try_divide(F.col("_m"), F.try_divide(F.col("_s"), F.sqrt(F.col("n"))))))
-
-    def pv_t(df: DataFrame) -> Column:
-        return SM.t_two_sided_col(F.col("statistic"), (F.col("n") - 1).cast("double")) if with_pvalues else F.lit(None).cast("double")
-
-    rows = [
-        bias.filter(F.col("n") >= 10).select("unique_id", F.lit("bias_ttest").alias("test"), "statistic",
-                                             pv_t(bias).alias("pvalue"), F.lit(None).cast("boolean").alias("_ok")),
-        lb.filter(F.col("n") >= 30).select("unique_id", F.concat(F.lit("ljung_box_lag_"), F.col("_lag").cast("string")).alias("test"),
-                                           "statistic",
-                                           (SM.chi2_sf_col(F.col("statistic"), F.col("_lag").cast("double")) if with_pvalues
-                                            else F.lit(None).cast("double")).alias("pvalue"),
-                                           F.lit(None).cast("boolean").alias("_ok")),
-        paired.filter(F.col("n") >= 10).select("unique_id", F.lit("paired_ttest_vs_seasonal_naive_168").alias("test"),
-                                               "statistic", pv_t(paired).alias("pvalue"),
-                                               (F.col("_ma") <= F.col("_mb")).alias("_ok")),
-    ]
-    out = rows[0].unionByName(rows[1]).unionByName(rows[2])
-    status = F.when(F.col("_ok").isNotNull(), F.when(F.col("_ok"), "pass").otherwise("warn")).otherwise(
-        F.when(F.col("pvalue") >= 0.05, "pass").otherwise("warn"))
-    if not with_pvalues:
-        status = F.when(F.col("_ok").isNotNull(), F.when(F.col("_ok"), "pass").otherwise("warn"))
-    return out.withColumn("status", status).drop("_ok")
+
+    Residuals of a series are bounded by windows × horizon, so one aggregation
+    per series gathers them (ordered by window, step) and every statistic is a
+    projection. Returns ``unique_id, test, statistic, pvalue, status``."""
+    r = F.col("y") - F.col("y_pred")
+    pair = (preds.filter(F.col("model").isin(final_model, base_model))
+                 .groupBy("unique_id", "window", "horizon")
+                 .agg(F.max(F.when(F.col("model") == final_model, r)).alias("_rf"),
+                      F.max(F.when(F.col("model") == base_model, r)).alias("_rb")))
+    both = F.col("_rf").isNotNull() & F.col("_rb").isNotNull()
+    d = F.when(both, F.abs("_rf") - F.abs("_rb"))
+    per = pair.groupBy("unique_id").agg(
+        F.count("_rf").alias("n_f"), F.avg("_rf").alias("m_f"), F.stddev_samp("_rf").alias("s_f"),
+        F.count("_rb").alias("n_b"), F.count(d).alias("n_d"), F.avg(d).alias("m_d"), F.stddev_samp(d).alias("s_d"),
+        F.avg(F.when(both, F.abs("_rf"))).alias("ma"), F.avg(F.when(both, F.abs("_rb"))).alias("mb"),
+        F.array_sort(F.collect_list(F.when(F.col("_rf").isNotNull(),
+                                           F.struct("window", "horizon", "_rf")))).alias("_s"))
+    arr = F.transform("_s", lambda x: x["_rf"])
+    lag = F.least(F.lit(24), F.greatest(F.lit(1), F.floor(F.col("n_f") / 3))).cast("int")
+    t_bias = F.try_divide(F.col("m_f"), F.try_divide(F.col("s_f"), F.sqrt(F.col("n_f"))))
+    t_pair = F.try_divide(F.col("m_d"), F.try_divide(F.col("s_d"), F.sqrt(F.col("n_d"))))
+    stats = per.select("unique_id", "n_f", "n_b", "n_d", "ma", "mb", lag.alias("_lag"),
+                       t_bias.alias("_tb"), t_pair.alias("_tp"), ljung_box_array(arr, lag).alias("_q"))
+    rows = F.array(
+        F.struct(F.lit("bias_ttest").alias("test"), F.col("_tb").alias("statistic"),
+                 (F.col("n_f") - 1).cast("double").alias("df"), F.lit("t").alias("dist"),
+                 F.lit(None).cast("boolean").alias("_ok"), (F.col("n_f") >= 10).alias("_use")),
+        F.struct(F.concat(F.lit("ljung_box_lag_"), F.col("_lag").cast("string")).alias("test"), F.col("_q").alias("statistic"),
+                 F.col("_lag").cast("double").alias("df"), F.lit("chi2").alias("dist"),
+                 F.lit(None).cast("boolean").alias("_ok"), (F.col("n_f") >= 30).alias("_use")),
+        F.struct(F.lit("paired_ttest_vs_seasonal_naive_168").alias("test"), F.col("_tp").alias("statistic"),
+                 (F.col("n_d") - 1).cast("double").alias("df"), F.lit("t").alias("dist"),
+                 (F.col("ma") <= F.col("mb")).alias("_ok"),
+                 ((F.col("n_f") == F.col("n_b")) & (F.col("n_d") >= 10)).alias("_use")))
+    out = stats.select("unique_id", F.explode(rows).alias("_r")).select("unique_id", "_r.*").filter("_use")
+    if with_pvalues:
+        pv = F.when(F.col("dist") == "t", SM.t_two_sided_col(F.col("statistic"), F.col("df"))).otherwise(
+            SM.chi2_sf_col(F.col("statistic"), F.col("df")))
+        status = F.when(F.col("_ok").isNotNull(), F.when(F.col("_ok"), "pass").otherwise("warn")).otherwise(
+            F.when(pv >= 0.05, "pass").otherwise("warn"))
+        out = out.withColumn("pvalue", pv).withColumn("status", status)
+    else:
+        out = out.withColumn("pvalue", F.lit(None).cast("double")).withColumn(
+            "status", F.when(F.col("_ok").isNotNull(), F.when(F.col("_ok"), "pass").otherwise("warn")))
+    return out.select("unique_id", "test", "statistic", "pvalue", "status")
 
 
 # ---------------------------------------------------------------- ACF / PACF (D-7, D-8)
