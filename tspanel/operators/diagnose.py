@@ -50,31 +50,32 @@ def residual_diagnostics(preds: DataFrame, best: DataFrame, lag: int = 24) -> Da
         F.percentile(r, 0.5).alias("residual_median"), F.corr(r, F.col("_prev")).alias("residual_lag1_autocorr"),
         cover(80).alias("coverage_80"), cover(95).alias("coverage_95"),
         F.array_sort(F.collect_list(F.when(r.isNotNull(), F.struct("seq", "residual")))).alias("_s"))
-    arr = F.transform("_s", lambda x: x["residual"])
-    q = ljung_box_array(arr, F.lit(lag))
+    base = with_ljung_box(base.withColumn("_arr", F.transform("_s", lambda x: x["residual"])), "_arr", F.lit(lag), "_q")
+    q = F.col("_q")
     p = SM.chi2_sf_even_expr(q, lag) if lag % 2 == 0 else SM.chi2_sf_col(q, F.lit(float(lag)))
-    return base.withColumn("ljung_box_pvalue", F.when(F.size(arr) > lag, p)).drop("_s")
-
-
-def _array_mean(arr: Column) -> Column:
-    return F.try_divide(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x), F.size(arr).cast("double"))
-
-
-def ljung_box_array(arr: Column, lag: Column) -> Column:
-    """Ljung-Box Q of an ordered residual array (bounded: windows × horizon
-    values), computed JVM-side with higher-order functions."""
-    n = F.size(arr).cast("double")
-    m = _array_mean(arr)
-    c0 = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + (x - m) * (x - m))
-
-    def ck(k):
-        idx = F.sequence(k + 1, F.size(arr))
-        return F.aggregate(idx, F.lit(0.0),
-                           lambda acc, t: acc + (F.element_at(arr, t) - m) * (F.element_at(arr, t - k) - m))
-
-    terms = F.aggregate(F.sequence(F.lit(1), lag), F.lit(0.0),
-                        lambda acc, k: acc + F.try_divide(F.try_divide(ck(k), c0) * F.try_divide(ck(k), c0), n - k))
-    return F.when(lag >= 1, n * (n + F.lit(2.0)) * terms)
+    return base.withColumn("ljung_box_pvalue", F.when(F.size("_arr") > lag, p)).drop("_s", "_arr", "_q", "_lag")
+
+
+def with_ljung_box(df: DataFrame, arr: str, lag: Column, out: str = "_q") -> DataFrame:
+    """Ljung-Box Q of an ordered residual array column (bounded: windows ×
+    horizon values), JVM-side, in staged projections so the mean, the centred
+    array and each lag sum are evaluated once per row."""
+    n = F.size(arr)
+    df = df.withColumn("_lbn", n.cast("double")).withColumn("_lag", lag)
+    df = df.withColumn("_lbm", F.try_divide(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x), F.col("_lbn")))
+    df = df.withColumn("_lbe", F.transform(arr, lambda x: x - F.col("_lbm")))
+    df = df.withColumn("_lbc0", F.aggregate("_lbe", F.lit(0.0), lambda acc, x: acc + x * x))
+    e = F.col("_lbe")
+    df = df.withColumn("_lbck", F.transform(
+        F.sequence(F.lit(1), F.greatest(F.col("_lag"), F.lit(1))),
+        lambda k: F.aggregate(F.sequence(k + 1, F.greatest(n, k + 1)), F.lit(0.0),
+                              lambda acc, t: acc + F.coalesce(F.try_element_at(e, t) * F.try_element_at(e, t - k),
+                                                              F.lit(0.0)))))
+    r2 = F.aggregate(F.sequence(F.lit(1), F.greatest(F.col("_lag"), F.lit(1))), F.lit(0.0),
+                     lambda acc, k: acc + F.try_divide(F.pow(F.try_divide(F.element_at("_lbck", k), F.col("_lbc0")), 2),
+                                                       F.col("_lbn") - k))
+    df = df.withColumn(out, F.when(F.col("_lag") >= 1, F.col("_lbn") * (F.col("_lbn") + F.lit(2.0)) * r2))
+    return df.drop("_lbn", "_lbm", "_lbe", "_lbc0", "_lbck")
 
 
 def pipeline_tests(preds: DataFrame, final_model: str = "seasonal_how_average",
@@ -103,8 +104,9 @@ def pipeline_tests(preds: DataFrame, final_model: str = "seasonal_how_average",
     lag = F.least(F.lit(24), F.greatest(F.lit(1), F.floor(F.col("n_f") / 3))).cast("int")
     t_bias = F.try_divide(F.col("m_f"), F.try_divide(F.col("s_f"), F.sqrt(F.col("n_f"))))
     t_pair = F.try_divide(F.col("m_d"), F.try_divide(F.col("s_d"), F.sqrt(F.col("n_d"))))
-    stats = per.select("unique_id", "n_f", "n_b", "n_d", "ma", "mb", lag.alias("_lag"),
-                       t_bias.alias("_tb"), t_pair.alias("_tp"), ljung_box_array(arr, lag).alias("_q"))
+    stats = with_ljung_box(per.withColumn("_arr", arr), "_arr", lag, "_q")
+    stats = stats.select("unique_id", "n_f", "n_b", "n_d", "ma", "mb", "_lag", t_bias.alias("_tb"),
+                         t_pair.alias("_tp"), "_q")
     rows = F.array(
         F.struct(F.lit("bias_ttest").alias("test"), F.col("_tb").alias("statistic"),
                  (F.col("n_f") - 1).cast("double").alias("df"), F.lit("t").alias("dist"),
