@@ -42,12 +42,14 @@ def consecutive_gaps(df: DataFrame, bucket_seconds: int = GAP_BUCKET_SECONDS) ->
 
 
 def step_stats(df: DataFrame, bucket_seconds: int = GAP_BUCKET_SECONDS) -> DataFrame:
-    """A-2: most common (smallest on ties), min and max gap in seconds."""
+    """A-2: most common (smallest on ties), min and max gap in seconds, plus the
+    number of zero gaps (= repeated non-null timestamps)."""
     gaps = consecutive_gaps(df, bucket_seconds)
     counts = gaps.groupBy("unique_id", "gap").agg(F.count(F.lit(1)).alias("_c"))
     mode = counts.groupBy("unique_id").agg(
         F.max_by("gap", F.struct(F.col("_c"), -F.col("gap"))).alias("most_common_step"),
-        F.min("gap").alias("min_step"), F.max("gap").alias("max_step"))
+        F.min("gap").alias("min_step"), F.max("gap").alias("max_step"),
+        F.coalesce(F.sum(F.when(F.col("gap") == 0, F.col("_c"))), F.lit(0)).alias("_zero_gaps"))
     return mode
 
 
@@ -63,13 +65,15 @@ def quality_report(df: DataFrame, target: str = "y", bucket_seconds: int = GAP_B
         F.count(F.lit(1)).alias("rows"),
         F.min("ds").alias("date_min"), F.max("ds").alias("date_max"),
         F.count_if(F.col("ds").isNull()).alias("missing_dates"),
-        (F.count(F.lit(1)) - F.count_distinct("ds")
-         - F.when(F.count_if(F.col("ds").isNull()) > 0, 1).otherwise(0)).alias("duplicate_dates"),
         F.count_if(y.isNull()).alias("missing_target"),
         F.min(y).alias("target_min"), F.max(y).alias("target_max"), F.avg(y).alias("target_mean"))
     med = exact_quantiles(df, ["unique_id"], target, [0.5], out="_q").withColumnRenamed("_q_0", "target_median")
     base = base.join(med, "unique_id", "left").withColumn("columns", F.lit(len(df.columns)).cast("bigint"))
-    return base.join(step_stats(df, bucket_seconds), "unique_id", "left")
+    out = base.join(step_stats(df, bucket_seconds), "unique_id", "left")
+    # every repeat counts; NULL timestamps are equal to each other (pandas ``duplicated``)
+    dups = (F.coalesce(F.col("_zero_gaps"), F.lit(0))
+            + F.when(F.col("missing_dates") > 0, F.col("missing_dates") - 1).otherwise(F.lit(0)))
+    return out.withColumn("duplicate_dates", dups.cast("bigint")).drop("_zero_gaps")
 
 
 def missing_values_table(df: DataFrame) -> DataFrame:
@@ -127,14 +131,16 @@ def validate_series(df: DataFrame, step_seconds: int = 3600, min_length: int = W
     """A-12: six checks per series → ``unique_id, test, status, observed``."""
     has_cols = set(required).issubset(df.columns)
     gaps = consecutive_gaps(df, bucket_seconds)
-    irregular = gaps.groupBy("unique_id").agg(F.count_if(F.col("gap") != F.lit(float(step_seconds))).alias("irregular"))
+    irregular = gaps.groupBy("unique_id").agg(F.count_if(F.col("gap") != F.lit(float(step_seconds))).alias("irregular"),
+                                              F.count_if(F.col("gap") == 0).alias("_zero"))
     stats = df.groupBy("unique_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.count(F.lit(1)) - F.count_distinct("ds")
-         - F.when(F.count_if(F.col("ds").isNull()) > 0, 1).otherwise(0)).alias("dups"),
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("ds").isNull()).alias("_nulls"),
         F.count_if(F.col("y").isNull()).alias("missing"),
         F.avg(F.coalesce((F.col("y") < 0).cast("double"), F.lit(0.0))).alias("neg_share"))
-    s = stats.join(irregular, "unique_id", "left").withColumn("irregular", F.coalesce("irregular", F.lit(0)))
+    s = (stats.join(irregular, "unique_id", "left")
+              .withColumn("irregular", F.coalesce("irregular", F.lit(0)))
+              .withColumn("dups", F.coalesce("_zero", F.lit(0))
+                          + F.when(F.col("_nulls") > 0, F.col("_nulls") - 1).otherwise(F.lit(0))))
 
     def row(test: str, status: Column, observed: Column) -> Column:
         return F.struct(F.lit(test).alias("test"), status.alias("status"), observed.cast("double").alias("observed"))
