@@ -168,14 +168,6 @@ def t_two_sided_col(t, df):
     return _vec(lambda a, b: float("nan") if a is None or b is None else t_two_sided(a, b), t, df)
 
 
-def adf_pvalue_col(tau):
-    return _vec(adf_pvalue, tau)
-
-
-def kpss_pvalue_col(stat):
-    return _vec(kpss_pvalue, stat)
-
-
 def chi2_sf_even_expr(x, df_even: int):
     """Closed form for an even number of degrees of freedom (pure SQL):
     ``exp(-x/2) · Σ_{j<df/2} (x/2)^j / j!``."""

@@ -169,10 +169,6 @@ def q_quality_dups(spark, sf):
 
 # ---------------------------------------------------------------- S-9, PIPE-1
 
-def _fmt_num(c):
-    return f"printf('%.6f', {c})"
-
-
 QUALITY_LONG_SQL = """
 {name}_long AS (
   SELECT '{block}' AS block, metric, value FROM (
