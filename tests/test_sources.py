@@ -59,6 +59,8 @@ def test_load_or_prepare_and_sink(spark):
     RD.write_table(p.drop("pos"), out)
     back = RD.load_prepared(spark, out)
     assert back.count() == 3 and back.columns == ["unique_id", "ds", "y"]
+    RD.write_table(p, out + "_pos")
+    assert RD.load_prepared(spark, out + "_pos").columns == ["unique_id", "ds", "y", "pos"]
     with pytest.raises(FileNotFoundError):
         RD.load_or_prepare(spark)
 

@@ -75,13 +75,17 @@ def read_raw_sensor(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_prepared(spark: SparkSession, path: str, fmt: str = "parquet", drop_missing: bool = False) -> DataFrame:
-    """S-4 / S-5: prepared ``unique_id, ds, y`` with type coercion."""
+    """S-4 / S-5: prepared ``unique_id, ds, y`` with type coercion (a stored
+    grid position ``pos`` is kept, so no per-series join is needed later)."""
     if fmt == "csv":
         df = read_text_table(spark, path).drop("_row")
     else:
         df = spark.read.format(fmt).load(path)
     require_columns(df, ["unique_id", "ds", "y"], "prepared series")
-    out = df.select(F.col("unique_id").cast("string"), to_timestamp("ds").alias("ds"), to_number("y").alias("y"))
+    cols = [F.col("unique_id").cast("string"), to_timestamp("ds").alias("ds"), to_number("y").alias("y")]
+    if "pos" in df.columns:
+        cols.append(F.col("pos").cast("long"))
+    out = df.select(*cols)
     return out.dropna(subset=["ds", "y"]) if drop_missing else out
 
 
