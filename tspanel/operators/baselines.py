@@ -385,10 +385,13 @@ def baseline_forecasts(panel: DataFrame, cutoffs: DataFrame, horizon: int = HORI
 
 def pipeline_forecasts(panel: DataFrame, cutoffs: DataFrame, step_seconds: int = 3600, horizon: int = HORIZON,
                        recent_weeks: int = RECENT_WEEKS, fallback_window: int = DAILY_SEASON,
-                       long_season: int = WEEKLY_SEASON, actuals: bool = True) -> DataFrame:
+                       long_season: int = WEEKLY_SEASON, actuals: bool = True,
+                       models: Sequence[str] | None = None) -> DataFrame:
     """F-5 (hour-of-week average) and F-2 (seasonal naive, whole history) of
     the final pipeline through one request table; with ``actuals`` the rows
-    carry ``y``, ``ds``, ``residual``, ``cutoff``."""
+    carry ``y``, ``ds``, ``residual``, ``cutoff``. ``models`` restricts the
+    requests to the models asked for."""
+    models = list(models or ("seasonal_how_average", f"seasonal_naive_{long_season}"))
     week = 7 * 24 * 3600
     if week % step_seconds or step_seconds % 3600:
         raise ValueError("seasonal_how_average needs a step that is a whole number of hours dividing a week")
@@ -400,24 +403,26 @@ def pipeline_forecasts(panel: DataFrame, cutoffs: DataFrame, step_seconds: int =
     sn = F.when(F.col("cut") < F.lit(long_season), F.col("cut")).otherwise(
         F.col("cut") - F.lit(long_season - 1) + (F.col("horizon") - 1) % F.lit(long_season))
     fb_lo = F.greatest(F.lit(1), F.col("cut") - F.lit(fallback_window - 1))
-    parts = [
-        steps.select(*KEYS, F.lit("seasonal_how_average").alias("model"), "horizon", F.explode_outer(how).alias("_sp")),
-        steps.select(*KEYS, F.lit(f"seasonal_naive_{long_season}").alias("model"), "horizon", sn.alias("_sp")),
-        steps.select(*KEYS, F.lit("_actual").alias("model"), "horizon", target.alias("_sp")),
-        cutoffs.select(*KEYS, F.lit("_last").alias("model"), F.lit(0).alias("horizon"), F.col("cut").alias("_sp")),
-        cutoffs.select(*KEYS, F.lit("_fb").alias("model"), F.lit(0).alias("horizon"),
-                       F.explode(F.sequence(fb_lo, F.col("cut"))).alias("_sp")),
-    ]
+    parts = [cutoffs.select(*KEYS, F.lit("_last").alias("model"), F.lit(0).alias("horizon"), F.col("cut").alias("_sp"))]
+    if "seasonal_how_average" in models:
+        parts.append(steps.select(*KEYS, F.lit("seasonal_how_average").alias("model"), "horizon",
+                                  F.explode_outer(how).alias("_sp")))
+        parts.append(cutoffs.select(*KEYS, F.lit("_fb").alias("model"), F.lit(0).alias("horizon"),
+                                    F.explode(F.sequence(fb_lo, F.col("cut"))).alias("_sp")))
+    if f"seasonal_naive_{long_season}" in models:
+        parts.append(steps.select(*KEYS, F.lit(f"seasonal_naive_{long_season}").alias("model"), "horizon", sn.alias("_sp")))
+    if actuals or len(parts) == 1:
+        parts.append(steps.select(*KEYS, F.lit("_actual").alias("model"), "horizon", target.alias("_sp")))
     req = parts[0]
     for p in parts[1:]:
         req = req.unionByName(p)
     agg = _lookup_agg(panel, req)
-    models = [("seasonal_how_average", F.coalesce(F.col("m_seasonal_how_average"), F.col("_fb"), F.col("_last"))),
-              (f"seasonal_naive_{long_season}", F.col(f"m_seasonal_naive_{long_season}"))]
-    out = _assemble(agg, ["seasonal_how_average", f"seasonal_naive_{long_season}"], ["_last", "_fb"], models, None)
+    exprs = {"seasonal_how_average": F.coalesce(F.col("m_seasonal_how_average"), F.col("_fb"), F.col("_last")),
+             f"seasonal_naive_{long_season}": F.col(f"m_seasonal_naive_{long_season}")}
+    out = _assemble(agg, models, ["_last", "_fb"], [(m, exprs[m]) for m in models], None)
     if actuals:
         return out.withColumn("residual", F.col("y") - F.col("y_pred"))
-    return out.select(*KEYS, "horizon", "model", "y_pred")
+    return out.select(*KEYS, "horizon", "model", "y_pred", "cutoff")
 
 
 def attach_actuals(forecasts: DataFrame, panel: DataFrame) -> DataFrame:

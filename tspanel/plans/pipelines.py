@@ -63,10 +63,10 @@ def pipeline_backtest(panel: DataFrame, horizon: int = HORIZON, windows: int = P
 def pipeline_forecast(panel: DataFrame, horizon: int = HORIZON, step_seconds: int = 3600) -> DataFrame:
     """F-12 of the pipeline: hour-of-week average past the end of each series
     (future timestamps by arithmetic from the last timestamp)."""
-    fc = B.pipeline_forecasts(panel, B.final_cutoffs(panel), step_seconds, horizon)
+    fc = B.pipeline_forecasts(panel, B.final_cutoffs(panel), step_seconds, horizon, actuals=False,
+                              models=["seasonal_how_average"])
     ds = F.timestamp_seconds(F.unix_seconds("cutoff") + F.col("horizon") * F.lit(step_seconds))
-    return (fc.filter(F.col("model") == "seasonal_how_average")
-              .select("unique_id", ds.alias("ds"), "horizon", "model", "y_pred"))
+    return fc.select("unique_id", ds.alias("ds"), "horizon", "model", "y_pred")
 
 
 def prepare_dataset(raw: DataFrame, target: str = "Global_active_power", step_seconds: int = 3600,
