@@ -254,3 +254,23 @@ def test_registered_forecaster_joins_backtest(spark, seasonal):
         assert PL.statistical_forecast(p).filter("model = 'mean'").count() == 48
     finally:
         PL.FORECASTERS.pop("mean")
+
+
+def test_standalone_forecasters_equal_unified_engine(spark, seasonal):
+    p, _, _ = seasonal
+    cuts = B.backtest_cutoffs(p)
+    unified = {(r["unique_id"], r["window"], r["horizon"], r["model"]): r["y_pred"]
+               for r in B.baseline_forecasts(p, cuts, bands=False).collect()}
+    single = (B.naive(p, cuts).unionByName(B.seasonal_naive(p, cuts, 24)).unionByName(B.seasonal_naive(p, cuts, 168))
+               .unionByName(B.window_average(p, cuts)).unionByName(B.seasonal_window_average(p, cuts))
+               .unionByName(B.drift(p, cuts)))
+    rows = single.collect()
+    assert len(rows) == len(unified)
+    for r in rows:
+        assert r["y_pred"] == pytest.approx(unified[(r["unique_id"], r["window"], r["horizon"], r["model"])], rel=1e-12)
+    pc = B.pipeline_cutoffs(p)
+    how = {(r["unique_id"], r["window"], r["horizon"]): r["y_pred"] for r in B.seasonal_how_average(p, pc).collect()}
+    eng = B.pipeline_forecasts(p, pc, actuals=False, models=["seasonal_how_average"]).collect()
+    assert len(eng) == len(how)
+    for r in eng:
+        assert r["y_pred"] == pytest.approx(how[(r["unique_id"], r["window"], r["horizon"])], rel=1e-12)
