@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tspanel.llm import bpe, fingerprint, langid, mixing, token_counts, toxicity
+from tspanel.llm import bpe, fingerprint, jaccard, langid, mixing, token_counts, toxicity
 from tspanel.llm.common import held_out, read_table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -41,11 +41,15 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op8_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_bpe, op3_token_counts, op6_threshold_sketch, op7_toxicity, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_bpe, op3_token_counts, op6_threshold_sketch, op7_toxicity, op8_jaccard_rtree, op9_mixing)}
 
 ORACLE_SQL: dict[str, str] = {}
