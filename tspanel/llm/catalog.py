@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tspanel.llm import bpe, fingerprint, jaccard, langid, mixing, suffix_dedup, token_counts, toxicity
+from tspanel.llm import ann, bpe, fingerprint, jaccard, langid, mixing, suffix_dedup, token_counts, toxicity
 from tspanel.llm.common import held_out, read_table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -34,6 +34,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_digests(read_table(spark, sf_dir, "documents"))
 
 
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_threshold_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_edits(read_table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,6 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_bpe, op3_token_counts, op4_suffix_dedup, op6_threshold_sketch, op7_toxicity, op8_jaccard_rtree, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_bpe, op3_token_counts, op4_suffix_dedup, op5_nn_descent, op6_threshold_sketch, op7_toxicity, op8_jaccard_rtree, op9_mixing)}
 
 ORACLE_SQL: dict[str, str] = {}
