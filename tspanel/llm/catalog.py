@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tspanel.llm import ann, bpe, fingerprint, jaccard, langid, mixing, suffix_dedup, token_counts, toxicity
+from tspanel.llm import ann, bpe, fingerprint, jaccard, langid, licenses, mixing, suffix_dedup, token_counts, toxicity
 from tspanel.llm.common import held_out, read_table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -58,6 +58,14 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_bpe, op3_token_counts, op4_suffix_dedup, op5_nn_descent, op6_threshold_sketch, op7_toxicity, op8_jaccard_rtree, op9_mixing)}
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no paths: they are laid out as source/id div 10000/id div 100/id."""
+    docs = read_table(spark, sf_dir, "documents")
+    part = [F.floor(F.col("doc_id") / n).cast("string") for n in (10_000, 100, 1)]
+    files = docs.select("doc_id", "text", F.concat_ws("/", F.coalesce("source", F.lit("")), *part).alias("path"))
+    return licenses.scan_tree(files, keep=("doc_id",)).select("doc_id", "path", "own_license", F.round("own_score", 9).alias("own_score"), "license", "inherited_from")
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_bpe, op3_token_counts, op4_suffix_dedup, op5_nn_descent, op6_threshold_sketch, op7_toxicity, op8_jaccard_rtree, op9_mixing, op10_license_scan)}
 
 ORACLE_SQL: dict[str, str] = {}
