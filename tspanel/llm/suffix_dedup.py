@@ -203,6 +203,8 @@ def induce(group: np.ndarray, lefts: list[bytes], rights: list[bytes], near: np.
 
 def _spans(row: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of neighbouring string starts of a row as covered byte ranges."""
+    if not len(row):
+        return row, start, start
     order = np.lexsort((start, row))
     row, start = row[order], start[order]
     new = np.ones(len(row), bool)
