@@ -265,8 +265,10 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, k: i
     """(row, begins, ends): byte ranges whose union are the bytes to remove; ``docs`` has row and text."""
     found = scratch.keep(_anchor_rows(docs, length, k), "anchors")
     keys = found.groupBy("key").agg(F.count("*").alias("n"), F.min("around").alias("lo"), F.max("around").alias("hi")).where("n > 1")
-    shared = scratch.keep(found.join(keys.select("key", (F.col("lo") < F.col("hi")).alias("mixed")), "key"), "shared")
-    scratch.drop(found)
+    # written first: a join of two plain tables can be split where a key is frequent
+    keys = scratch.keep(keys.select("key", (F.col("lo") < F.col("hi")).alias("mixed")), "keys")
+    shared = scratch.keep(found.join(keys, "key"), "shared")
+    scratch.drop(found, keys)
     alike = shared.groupBy("key", "around").agg(F.count("*").alias("n"), F.first("mixed").alias("mixed"), F.min(F.struct("row", "a", "first", "last")).alias("one"))
     alike = scratch.keep(alike, "surroundings")
     whole = shared.join(alike.where("n > 1").select("key", "around"), ["key", "around"]).select("row", F.col("first").alias("begins"), (F.col("last") + length).alias("ends"))
