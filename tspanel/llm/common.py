@@ -7,6 +7,7 @@ memory depends on the longest single text, not on the number of rows.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -61,6 +62,8 @@ class Scratch:
         for df in frames:
             path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
             path.getFileSystem(conf).delete(path, True)
+        gc.collect()
+        jvm.System.gc()        # lets Spark's cleaner remove the shuffle files of plans that are done
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

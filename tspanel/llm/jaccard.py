@@ -48,6 +48,8 @@ from tspanel.llm.components import connected_components
 COUNTERS, PAGE = 1 << 20, 1 << 12
 #: Coordinates of a point, and points that one tree holds.
 GROUPS, UNIT, FANOUT = 256, 4096, 16
+#: The largest coordinate that is told apart.
+TOP = 255
 #: Bits of the filter that tells which sets the second pass has to hand on.
 FILTER_BITS = 1 << 26
 PERCENT = 75
@@ -59,7 +61,7 @@ def needed(n1, n2):
 
 
 def point(hashes: np.ndarray) -> np.ndarray:
-    return np.minimum(np.bincount((hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS), 65535).astype(np.uint16)
+    return np.minimum(np.bincount((hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS), TOP).astype(np.uint8)
 
 
 class CountTree:
@@ -99,7 +101,7 @@ def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Bound on the overlap of sets from their points; a coordinate at the top of its range bounds nothing."""
     least = np.minimum(a, b)
     sums = least.sum(axis=1, dtype=np.int64)
-    sums[(least == 65535).any(axis=1)] = np.iinfo(np.int64).max
+    sums[(least == TOP).any(axis=1)] = np.iinfo(np.int64).max
     return sums
 
 
@@ -156,7 +158,7 @@ def _named(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _classes(docs: DataFrame, k: int, ranks) -> DataFrame:
-    """One row a distinct set: name, n, its first shingles in the common order, the first row that has it."""
+    """One row a distinct set: name, n, its point, its first shingles in the common order, and the filter's bit of the first row that has it."""
 
     def work(batches):
         rank = ranks.value
@@ -170,12 +172,12 @@ def _classes(docs: DataFrame, k: int, ranks) -> DataFrame:
                     first.append(s[np.lexsort((s, rank[(s >> np.uint64(44)).astype(np.int64)]))[:size]].view(np.int64))
                 out = pa.RecordBatch.from_arrays(
                     [pa.array(names, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), rows.column(1), pa.array(bits, pa.int64()),
-                     pa.array(first, pa.list_(pa.int64()))], names=["name", "n", "row", "bit", "first"])
+                     pa.array(first, pa.list_(pa.int64())), pa.array([point(s).tobytes() for s in sets], pa.binary())], names=["name", "n", "row", "bit", "first", "point"])
                 yield out.filter(pc.is_valid(out.column(0)))
 
-    found = docs.select("row", F.col("row").alias("row2"), "text").mapInArrow(work, "name binary, n long, row long, bit long, first array<long>")
-    one = found.groupBy("name").agg(F.min(F.struct("row", "bit")).alias("r"), F.first("n").alias("n"), F.first("first").alias("first"))
-    return one.select(F.monotonically_increasing_id().alias("cid"), "name", "n", "r.bit", "first")
+    found = docs.select("row", F.col("row").alias("row2"), "text").mapInArrow(work, "name binary, n long, row long, bit long, first array<long>, point binary")
+    one = found.groupBy("name").agg(F.min(F.struct("row", "bit")).alias("r"), F.first("n").alias("n"), F.first("first").alias("first"), F.first("point").alias("point"))
+    return one.select(F.monotonically_increasing_id().alias("cid"), "name", "n", "r.bit", "first", "point")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -200,35 +202,39 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _shared_first(classes: DataFrame) -> DataFrame:
-    """(token, cid, n, m) of first shingles that m > 1 classes have."""
+def _shared_first(classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(token, cid, n) of first shingles that classes of sizes near enough have in common; of shingles that
+    exactly the same classes have, one."""
 
     def keep(batches):
-        # streams: of a token only its first row waits, and the count is filled in later
-        last, waiting = None, None
+        # by size, a class has a partner if the one before or after it is near enough; the last row waits for the next batch
+        last, met = None, False
         for batch in batches:
-            token, cid = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if not len(token):
+            if not batch.num_rows:
                 continue
-            same = np.zeros(len(token), bool)
-            same[1:] = token[1:] == token[:-1]
-            same[0] = last is not None and token[0] == last
-            more = np.zeros(len(token), bool)
-            more[:-1] = same[1:]
-            if same[0] and waiting is not None:
-                yield waiting
-            ok = same | more
-            waiting = None if ok[-1] else batch.slice(len(token) - 1, 1)
-            last = token[-1]
-            if ok.any():
-                yield batch.filter(pa.array(ok))
+            whole = batch if last is None else pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
+            token, n = whole.column(0).to_numpy(), whole.column(2).to_numpy()
+            near = (token[1:] == token[:-1]) & (PERCENT * n[1:] <= 100 * n[:-1])
+            ok = np.zeros(len(token), bool)
+            ok[0] = met
+            ok[1:] |= near
+            ok[:-1] |= near
+            yield whole.slice(0, len(ok) - 1).filter(pa.array(ok[:-1]))
+            last, met = whole.slice(len(ok) - 1), bool(ok[-1])
+        if met:
+            yield last
 
     rows = classes.select(F.explode("first").alias("token"), "cid", "n")
-    return rows.repartition("token").sortWithinPartitions("token").mapInArrow(keep, "token long, cid long, n long")
+    shared = scratch.keep(rows.repartition("token").sortWithinPartitions("token", "n").mapInArrow(keep, "token long, cid long, n long"), "shared")
+    alike = shared.groupBy("token").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("cid")).alias("x"), F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("y"))
+    one = scratch.keep(alike.groupBy("m", "x", "y").agg(F.min("token").alias("token")).select("token"), "tokens")
+    out = scratch.keep(shared.join(one, "token"), "groups")
+    scratch.drop(shared, one)
+    return out
 
 
 def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(cid, n, hashes, point) of the ``wanted`` classes, from a second pass over the texts.
+    """(cid, hashes) of the ``wanted`` classes, from another pass over the texts.
 
     A filter of fixed size tells the tasks which rows to hand on; what it lets through by chance ends at the join.
     """
@@ -249,11 +255,10 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> Dat
                 at = np.array(bit, np.int64)
                 hit = np.flatnonzero((table[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
                 hit = [i for i in hit.tolist() if names[i] is not None]
-                yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in hit], pa.binary()), pa.array([sets[i].tobytes() for i in hit], pa.binary()),
-                                                  pa.array([point(sets[i]).tobytes() for i in hit], pa.binary())], names=["name", "hashes", "point"])
+                yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in hit], pa.binary()), pa.array([sets[i].tobytes() for i in hit], pa.binary())], names=["name", "hashes"])
 
-    found = docs.select("row", F.col("row").alias("row2"), "text").mapInArrow(work, "name binary, hashes binary, point binary")
-    return found.join(named.select("name", "cid"), "name").groupBy("name").agg(F.first("cid").alias("cid"), F.first("hashes").alias("hashes"), F.first("point").alias("point")).drop("name")
+    found = docs.select("row", F.col("row").alias("row2"), "text").mapInArrow(work, "name binary, hashes binary")
+    return found.join(named.select("name", "cid"), "name").groupBy("name").agg(F.first("cid").alias("cid"), F.first("hashes").alias("hashes")).drop("name")
 
 
 def _units(cands: DataFrame, labels: DataFrame, points: DataFrame) -> DataFrame:
@@ -274,7 +279,7 @@ def _pairs(units: DataFrame, mode: str) -> DataFrame:
     def work(batches):
         for table in _groups(batches, 3):
             token, i, j, comp, cid, n = (table.column(c).to_numpy() for c in range(6))
-            points = np.frombuffer(b"".join(table.column(6).to_pylist()), np.uint16).reshape(-1, GROUPS)
+            points = np.frombuffer(b"".join(table.column(6).to_pylist()), np.uint8).reshape(-1, GROUPS)
             new = np.concatenate([[True], (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
             heads = np.flatnonzero(new)
             if mode == "star":
@@ -338,18 +343,27 @@ def link_sets(docs: DataFrame, scratch: Scratch, k: int) -> tuple[DataFrame, Dat
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(_frequencies(docs.select("text"), k))
     full = scratch.keep(_classes(docs, k, ranks), "classes")
-    cands = scratch.keep(_shared_first(full), "shared")
+    cands = _shared_first(full, scratch)
     classes = scratch.keep(full.drop("first"), "names")
     scratch.drop(full)
-    sets = scratch.keep(_sets(docs, classes, cands.select("cid").distinct(), k), "sets")
-    points = sets.select("cid", "point")
-    links = None
+    points = classes.select("cid", "point")
+    links = sets = None
     labels = spark.createDataFrame([], "node long, component long")
     for mode in ("star", "nearest", "nearest", "all"):
-        found = scratch.keep(_verify(scratch.keep(_pairs(_units(cands, labels, points), mode), "pairs"), sets), mode)
+        pairs = scratch.keep(_pairs(_units(cands, labels, points), mode), "pairs")
+        wanted = pairs.select(F.col("x").alias("cid")).union(pairs.select("y")).distinct()
+        wanted = scratch.keep(wanted if sets is None else wanted.join(sets.select("cid"), "cid", "left_anti"), "wanted")
+        if wanted.limit(1).count():
+            more = scratch.keep(_sets(docs, classes, wanted, k), "sets")
+            sets = more if sets is None else sets.unionByName(more)
+        if sets is None:
+            break
+        found = scratch.keep(_verify(pairs, sets), mode)
         links = found if links is None else links.unionByName(found)
-        labels = scratch.keep(connected_components(links, scratch), "labels")
-    return classes, labels
+        after = scratch.keep(connected_components(links, scratch), "labels")
+        scratch.drop(pairs, wanted, *([labels] if mode != "star" else []))
+        labels = after
+    return classes.drop("point"), labels
 
 
 def with_rows(docs: DataFrame) -> DataFrame:
