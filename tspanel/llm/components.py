@@ -28,7 +28,7 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_lowest(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = large.where("u <> v")
         small = large.join(_lowest(large), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(_lowest(large).select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         after = scratch.keep(small, "edges")

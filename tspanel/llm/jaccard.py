@@ -349,7 +349,7 @@ def link_sets(docs: DataFrame, scratch: Scratch, k: int) -> tuple[DataFrame, Dat
     points = classes.select("cid", "point")
     links = sets = None
     labels = spark.createDataFrame([], "node long, component long")
-    for mode in ("star", "nearest", "nearest", "all"):
+    for mode in ("star", "nearest", "all"):
         pairs = scratch.keep(_pairs(_units(cands, labels, points), mode), "pairs")
         wanted = pairs.select(F.col("x").alias("cid")).union(pairs.select("y")).distinct()
         wanted = scratch.keep(wanted if sets is None else wanted.join(sets.select("cid"), "cid", "left_anti"), "wanted")
