@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from tspanel.llm import ann, bpe, fingerprint, jaccard, langid, licenses, mixing, suffix_dedup, token_counts, toxicity
 from tspanel.llm.common import held_out, read_table
+from tspanel.llm.oracles import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -67,5 +70,3 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_bpe, op3_token_counts, op4_suffix_dedup, op5_nn_descent, op6_threshold_sketch, op7_toxicity, op8_jaccard_rtree, op9_mixing, op10_license_scan)}
-
-ORACLE_SQL: dict[str, str] = {}
