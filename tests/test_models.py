@@ -125,6 +125,8 @@ def test_isolation_forest_finds_planted_spikes(spark):
     p = panel_df(spark, rows)
     scores = isolation_forest(p, AnomalyConfig()).toPandas()
     scores["i"] = scores["pos"].astype(int) - 1
+    assert len(scores) == 1440 and not scores[scores.isolation_score.isna()].isolation_anomaly.any()
+    scores = scores[scores.isolation_score.notna()]
     assert len(scores) == 1440 - 168                 # rows with complete features
     assert 10 <= int(scores["isolation_anomaly"].sum()) <= 16      # 1 % contamination
     # a spike shows in y at its own row and in lag_1 / rolling stats one row later

@@ -56,7 +56,7 @@ class AnomalyConfig:
 class FeatureConfig:
     lags: tuple[int, ...] = (1, 2, 3, 6, 12, 24, 48, 72, 168)
     rolling_windows: tuple[int, ...] = (24, 168)
-    max_train_size: int = ML_MAX_TRAIN
+    max_train_size: int | None = None      # whole history; a number keeps the last rows
 
 
 @dataclass(frozen=True)
@@ -64,7 +64,7 @@ class BacktestConfig:
     horizon: int = HORIZON
     n_windows: int = BACKTEST_WINDOWS
     step: int = BACKTEST_STEP
-    max_history: int = MAX_TRAIN_HISTORY
+    max_history: int | None = None         # whole history; a number keeps the last rows
     season: int = DAILY_SEASON
     min_history: int = DAILY_SEASON * 14
 

@@ -17,8 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tspanel.config import (DAILY_SEASON, HORIZON, LEVEL_MULTIPLIERS, MAX_TRAIN_HISTORY,
-                            RECENT_WEEKS, SCALE_FALLBACK, WEEKLY_SEASON)
+from tspanel.config import (DAILY_SEASON, HORIZON, LEVEL_MULTIPLIERS, RECENT_WEEKS, SCALE_FALLBACK, WEEKLY_SEASON)
 from tspanel.operators import windowing as hw
 from tspanel.operators.prepare import series_length
 from tspanel.operators.ranges import pop_std, range_sums
@@ -68,7 +67,10 @@ def final_cutoffs(panel: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- helpers
 
-def _train_lo(max_history: int) -> Column:
+def _train_lo(max_history: int | None) -> Column:
+    """First training position: 1, or that of the last ``max_history`` rows if the caller asks for so many."""
+    if max_history is None:
+        return F.lit(1).cast("long")
     return F.greatest(F.lit(1), F.col("cut") - F.lit(max_history - 1))
 
 
@@ -102,7 +104,7 @@ def naive(panel: DataFrame, cutoffs: DataFrame, horizon: int = HORIZON) -> DataF
 
 
 def seasonal_naive(panel: DataFrame, cutoffs: DataFrame, season: int, horizon: int = HORIZON,
-                   max_history: int = MAX_TRAIN_HISTORY, name: str | None = None) -> DataFrame:
+                   max_history: int | None = None, name: str | None = None) -> DataFrame:
     """F-2: ``y[cut - m + 1 + ((i-1) % m)]``; training part shorter than m →
     last value."""
     name = name or f"seasonal_naive_{season}"
@@ -114,7 +116,7 @@ def seasonal_naive(panel: DataFrame, cutoffs: DataFrame, season: int, horizon: i
 
 
 def window_average(panel: DataFrame, cutoffs: DataFrame, window: int = WEEKLY_SEASON,
-                   horizon: int = HORIZON, max_history: int = MAX_TRAIN_HISTORY) -> DataFrame:
+                   horizon: int = HORIZON, max_history: int | None = None) -> DataFrame:
     """F-3: mean of the last ``window`` training values, constant over steps."""
     lo = F.greatest(_train_lo(max_history), F.col("cut") - F.lit(window - 1))
     req = cutoffs.select(*KEYS, F.explode(F.sequence(lo, F.col("cut"))).alias("_sp"))
@@ -125,7 +127,7 @@ def window_average(panel: DataFrame, cutoffs: DataFrame, window: int = WEEKLY_SE
 
 def seasonal_window_average(panel: DataFrame, cutoffs: DataFrame, season: int = DAILY_SEASON,
                             n_seasons: int = 7, horizon: int = HORIZON,
-                            max_history: int = MAX_TRAIN_HISTORY) -> DataFrame:
+                            max_history: int | None = None) -> DataFrame:
     """F-4 (daily form): mean over k < n_seasons of
     ``y[cut - m + 1 + ((i-1) % m) - k*m]`` for positions inside the training
     part; none inside → last value."""
@@ -145,7 +147,7 @@ def seasonal_window_average(panel: DataFrame, cutoffs: DataFrame, season: int =
 
 
 def drift(panel: DataFrame, cutoffs: DataFrame, horizon: int = HORIZON,
-          max_history: int = MAX_TRAIN_HISTORY) -> DataFrame:
+          max_history: int | None = None) -> DataFrame:
     """F-6: ``y[cut] + i * (y[cut] - y[lo]) / (len - 1)``; slope 0 when len = 1."""
     req = cutoffs.select(*KEYS, _train_lo(max_history).alias("_fp"), F.col("cut").alias("_lp"))
     ends = lookup(lookup(req, panel, "_fp", "_first"), panel, "_lp", "_last")
@@ -188,7 +190,7 @@ def seasonal_how_average(panel: DataFrame, cutoffs: DataFrame, step_seconds: int
 # ---------------------------------------------------------------- residual scale and bands (F-7, F-8)
 
 def train_scales(panel: DataFrame, cutoffs: DataFrame, season: int = DAILY_SEASON,
-                 max_history: int = MAX_TRAIN_HISTORY) -> DataFrame:
+                 max_history: int | None = None) -> DataFrame:
     """Both per-window training statistics in one pass over the series:
 
     * ``scale`` (F-7): population std of ``y[t] - y[t-m]`` over the (capped)
@@ -232,7 +234,7 @@ def train_scales(panel: DataFrame, cutoffs: DataFrame, season: int = DAILY_SEASO
 
 
 def residual_scale(panel: DataFrame, cutoffs: DataFrame, season: int = DAILY_SEASON,
-                   max_history: int = MAX_TRAIN_HISTORY) -> DataFrame:
+                   max_history: int | None = None) -> DataFrame:
     """F-7 alone: ``unique_id, window, cut, scale``."""
     return train_scales(panel, cutoffs, season, max_history).drop("mase_scale")
 
@@ -347,7 +349,7 @@ def _assemble(agg: DataFrame, step_names: Sequence[str], const_names: Sequence[s
 
 def baseline_forecasts(panel: DataFrame, cutoffs: DataFrame, horizon: int = HORIZON,
                        models: Sequence[str] = BASELINE_MODELS, season: int = DAILY_SEASON,
-                       long_season: int = WEEKLY_SEASON, max_history: int = MAX_TRAIN_HISTORY,
+                       long_season: int = WEEKLY_SEASON, max_history: int | None = None,
                        bands: bool = True, scales: DataFrame | None = None, actuals: bool = False) -> DataFrame:
     """F-1..F-8 for every (series, window): long table with bands.
 

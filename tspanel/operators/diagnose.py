@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tspanel.functions import stats_math as SM
 from tspanel.operators import windowing as hw
-from tspanel.operators.prepare import last_n
+from tspanel.operators.prepare import last_n, row_numbers
 
 # ---------------------------------------------------------------- residual tables
 
@@ -133,13 +133,15 @@ def pipeline_tests(preds: DataFrame, final_model: str = "seasonal_how_average",
 
 # ---------------------------------------------------------------- ACF / PACF (D-7, D-8)
 
-def acf(panel: DataFrame, nlags: int = 72, max_points: int | None = 10_000) -> DataFrame:
-    """D-7: biased ACF (``Σ e_t e_{t-k} / Σ e_t²``) for k = 0..nlags on the last
-    ``max_points`` rows. Lag products come from the halo layout (one sort).
+def acf(panel: DataFrame, nlags: int = 72, max_points: int | None = None) -> DataFrame:
+    """D-7: biased ACF (``Σ e_t e_{t-k} / Σ e_t²``) for k = 0..nlags on the non-null
+    rows (the last ``max_points`` if given), lags counted in rows. Lag products
+    come from the halo layout (one sort).
     Returns ``unique_id, lag, acf``."""
     d = panel.select("unique_id", "pos", "y").filter(F.col("y").isNotNull())
     if max_points is not None:
         d = last_n(d, max_points)
+    d = row_numbers(d, "_i").drop("pos").withColumnRenamed("_i", "pos")
     mean = d.groupBy("unique_id").agg(F.avg("y").alias("_m"))
     d = d.join(mean, "unique_id").withColumn("_e", F.col("y") - F.col("_m"))
     w = hw.series_window()
@@ -182,8 +184,8 @@ def pacf_from_acf(acf_df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- decomposition (K-1)
 
-def decompose(panel: DataFrame, period: int = 24, max_points: int | None = 24 * 90) -> DataFrame:
-    """K-1: classical additive decomposition on the last ``max_points`` rows.
+def decompose(panel: DataFrame, period: int = 24, max_points: int | None = None) -> DataFrame:
+    """K-1: classical additive decomposition (of the last ``max_points`` rows if given).
 
     Centred moving average (2×period for even periods), ends extrapolated
     linearly from the nearest ``period`` trend values, phase means of the

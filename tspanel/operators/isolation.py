@@ -91,8 +91,8 @@ def path_lengths(x: np.ndarray, tree) -> np.ndarray:
 
 def isolation_forest(panel: DataFrame, config: AnomalyConfig = AnomalyConfig(),
                      features: list[str] = ISOLATION_FEATURES) -> DataFrame:
-    """N-4: ``unique_id, pos, isolation_score, isolation_anomaly`` for rows with
-    complete features (others get no row; the combiner maps them to False)."""
+    """N-4: ``unique_id, pos, isolation_score, isolation_anomaly`` of every row (rows with
+    incomplete features: NULL score, not flagged)."""
     psi, n_trees, seed = config.sample_size, config.n_trees, config.seed
     max_depth = int(math.ceil(math.log2(psi)))
     feats = materialize(isolation_features(panel).dropna(subset=features).select("unique_id", "pos", *features))
@@ -143,6 +143,7 @@ def isolation_forest(panel: DataFrame, config: AnomalyConfig = AnomalyConfig(),
     scored = materialize(scored)    # read by the threshold and the flag join: score once
     q = 1.0 - config.isolation_contamination
     thr = exact_quantiles(scored, ["unique_id"], "_s", [q], out="_t").withColumnRenamed("_t_0", "_thr")
-    return (scored.join(thr, "unique_id")
-                  .select("unique_id", "pos", (F.col("_s") - F.col("_thr")).alias("isolation_score"),
-                          (F.col("_s") > F.col("_thr")).alias("isolation_anomaly")))
+    flagged = scored.join(thr, "unique_id").select("unique_id", "pos", (F.col("_s") - F.col("_thr")).alias("isolation_score"),
+                                                   (F.col("_s") > F.col("_thr")).alias("isolation_anomaly"))
+    return (panel.select("unique_id", "pos").join(flagged, ["unique_id", "pos"], "left")
+                 .withColumn("isolation_anomaly", F.coalesce("isolation_anomaly", F.lit(False))))

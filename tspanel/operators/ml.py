@@ -28,7 +28,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tspanel.config import DIRECT_INPUT, DIRECT_TRAIN, HORIZON, SEED, FeatureConfig
+from tspanel.config import DIRECT_INPUT, HORIZON, SEED, FeatureConfig
 from tspanel.operators import windowing as hw
 from tspanel.operators.features import feature_names, forecast_features
 from tspanel.session import ensure_checkpoint_dir
@@ -76,9 +76,11 @@ def register_model(name: str, factory: Callable[..., object]) -> None:
 
 # ---------------------------------------------------------------- training sets (F-19)
 
-def tail_for_cutoffs(panel: DataFrame, cutoffs: DataFrame, keep: int) -> DataFrame:
+def tail_for_cutoffs(panel: DataFrame, cutoffs: DataFrame, keep: int | None) -> DataFrame:
     """Only the positions any window can read: ``pos > min(cut) - keep`` per
     series, so features / windows are not computed over the whole history."""
+    if keep is None:
+        return panel
     first = cutoffs.groupBy("unique_id").agg(F.min("cut").alias("_c0"))
     return (panel.join(first, "unique_id")
                  .filter(F.col("pos") > F.col("_c0") - F.lit(keep)).drop("_c0"))
@@ -92,7 +94,7 @@ def training_rows(features: DataFrame, cutoffs: DataFrame, config: FeatureConfig
     pos = F.col("pos")
 
     def inside(c):
-        lo = F.greatest(F.lit(1), c["cut"] - F.lit(config.max_train_size - 1))
+        lo = F.lit(1) if config.max_train_size is None else F.greatest(F.lit(1), c["cut"] - F.lit(config.max_train_size - 1))
         return (c["cut"] >= pos) & (lo + F.lit(look) <= pos)
 
     d = features.join(cuts, "unique_id").withColumn("_w", F.explode(F.filter("_cs", inside)))
@@ -269,7 +271,7 @@ def ml_forecasts(panel: DataFrame, cutoffs: DataFrame, models: list[str] | None
     """F-19 + F-20 for every (model, series, window)."""
     models = models or list(MODEL_REGISTRY)
     look = max(max(config.lags), max(config.rolling_windows))
-    tail = tail_for_cutoffs(panel.select("unique_id", "ds", "y", "pos"), cutoffs, config.max_train_size + look)
+    tail = tail_for_cutoffs(panel.select("unique_id", "ds", "y", "pos"), cutoffs, None if config.max_train_size is None else config.max_train_size + look)
     feats = forecast_features(tail, config)
     ensure_checkpoint_dir(panel.sparkSession)
     train = training_rows(feats, cutoffs, config).checkpoint(eager=True)
@@ -286,7 +288,7 @@ def ml_forecasts(panel: DataFrame, cutoffs: DataFrame, models: list[str] | None
 # ---------------------------------------------------------------- direct multi-step window model (F-21)
 
 def direct_window_forecasts(panel: DataFrame, cutoffs: DataFrame, input_size: int = DIRECT_INPUT,
-                            horizon: int = HORIZON, train_size: int = DIRECT_TRAIN, alpha: float = 1.0) -> DataFrame:
+                            horizon: int = HORIZON, train_size: int | None = None, alpha: float = 1.0) -> DataFrame:
     """F-21 (re-aimed network block): a direct multi-output ridge from a
     robust-scaled ``input_size`` window to the next ``horizon`` values.
 
@@ -299,13 +301,13 @@ def direct_window_forecasts(panel: DataFrame, cutoffs: DataFrame, input_size: in
     span = input_size + horizon
     w = hw.series_window()
     frame = w.rowsBetween(-(input_size - 1), horizon)
-    tail = tail_for_cutoffs(panel.select("unique_id", "pos", "y"), cutoffs, train_size + input_size)
+    tail = tail_for_cutoffs(panel.select("unique_id", "pos", "y"), cutoffs, None if train_size is None else train_size + input_size)
     rows = hw.rolling(tail, {"_win": F.collect_list("y").over(frame)}, behind=input_size - 1, ahead=horizon)
     rows = rows.filter(F.size("_win") == span)
     # a training window ending its targets at pos + horizon belongs to backtest window w
     cuts = cutoffs.groupBy("unique_id").agg(F.collect_list(F.struct("window", "cut")).alias("_cs"))
     pos = F.col("pos")
-    lo = lambda c: F.greatest(F.lit(1), c["cut"] - F.lit(train_size - 1))
+    lo = lambda c: F.lit(1) if train_size is None else F.greatest(F.lit(1), c["cut"] - F.lit(train_size - 1))
     train = (rows.join(cuts, "unique_id")
                  .withColumn("_w", F.explode(F.filter("_cs", lambda c: (pos + F.lit(horizon) <= c["cut"])
                                                        & (pos - F.lit(input_size - 1) >= lo(c)))))

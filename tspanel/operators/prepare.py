@@ -235,10 +235,24 @@ def series_length(df: DataFrame) -> DataFrame:
     return df.groupBy("unique_id").agg(F.max("pos").alias("n"))
 
 
+def row_numbers(df: DataFrame, out: str, bucket: int = BUCKET_STEPS) -> DataFrame:
+    """``out`` = 1..n over the rows of every series in order of ``pos``, holes or not.
+
+    Numbers within a bucket of positions plus the row counts of the buckets before, so
+    no task sorts a whole series."""
+    d = df.withColumn("_nb", F.floor((F.col("pos") - 1) / F.lit(bucket)))
+    counts = d.groupBy("unique_id", "_nb").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy("unique_id").orderBy("_nb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0))).drop("_c")
+    own = F.row_number().over(Window.partitionBy("unique_id", "_nb").orderBy("pos"))
+    return d.withColumn("_own", own).join(offsets, ["unique_id", "_nb"]).withColumn(out, F.col("_off") + F.col("_own")).drop("_nb", "_own", "_off")
+
+
 def last_n(df: DataFrame, n_rows: int) -> DataFrame:
-    """P-5: the last ``n_rows`` positions of every series (a filter, no sort)."""
-    return (df.join(series_length(df), "unique_id")
-              .filter(F.col("pos") > F.col("n") - F.lit(n_rows)).drop("n"))
+    """P-5: the last ``n_rows`` rows of every series, also where positions have holes."""
+    numbered = row_numbers(df, "_i")
+    counts = df.groupBy("unique_id").agg(F.count(F.lit(1)).alias("_rows"))
+    return numbered.join(counts, "unique_id").filter(F.col("_i") > F.col("_rows") - F.lit(n_rows)).drop("_i", "_rows")
 
 
 def train_test_split(df: DataFrame, test_size: int) -> tuple[DataFrame, DataFrame]:

@@ -104,8 +104,9 @@ def describe(df: DataFrame, target: str = "y", percentiles: Sequence[float] = DE
         F.count_if(y == 0).alias("zero_count"), F.avg(F.coalesce((y == 0).cast("double"), F.lit(0.0))).alias("zero_share"),
         F.skewness(y).alias("_g1"), F.kurtosis(y).alias("_g2"))
     n = F.col("count").cast("double")
-    skew = F.when(n > 2, F.col("_g1") * F.sqrt(n * (n - 1)) / (n - 2))
-    kurt = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("_g2") + 6))
+    flat = F.col("min") == F.col("max")      # no spread: 0, as the usual data frame libraries have it
+    skew = F.when(n > 2, F.when(flat, 0.0).otherwise(F.col("_g1") * F.sqrt(n * (n - 1)) / (n - 2)))
+    kurt = F.when(n > 3, F.when(flat, 0.0).otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("_g2") + 6)))
     q = exact_quantiles(df, ["unique_id"], target, percentiles, out="_q")
     q = q.select("unique_id", *[F.col(f"_q_{i}").alias(f"p{int(round(p * 100)):02d}") for i, p in enumerate(percentiles)])
     out = out.join(q, "unique_id", "left")
@@ -115,7 +116,7 @@ def describe(df: DataFrame, target: str = "y", percentiles: Sequence[float] = DE
 def seasonal_profiles(df: DataFrame, target: str = "y") -> DataFrame:
     """A-7: mean by hour, weekday (Monday = 0) and month in one pass with
     grouping sets. Returns ``unique_id, profile, key, y``."""
-    d = df.select("unique_id", F.hour("ds").alias("hour"), F.weekday("ds").alias("day_of_week"),
+    d = df.filter(F.col("ds").isNotNull()).select("unique_id", F.hour("ds").alias("hour"), F.weekday("ds").alias("day_of_week"),
                   F.month("ds").alias("month"), F.col(target).alias("_y"))
     g = d.groupingSets([["unique_id", "hour"], ["unique_id", "day_of_week"], ["unique_id", "month"]],
                        "unique_id", "hour", "day_of_week", "month").agg(F.avg("_y").alias("y"))
@@ -130,6 +131,8 @@ def validate_series(df: DataFrame, step_seconds: int = 3600, min_length: int = W
                     bucket_seconds: int = GAP_BUCKET_SECONDS) -> DataFrame:
     """A-12: six checks per series → ``unique_id, test, status, observed``."""
     has_cols = set(required).issubset(df.columns)
+    kinds = {"unique_id": "string", "ds": "timestamp", "y": "double"}
+    df = df.withColumns({c: F.lit(None).cast(t) for c, t in kinds.items() if c not in df.columns})
     gaps = consecutive_gaps(df, bucket_seconds)
     irregular = gaps.groupBy("unique_id").agg(F.count_if(F.col("gap") != F.lit(float(step_seconds))).alias("irregular"),
                                               F.count_if(F.col("gap") == 0).alias("_zero"))

@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 CAP = 50_000
 BINS = 4096
-MAX_ROUNDS = 12
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
@@ -59,14 +58,17 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
                       F.lit(0).cast("long").alias("_below")))
     done = []
     active = ranks
-    for _ in range(MAX_ROUNDS):
+    while True:      # every round narrows an interval to one of its bins, so doubles run out of them
         small = (F.col("_cnt") <= cap) | (F.col("_lo") == F.col("_hi"))
         done.append(active.filter(small))
         active = active.filter(~small)
         if active.limit(1).count() == 0:
             break
-        width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
-        b = F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(bins - 1)).cast("int")
+        # halves, so that the width neither overflows nor underflows to nothing unnoticed
+        width = F.col("_hi") / 2 - F.col("_lo") / 2
+        part = F.try_divide(F.col("_v") / 2 - F.col("_lo") / 2, width)
+        b = F.when(part.isNull() & (F.col("_v") > F.col("_lo")), F.lit(bins - 1)).otherwise(
+            F.least(F.floor(F.coalesce(part, F.lit(0.0)) * bins), F.lit(bins - 1))).cast("int")
         hist = (d.join(active, keys)
                  .filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
                  .groupBy(*keys, "_i", "_r", "_below", b.alias("_b"))
@@ -77,8 +79,6 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
         active = (hist.filter((start <= F.col("_r")) & (F.col("_r") < start + F.col("_c")))
                       .select(*keys, "_i", "_r", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
                               F.col("_c").alias("_cnt"), start.alias("_below")))
-    else:
-        done.append(active)
     fin = done[0]
     for part in done[1:]:
         fin = fin.unionByName(part)

@@ -11,7 +11,7 @@ count, sum, sum of squares, sum of absolute values, min, max.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -54,14 +54,16 @@ def pop_std(cnt: str = "cnt", s: str = "s", ss: str = "ss"):
 def range_sums(values: DataFrame, ranges: DataFrame, value_cols: list[str],
                keys: tuple[str, ...] = ("window",)) -> DataFrame:
     """Like ``range_moments`` for several value columns in one pass: returns
-    ``unique_id, *keys, n_<v>, s_<v>, ss_<v>, sa_<v>`` for each value column.
+    ``unique_id, *keys, n_<v>, s_<v>, ss_<v>, sa_<v>`` for each value column:
+    count, sum and sum of squares of what is left after taking the series' mean
+    away (``pop_std`` is the same), and sum of absolute values.
     Ranges of different families can share the table (add a family key)."""
     borders = (ranges.select("unique_id", F.explode(F.array(F.col("lo"), F.col("hi") + 1)).alias("b"))
                      .groupBy("unique_id").agg(F.array_sort(F.collect_set("b")).alias("_bs")))
     aggs = []
     for v in value_cols:
         c = F.col(v)
-        aggs += [F.count(c).alias(f"n_{v}"), F.sum(c).alias(f"s_{v}"), F.sum(c * c).alias(f"ss_{v}"),
+        aggs += [F.count(c).alias(f"n_{v}"), F.avg(c).alias(f"m_{v}"), F.var_pop(c).alias(f"q_{v}"),
                  F.sum(F.abs(c)).alias(f"sa_{v}")]
     seg = (values.join(borders, "unique_id")
                  .withColumn("_seg", F.size(F.filter("_bs", lambda x: x <= F.col("pos"))))
@@ -69,6 +71,12 @@ def range_sums(values: DataFrame, ranges: DataFrame, value_cols: list[str],
                  .withColumn("_lo", F.element_at("_bs", F.col("_seg")))
                  .withColumn("_hi", F.element_at("_bs", F.col("_seg") + 1) - 1)
                  .groupBy("unique_id", "_lo", "_hi").agg(*aggs))
+    # moments about the series' mean: raw squares would lose all digits of a small spread about a large mean
+    series = Window.partitionBy("unique_id")
+    for v in value_cols:
+        n, m = F.col(f"n_{v}"), F.col(f"m_{v}")
+        away = m - F.try_divide(F.sum(n * m).over(series), F.sum(F.when(n > 0, n)).over(series))
+        seg = seg.withColumn(f"s_{v}", n * away).withColumn(f"ss_{v}", n * (F.col(f"q_{v}") + away * away))
     joined = ranges.join(seg, "unique_id").filter((F.col("_lo") >= F.col("lo")) & (F.col("_hi") <= F.col("hi")))
     outs = []
     for v in value_cols:

@@ -133,13 +133,13 @@ def eda_bundle(panel: DataFrame, season: int = DAILY_SEASON) -> dict[str, DataFr
     from tspanel.operators import diagnose as D
     from tspanel.operators import features as FT
 
-    acf = D.acf(panel, 72, 10_000)
+    acf = D.acf(panel, 72)
     return {
         "quality": A.quality_report(panel.drop("pos")),
         "descriptive_stats": A.describe(panel),
         "profiles": A.seasonal_profiles(panel),
         "rolling_means": FT.add_rolling_means(panel, (season, WEEKLY_SEASON)),
-        "decomposition": D.decompose(panel, season, season * 90),
+        "decomposition": D.decompose(panel, season),
         "acf": acf,
         "pacf": D.pacf_from_acf(acf),
         "stationarity": D.stationarity_tests(panel, 10_000),

@@ -149,7 +149,7 @@ def q_data_driven(spark, sf):
 @register("acf", f"""
 WITH {panel_sql('H')},
 sl AS (SELECT p.unique_id, p.pos, p.y FROM panel p JOIN (SELECT unique_id, max(pos) AS n FROM panel WHERE y IS NOT NULL GROUP BY 1) l
-       USING (unique_id) WHERE p.y IS NOT NULL AND p.pos > l.n - 10000),
+       USING (unique_id) WHERE p.y IS NOT NULL),
 s AS (SELECT unique_id, pos, y - avg(y) OVER (PARTITION BY unique_id) AS e FROM sl),
 c AS (SELECT a.unique_id, k.k AS lag, sum(a.e * b.e) AS s FROM s a CROSS JOIN generate_series(0, 72) AS k(k)
       JOIN s b ON b.unique_id = a.unique_id AND b.pos = a.pos - k.k GROUP BY 1, 2)
@@ -157,13 +157,13 @@ SELECT c.unique_id, CAST(c.lag AS BIGINT) AS lag, {rnd('c.s / z.c0')} AS acf
 FROM c JOIN (SELECT unique_id, s AS c0 FROM c WHERE lag = 0) z USING (unique_id)""")
 def q_acf(spark, sf):
     """D-7: biased ACF to lag 72 on the last 10,000 values."""
-    return rounded(D.acf(_h(spark, sf), 72, 10_000))
+    return rounded(D.acf(_h(spark, sf), 72))
 
 
 @register("pacf")
 def q_pacf(spark, sf):
     """D-8: Yule-Walker PACF to lag 72 by Durbin-Levinson."""
-    return rounded(D.pacf_from_acf(D.acf(_h(spark, sf), 72, 10_000)))
+    return rounded(D.pacf_from_acf(D.acf(_h(spark, sf), 72)))
 
 
 @register("stationarity_tests")
@@ -175,7 +175,7 @@ def q_stationarity(spark, sf):
 @register("decomposition", f"""
 WITH {panel_sql('H')},
 lim AS (SELECT unique_id, max(pos) AS n FROM panel GROUP BY 1),
-sl AS (SELECT p.* FROM panel p JOIN lim USING (unique_id) WHERE p.pos > lim.n - 2160),
+sl AS (SELECT p.* FROM panel p JOIN lim USING (unique_id)),
 b AS (SELECT unique_id, min(pos) AS p0, max(pos) AS p1 FROM sl GROUP BY 1),
 d AS (SELECT s.*, s.pos - b.p0 AS i, b.p1 - b.p0 AS ni FROM sl s JOIN b USING (unique_id)),
 tr AS (SELECT *, CASE WHEN count(y) OVER (PARTITION BY unique_id ORDER BY pos ROWS BETWEEN 12 PRECEDING AND 12 FOLLOWING) = 25
@@ -196,4 +196,4 @@ SELECT dt.unique_id, dt.ds, dt.pos, {rnd('dt.y')} AS y, {rnd('dt.trend')} AS tre
 FROM dt JOIN se USING (unique_id, ph)""")
 def q_decompose(spark, sf):
     """K-1: classical additive decomposition (period 24, last 2,160 rows)."""
-    return rounded(D.decompose(_h(spark, sf), 24, 24 * 90))
+    return rounded(D.decompose(_h(spark, sf), 24))

@@ -8,7 +8,6 @@ which follows file split and row order.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +22,12 @@ RAW_DATE_FORMAT = "dd/MM/yyyy HH:mm:ss"
 HOUSEHOLD_TARGET = "Global_active_power"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, on the file system that its scheme names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _header(spark: SparkSession, path: str, sep: str) -> list[str]:
     first = spark.read.option("sep", sep).option("header", "false").csv(path).limit(1).collect()
     return [str(v) for v in first[0]] if first else []
@@ -92,7 +97,7 @@ def load_prepared(spark: SparkSession, path: str, fmt: str = "parquet", drop_mis
 def read_metrics_table(spark: SparkSession, path: str, group: str, fmt: str = "csv") -> DataFrame:
     """S-6: optional metrics table; missing file or no ``model`` column → empty."""
     schema = "model string, " + ", ".join(f"{c} double" for c in METRIC_COLUMNS) + ", group string"
-    if not os.path.exists(path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     df = read_text_table(spark, path).drop("_row") if fmt == "csv" else spark.read.format(fmt).load(path)
     if "model" not in df.columns:
@@ -106,13 +111,13 @@ def load_or_prepare(spark: SparkSession, prepared_path: str | None = None, raw_p
                     sample_path: str | None = None, step_seconds: int = 3600,
                     unique_id: str = "household_1") -> DataFrame:
     """S-7: prepared file → else prepare the raw file → else a sample file."""
-    if prepared_path and os.path.exists(prepared_path):
+    if prepared_path and path_exists(spark, prepared_path):
         return load_prepared(spark, prepared_path, "csv" if prepared_path.endswith(".csv") else "parquet")
-    if raw_path and os.path.exists(raw_path):
+    if raw_path and path_exists(spark, raw_path):
         from tspanel.plans.pipelines import prepare_dataset
         return prepare_dataset(read_raw_sensor(spark, raw_path), step_seconds=step_seconds,
                                unique_id=unique_id)["prepared"]
-    if sample_path and os.path.exists(sample_path):
+    if sample_path and path_exists(spark, sample_path):
         s = read_simple_series(spark, sample_path).withColumn("unique_id", F.lit("sample_series"))
         return regularize(s, step_seconds, fill="interpolate")
     raise FileNotFoundError("no prepared, raw or sample series found")
