@@ -134,6 +134,11 @@ def _offers(rows: DataFrame, cfg: AnnConfig) -> DataFrame:
             owner, member, new, kth, x = owner[order], member[order], new[order].astype(bool), kth[order], x[order]
             once = np.ones(len(owner), bool)
             once[1:] = (owner[1:] != owner[:-1]) | (member[1:] != member[:-1])
+            # an owner without a new member has nothing to hand on
+            heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            once &= np.repeat(np.logical_or.reduceat(new, heads), np.diff(np.append(heads, len(owner))))
+            if not once.any():
+                continue
             owner, member, new, kth, x = owner[once], member[once], new[once], kth[once], x[once]
             cuts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))[::256].tolist()
             parts = [block(owner[a:b], member[a:b], new[a:b], kth[a:b], x[a:b]) for a, b in zip(cuts, [*cuts[1:], len(owner)], strict=True)]
@@ -185,8 +190,7 @@ def build(nodes: DataFrame, scratch: Scratch, cfg: AnnConfig) -> DataFrame:
         chance = F.pmod(F.xxhash64("u", "v"), F.lit(1 << 20)) / F.lit(float(1 << 20))
         back = graph.join(followers, "u").where(chance < F.lit(float(cfg.reverse)) / F.col("m")).select(F.col("u").alias("owner"), F.col("v").alias("member"), "new")
         both = graph.select(F.col("v").alias("owner"), F.col("u").alias("member"), "new").unionByName(back)
-        moving = both.where("new").select("owner").distinct()
-        rows = both.join(moving, "owner").join(known, "member").select("owner", "member", "new", "kth", "unit")
+        rows = both.join(known, "member").select("owner", "member", "new", "kth", "unit")
         better = _offers(rows, cfg).withColumn("new", F.lit(True))
         after = scratch.keep(_best(graph.select("v", "u", "sim", F.lit(False).alias("new")).unionByName(better), cfg.degree), "graph")
         scratch.drop(graph)
@@ -196,15 +200,26 @@ def build(nodes: DataFrame, scratch: Scratch, cfg: AnnConfig) -> DataFrame:
 
 def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, scratch: Scratch, cfg: AnnConfig) -> DataFrame:
     """(query_id, node): the pool of each query (query_id, node or null, unit) after its walk."""
-    ways = graph.select("v", "u").unionByName(graph.select(F.col("u").alias("v"), F.col("v").alias("u"))).distinct()
+    ways = scratch.keep(graph.select("v", "u").unionByName(graph.select(F.col("u").alias("v"), F.col("v").alias("u"))).distinct(), "ways")
     first = [r["node"] for r in nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(cfg.entries).collect()]
     to_see = queries.select("query_id", F.explode(F.array_distinct(F.concat(F.array(*[F.lit(x) for x in first]).cast("array<bigint>"), F.array("node")))).alias("node")).where("node IS NOT NULL")
     pool, schema = None, "query_id long, node long, sim float, done boolean, turn boolean"
 
     def rank(batches):
-        """Score what is new, keep the best of the pool, and mark whose turn it is."""
+        """Score what is new, keep the best of the pool, and mark whose turn it is.
+
+        The row without a node has the query's own vector, and rows without a similarity are new.
+        """
         for table in _groups(batches, 1):
-            q, node, sim, done = (table.column(i).to_numpy() for i in range(4))
+            asked, fresh = (np.flatnonzero(table.column(i).is_null().to_numpy()) for i in (1, 2))
+            q, node, sim, done = table.column(0).to_numpy(), *(table.column(i).fill_null(x).to_numpy() for i, x in ((1, 0), (2, 0.0), (3, False)))
+            fresh, sim = np.setdiff1d(fresh, asked, assume_unique=True), sim.copy()
+            if len(fresh):
+                mine, units = _units(table.column(4).take(pa.array(asked))), _units(table.column(4).take(pa.array(fresh)))
+                sim[fresh] = np.einsum("ij,ij->i", mine[np.searchsorted(q[asked], q[fresh])], units)
+            q, node, sim, done = (np.delete(a, asked) for a in (q, node, sim, done))
+            if not len(q):
+                continue
             order = np.lexsort((~done, node, q))
             once = np.ones(len(q), bool)
             once[1:] = (q[order][1:] != q[order][:-1]) | (node[order][1:] != node[order][:-1])
@@ -221,15 +236,12 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, scratch: Scra
             turn = ~done & (open_ - base <= cfg.width)
             yield pa.RecordBatch.from_arrays([pa.array(a) for a in (q, node, sim, done | turn, turn)], names=["query_id", "node", "sim", "done", "turn"])
 
-    def score(batches):
-        for batch in batches:
-            s = np.einsum("ij,ij->i", _units(batch.column(2)), _units(batch.column(3))) if batch.num_rows else np.zeros(0, np.float32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s.astype(np.float32)), pa.array(np.zeros(len(s), bool))], names=["query_id", "node", "sim", "done"])
-
-    vectors = queries.select("query_id", F.col("unit").alias("q"))
+    nothing = F.lit(None).cast("float").alias("sim"), F.lit(False).alias("done")
+    vectors = queries.select("query_id", F.lit(None).cast("long").alias("node"), *nothing, "unit")
     while True:
-        fresh = to_see.join(nodes, "node").join(vectors, "query_id").select("query_id", "node", "q", "unit").mapInArrow(score, "query_id long, node long, sim float, done boolean")
-        rows = fresh if pool is None else fresh.unionByName(pool.select("query_id", "node", "sim", "done"))
+        rows = vectors.unionByName(to_see.join(nodes, "node").select("query_id", "node", *nothing, "unit"))
+        if pool is not None:
+            rows = rows.unionByName(pool.select("query_id", "node", "sim", "done", F.lit(None).cast("binary").alias("unit")))
         before, pool = pool, scratch.keep(rows.repartition("query_id").sortWithinPartitions("query_id").mapInArrow(rank, schema), "pool")
         if before is not None:
             scratch.drop(before)
