@@ -276,3 +276,26 @@ def test_standalone_forecasters_equal_unified_engine(spark, seasonal):
     assert len(eng) == len(how)
     for r in eng:
         assert r["y_pred"] == pytest.approx(how[(r["unique_id"], r["window"], r["horizon"])], rel=1e-12)
+
+
+def test_alternate_ridge_matches_closed_form(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 2)) * [1.0, 20.0] + [5.0, -3.0]
+    y = x @ [2.0, 0.1] + rng.normal(size=60)
+    from pyspark.ml.linalg import Vectors
+
+    from tspanel.operators import ml as ML
+
+    rows = spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(x.tolist(), y, strict=True)], ["features", "y"])
+    got = ML.ALTERNATE_MODELS["ridge_regression"](scale=float(y.std()) / len(y)).fit(rows)
+    xc = x - x.mean(axis=0)
+    want = np.linalg.solve(xc.T @ xc + np.eye(2), xc.T @ (y - y.mean()))
+    assert np.allclose(got.coefficients.toArray(), want, atol=1e-9)
+
+
+def test_alternate_presets_build():
+    from tspanel.operators import ml as ML
+
+    made = {k: f() for k, f in ML.ALTERNATE_MODELS.items()}
+    assert made["boosted_trees"].getMaxIter() == 500 and made["random_forest"].getNumTrees() == 300
+    assert not made["ridge_regression"].getStandardization()

@@ -19,6 +19,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -36,12 +37,13 @@ from tspanel.session import ensure_checkpoint_dir
 
 
 # ---------------------------------------------------------------- model registry (G-5)
+# Model names and their parameters.
 
-def ridge(alpha: float = 1.0, scale: float = 1.0) -> LinearRegression:
-    """G-1: ridge on standardised features. ``scale = stddev_pop(y) / n`` maps
+def ridge(alpha: float = 1.0, scale: float = 1.0, standardize: bool = True) -> LinearRegression:
+    """G-1: ridge on standardised features (``standardize=False``: as they are). ``scale = stddev_pop(y) / n`` maps
     the closed-form penalty α onto MLlib's ``regParam``."""
     return LinearRegression(featuresCol="features", labelCol="y", regParam=alpha * scale, elasticNetParam=0.0,
-                            standardization=True, solver="normal")
+                            standardization=standardize, solver="normal")
 
 
 def random_forest(num_trees: int = 120, max_depth: int = 12, min_leaf: int = 3) -> RandomForestRegressor:
@@ -62,10 +64,12 @@ MODEL_REGISTRY: dict[str, Callable[..., object]] = {
     "hist_gradient_boosting": boosted_trees,
 }
 
-ALT_PRESETS = {
-    "random_forest": {"num_trees": 300, "max_depth": 30, "min_leaf": 2},
-    "hist_gradient_boosting": {"max_iter": 300},
-    "boosted_trees": {"max_iter": 500, "step": 0.03},
+#: The alternate presets (pass as ``registry``); ``boosted_trees`` is G-4.
+ALTERNATE_MODELS: dict[str, Callable[..., object]] = {
+    "ridge_regression": partial(ridge, standardize=False),
+    "random_forest": partial(random_forest, num_trees=300, max_depth=30, min_leaf=2),
+    "hist_gradient_boosting": partial(boosted_trees, max_iter=300),
+    "boosted_trees": partial(boosted_trees, max_iter=500, step=0.03),
 }
 
 
@@ -107,10 +111,11 @@ def _assembler(config: FeatureConfig) -> VectorAssembler:
 
 
 def fit_models(train: DataFrame, windows: list[int], models: list[str], config: FeatureConfig,
-               parallel: int = 4) -> dict:
+               parallel: int = 4, registry: dict[str, Callable[..., object]] | None = None) -> dict:
     """Fit one pipeline per (model, window). Every fit is a distributed MLlib
     job; the handful of independent fits are submitted from a few driver
     threads so their jobs run concurrently."""
+    registry = registry or MODEL_REGISTRY
     stats = {r["window"]: (float(r["s"] or 0.0), int(r["n"])) for r in
              train.groupBy("window").agg(F.stddev_pop("y").alias("s"), F.count(F.lit(1)).alias("n")).collect()}
 
@@ -119,9 +124,9 @@ def fit_models(train: DataFrame, windows: list[int], models: list[str], config:
         part = train.filter(F.col("window") == w)
         if name == "ridge_regression":
             s, n = stats.get(w, (0.0, 1))
-            est = ridge(1.0, s / max(n, 1))
+            est = registry[name](scale=s / max(n, 1))
         else:
-            est = MODEL_REGISTRY[name]()
+            est = registry[name]()
         return key, Pipeline(stages=[_assembler(config), est]).fit(part)
 
     keys = [(m, w) for w in windows for m in models]
@@ -267,16 +272,16 @@ def recursive_forecast(models: dict, state: DataFrame, horizon: int, step_second
 
 def ml_forecasts(panel: DataFrame, cutoffs: DataFrame, models: list[str] | None = None,
                  config: FeatureConfig = FeatureConfig(), horizon: int = HORIZON,
-                 step_seconds: int = 3600) -> DataFrame:
-    """F-19 + F-20 for every (model, series, window)."""
-    models = models or list(MODEL_REGISTRY)
+                 step_seconds: int = 3600, registry: dict[str, Callable[..., object]] | None = None) -> DataFrame:
+    """F-19 + F-20 for every (model, series, window); ``registry`` replaces the default models."""
+    models = models or list(registry or MODEL_REGISTRY)
     look = max(max(config.lags), max(config.rolling_windows))
     tail = tail_for_cutoffs(panel.select("unique_id", "ds", "y", "pos"), cutoffs, None if config.max_train_size is None else config.max_train_size + look)
     feats = forecast_features(tail, config)
     ensure_checkpoint_dir(panel.sparkSession)
     train = training_rows(feats, cutoffs, config).checkpoint(eager=True)
     windows = sorted(r["window"] for r in cutoffs.select("window").distinct().collect())
-    fitted = fit_models(train, windows, models, config)
+    fitted = fit_models(train, windows, models, config, registry=registry)
     keep = max(max(config.lags), max(config.rolling_windows)) + 1
     state = initial_state(panel, cutoffs, keep)
     base = ensure_checkpoint_dir(panel.sparkSession).rstrip("/")

@@ -159,8 +159,8 @@ def anomaly_analysis(panel: DataFrame, config=None) -> dict[str, DataFrame]:
 
 def data_driven_analysis(panel: DataFrame, models=None, step_seconds: int = 3600) -> dict[str, DataFrame]:
     """PIPE-4: ML models (F-19/F-20) and the direct-window model (F-21) over the
-    backtest windows, their leaderboards, the combined re-ranked table and the
-    final 24-step forecasts."""
+    backtest windows, their leaderboards, the combined re-ranked table with its
+    selection (J-4) and the final 24-step forecasts of both groups."""
     from tspanel.operators import ml as ML
 
     cfg = BacktestConfig()
@@ -173,9 +173,14 @@ def data_driven_analysis(panel: DataFrame, models=None, step_seconds: int = 3600
     ml_board = E.leaderboard(E.metrics_by_window(ml, scale, "clamped")).withColumn("group", F.lit("ML"))
     dl_board = E.leaderboard(E.metrics_by_window(dl, scale, "clamped")).withColumn("group", F.lit("DL"))
     final = B.final_cutoffs(panel)
-    forecasts = B.future_timestamps(ML.ml_forecasts(panel, final, models, step_seconds=step_seconds), panel, step_seconds)
+    columns = ("unique_id", "ds", "horizon", "model", "y_pred", "group")
+    forecasts = B.future_timestamps(ML.ml_forecasts(panel, final, models, step_seconds=step_seconds), panel, step_seconds) \
+        .withColumn("group", F.lit("ML")).select(*columns).unionByName(
+            B.future_timestamps(ML.direct_window_forecasts(panel, final), panel, step_seconds).withColumn("group", F.lit("DL")).select(*columns))
+    combined = E.combine_leaderboards(ml_board, dl_board)
+    selections = [E.selection_table(ml_board, group="ML", best_label="primary ML candidate"), E.selection_table(dl_board, group="DL")]
     return {"ml_predictions": ml, "dl_predictions": dl, "ml_leaderboard": ml_board, "dl_leaderboard": dl_board,
-            "combined": E.combine_leaderboards(ml_board, dl_board), "forecasts": forecasts}
+            "combined": combined, "selection": E.combine_selection_tables(selections, combined), "forecasts": forecasts}
 
 
 def statistical_analysis(panel: DataFrame, with_fleet: bool = True, step_seconds: int = 3600) -> dict[str, DataFrame]:

@@ -80,6 +80,9 @@ def q_anomaly_summary(spark, sf):
 
 # ---------------------------------------------------------------- G-1..G-5, F-18..F-20
 
+ML_MODELS = ["ridge_regression", "random_forest", "hist_gradient_boosting"]
+
+
 def _ml_preds(spark, sf, models):
     p = _h(spark, sf)
     cuts = _cuts(p)
@@ -105,7 +108,7 @@ def q_ml_gbt(spark, sf):
 @register("ml_leaderboard")
 def q_ml_lb(spark, sf):
     """E-7 / E-8 for the ML group (in-sample MASE scale per window)."""
-    p, cuts, preds = _ml_preds(spark, sf, ["ridge_regression", "random_forest"])
+    p, cuts, preds = _ml_preds(spark, sf, ML_MODELS)
     bw = E.metrics_by_window(preds.withColumn("residual", F.col("y") - F.col("y_pred")),
                              E.insample_scale(p, cuts, 24), "clamped")
     return rounded(E.selection_table(E.leaderboard(bw), group="ML", best_label="primary ML candidate"))
@@ -116,7 +119,7 @@ def q_ml_final(spark, sf):
     """F-12 of the ML group: fit on the whole series, 24 future steps."""
     p = _h(spark, sf)
     cuts = B.final_cutoffs(p)
-    fc = ML.ml_forecasts(p, cuts, ["ridge_regression", "random_forest"])
+    fc = ML.ml_forecasts(p, cuts, ML_MODELS)
     fc = B.future_timestamps(fc, p, 3600).withColumn("group", F.lit("ML"))
     return rounded(fc.select("unique_id", "ds", "horizon", "group", "model", "y_pred"))
 
@@ -133,10 +136,18 @@ def q_direct(spark, sf):
     return rounded(preds.select("unique_id", "ds", "window", "horizon", "group", "model", "y", "y_pred", "cutoff"))
 
 
+@register("direct_final_forecast")
+def q_direct_final(spark, sf):
+    """F-12 of the direct-window group: fit on the whole series, 24 future steps."""
+    p = _h(spark, sf)
+    fc = B.future_timestamps(ML.direct_window_forecasts(p, B.final_cutoffs(p)), p, 3600).withColumn("group", F.lit("DL"))
+    return rounded(fc.select("unique_id", "ds", "horizon", "group", "model", "y_pred"))
+
+
 @register("data_driven_leaderboard")
 def q_data_driven(spark, sf):
     """E-9: ML and direct-window leaderboards combined and re-ranked."""
-    p, cuts, preds = _ml_preds(spark, sf, ["ridge_regression", "random_forest"])
+    p, cuts, preds = _ml_preds(spark, sf, ML_MODELS)
     scale = E.insample_scale(p, cuts, 24)
     ml_lb = E.leaderboard(E.metrics_by_window(preds, scale, "clamped")).withColumn("group", F.lit("ML"))
     d = B.attach_actuals(ML.direct_window_forecasts(p, cuts), p)
