@@ -231,6 +231,35 @@ def test_nearest_neighbours(spark, tmp_path):
     assert [v for _, v, _ in got[100]] == [3, 101, 102, 103, 104]
 
 
+def test_nearest_among_noisy_copies(spark):
+    """Thousands of nearly equal vectors, whose cosines differ by far less than a half float tells."""
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=64) + noise * rng.normal(size=(n, 64)) for noise, n in ((1e-2, 1500), (1e-3, 2500))]).astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for q, v in ann.nearest(table, F.col("vec_id") % 100 == 0).select("query_id", "vec_id").collect():
+        got.setdefault(q, set()).add(v)
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    for part in (range(0, 1500, 100), range(1500, 4000, 100)):
+        hits = 0
+        for q in part:
+            sims = u @ u[q]
+            sims[q] = -2
+            hits += len(got[q] & set(np.argsort(-sims)[:5].tolist()))
+        assert hits >= 0.9 * 5 * len(part)
+
+
+def test_ties_beyond_the_pool(spark):
+    """More nodes of the k-th score than a pool holds: the smaller ids still count."""
+    rng = np.random.default_rng(9)
+    x = np.zeros((300, 304))
+    x[:, 0] = 1.0
+    x[np.arange(300), 1 + rng.permutation(300)] = 1.0
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.nearest(table, F.col("vec_id") % 100 == 50).orderBy("query_id", "rank").select("query_id", "vec_id").collect()
+    assert [tuple(r) for r in got] == [(q, v) for q in (50, 150, 250) for v in range(5)]
+
+
 def test_few_vectors(spark):
     table = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [-1.0, 0.0])], "vec_id long, embedding array<double>")
     got = [tuple(r) for r in ann.nearest(table, F.col("vec_id") == 0).orderBy("rank").collect()]

@@ -8,8 +8,9 @@ are not compared again, and rounds end when few neighbours still change.
 
 A query walks the graph greedily: of the best ``pool`` nodes it knows, the best
 ``width`` not yet expanded are, until all are. It starts at its own node if it
-is an indexed row, and at a few entry nodes. The pool is scored in double precision on the
-original vectors.
+is an indexed row, and at a few entry nodes. Edges, pools and answers are all scored in double
+precision, so near copies are told apart wherever their cosines differ as doubles. Where the k-th of a pool
+ties with its last, all nodes of that score stay and are expanded, as the smaller ids may be among them.
 
 Equal vectors are one node; a node stands for its ``k + 1`` smallest ids, which
 are all that can be among a query's k nearest, so crowds of copies cost nothing.
@@ -22,7 +23,7 @@ ties go to the smaller id; fewer candidates than k give as many rows; an empty t
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,8 @@ class AnnConfig:
     pool: int = 128
     width: int = 16
     entries: int = 8
+    tie: float = 1e-15          # scores this near are one (the rounding of a double's cosine)
+    stored: str = "float32"     # what nodes carry; float64 if the embeddings are not floats
 
 
 def usable(table: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -56,8 +59,8 @@ def usable(table: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return rows.where(F.size("v") == (most["dim"] if most else 0))
 
 
-def _nodes(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """(members, nodes): the k + 1 smallest ids of each distinct vector with it, and a unit vector for each node."""
+def _nodes(rows: DataFrame, k: int, stored: str) -> tuple[DataFrame, DataFrame]:
+    """(members, nodes): the k + 1 smallest ids of each distinct vector with it, and for each node its vector times a power of two (``stored``, exact)."""
     named = rows.withColumn("name", F.sha2(F.array_join("v", ","), 256)).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(64)))
     best = named.dropDuplicates(["vec_id", "name"])
     for keys in (["name", "salt"], ["name"]):
@@ -69,15 +72,15 @@ def _nodes(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
             x = np.array(batch.column(1).to_pylist(), np.float64).reshape(batch.num_rows, -1)
             if not len(x):
                 continue
-            x /= np.abs(x).max(axis=1, keepdims=True)
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary())], names=["node", "unit"])
+            x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x.astype(stored)], pa.binary())], names=["node", "unit"])
 
     return members, members.where("vec_id = node").select("node", "v").mapInArrow(unit, "node long, unit binary")
 
 
-def _units(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float16).reshape(len(column), -1).astype(np.float32)
+def _units(column, cfg: AnnConfig) -> np.ndarray:
+    x = np.frombuffer(b"".join(column.to_pylist()), cfg.stored).reshape(len(column), -1).astype(np.float64)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def _start(nodes: DataFrame, n: int, cfg: AnnConfig) -> DataFrame:
@@ -90,7 +93,7 @@ def _start(nodes: DataFrame, n: int, cfg: AnnConfig) -> DataFrame:
     def join(batches):
         for table in _groups(batches, 2):
             d, b, node = (table.column(i).to_numpy() for i in range(3))
-            x = _units(table.column(3))
+            x = _units(table.column(3), cfg)
             heads = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (b[1:] != b[:-1])]))
             out = []
             for lo, hi in zip(heads.tolist(), [*heads[1:].tolist(), len(d)], strict=True):
@@ -99,7 +102,7 @@ def _start(nodes: DataFrame, n: int, cfg: AnnConfig) -> DataFrame:
                 out.append((node[lo + i], node[lo + j], s[i, j]))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[k] for o in out])) for k in range(3)], names=["v", "u", "sim"])
 
-    return rows.repartition("deal", "block").sortWithinPartitions("deal", "block").mapInArrow(join, "v long, u long, sim float")
+    return rows.repartition("deal", "block").sortWithinPartitions("deal", "block").mapInArrow(join, "v long, u long, sim double")
 
 
 def _offers(rows: DataFrame, cfg: AnnConfig) -> DataFrame:
@@ -118,17 +121,17 @@ def _offers(rows: DataFrame, cfg: AnnConfig) -> DataFrame:
         full = np.where(real, slot, 0)
         s = np.matmul(x[full], x[full].transpose(0, 2, 1))
         worth = real[:, :, None] & real[:, None, :] & (new[full][:, :, None] | new[full][:, None, :]) & (member[full][:, :, None] != member[full][:, None, :])
-        s = np.where(worth & (s > kth[full][:, :, None]), s, np.float32(-2))
+        s = np.where(worth & (s > kth[full][:, :, None]), s, -2.0)
         if most > cfg.offers:
             bar = np.partition(s, most - cfg.offers, axis=2)[:, :, most - cfg.offers]
-            s = np.where(s >= bar[:, :, None], s, np.float32(-2))
+            s = np.where(s >= bar[:, :, None], s, -2.0)
         g, i, j = np.nonzero(s > -2)
         return member[full[g, i]], member[full[g, j]], s[g, i, j]
 
     def join(batches):
         for table in _groups(batches, 1):
             owner, member, new, kth = (table.column(i).to_numpy() for i in range(4))
-            x = _units(table.column(4))
+            x = _units(table.column(4), cfg)
             # an owner's member may come both ways: one is enough
             order = np.lexsort((~new, member, owner))
             owner, member, new, kth, x = owner[order], member[order], new[order].astype(bool), kth[order], x[order]
@@ -149,7 +152,7 @@ def _offers(rows: DataFrame, cfg: AnnConfig) -> DataFrame:
             once[1:] = (v[1:] != v[:-1]) | (u[1:] != u[:-1])
             yield pa.RecordBatch.from_arrays([pa.array(v[once]), pa.array(u[once]), pa.array(s[once])], names=["v", "u", "sim"])
 
-    return rows.repartition("owner").sortWithinPartitions("owner").mapInArrow(join, "v long, u long, sim float")
+    return rows.repartition("owner").sortWithinPartitions("owner").mapInArrow(join, "v long, u long, sim double")
 
 
 def _best(edges: DataFrame, degree: int) -> DataFrame:
@@ -169,12 +172,12 @@ def _best(edges: DataFrame, degree: int) -> DataFrame:
             heads = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
             size = np.diff(np.append(heads, len(v)))
             rank = np.arange(len(v)) - np.repeat(heads, size)
-            worst = np.where(size >= degree, sim[np.minimum(heads + degree - 1, len(v) - 1)], np.float32(-2))
+            worst = np.where(size >= degree, sim[np.minimum(heads + degree - 1, len(v) - 1)], -2.0)
             kth = np.repeat(worst, size)
             ok = rank < degree
             yield pa.RecordBatch.from_arrays([pa.array(a[ok]) for a in (v, u, sim, new, kth)], names=["v", "u", "sim", "new", "kth"])
 
-    return edges.select("v", "u", "sim", "new").repartition("v").sortWithinPartitions("v").mapInArrow(merge, "v long, u long, sim float, new boolean, kth float")
+    return edges.select("v", "u", "sim", "new").repartition("v").sortWithinPartitions("v").mapInArrow(merge, "v long, u long, sim double, new boolean, kth double")
 
 
 def build(nodes: DataFrame, scratch: Scratch, cfg: AnnConfig) -> DataFrame:
@@ -198,12 +201,12 @@ def build(nodes: DataFrame, scratch: Scratch, cfg: AnnConfig) -> DataFrame:
     return graph
 
 
-def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, scratch: Scratch, cfg: AnnConfig) -> DataFrame:
+def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, scratch: Scratch, cfg: AnnConfig, k: int = 5) -> DataFrame:
     """(query_id, node): the pool of each query (query_id, node or null, unit) after its walk."""
     ways = scratch.keep(graph.select("v", "u").unionByName(graph.select(F.col("u").alias("v"), F.col("v").alias("u"))).distinct(), "ways")
     first = [r["node"] for r in nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(cfg.entries).collect()]
     to_see = queries.select("query_id", F.explode(F.array_distinct(F.concat(F.array(*[F.lit(x) for x in first]).cast("array<bigint>"), F.array("node")))).alias("node")).where("node IS NOT NULL")
-    pool, schema = None, "query_id long, node long, sim float, done boolean, turn boolean"
+    pool, schema = None, "query_id long, node long, sim double, done boolean, turn boolean"
 
     def rank(batches):
         """Score what is new, keep the best of the pool, and mark whose turn it is.
@@ -215,7 +218,7 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, scratch: Scra
             q, node, sim, done = table.column(0).to_numpy(), *(table.column(i).fill_null(x).to_numpy() for i, x in ((1, 0), (2, 0.0), (3, False)))
             fresh, sim = np.setdiff1d(fresh, asked, assume_unique=True), sim.copy()
             if len(fresh):
-                mine, units = _units(table.column(4).take(pa.array(asked))), _units(table.column(4).take(pa.array(fresh)))
+                mine, units = _units(table.column(4).take(pa.array(asked)), cfg), _units(table.column(4).take(pa.array(fresh)), cfg)
                 sim[fresh] = np.einsum("ij,ij->i", mine[np.searchsorted(q[asked], q[fresh])], units)
             q, node, sim, done = (np.delete(a, asked) for a in (q, node, sim, done))
             if not len(q):
@@ -227,16 +230,20 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, scratch: Scra
             order = np.lexsort((node, -sim, q))
             q, node, sim, done = (a[order] for a in (q, node, sim, done))
             heads = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
-            place = np.arange(len(q)) - np.repeat(heads, np.diff(np.append(heads, len(q))))
-            ok = place < cfg.pool
-            q, node, sim, done = (a[ok] for a in (q, node, sim, done.astype(bool)))
+            size = np.diff(np.append(heads, len(q)))
+            place = np.arange(len(q)) - np.repeat(heads, size)
+            # the query's own node may be one of the best k + 1
+            worst = sim[heads + np.minimum(size, cfg.pool) - 1]
+            tied = sim[heads + np.minimum(size, min(k + 1, cfg.pool)) - 1] - worst <= cfg.tie
+            ok = (place < cfg.pool) | (np.repeat(tied, size) & (sim >= np.repeat(worst, size) - cfg.tie))
+            q, node, sim, done, place = (a[ok] for a in (q, node, sim, done.astype(bool), place))
             heads = np.concatenate([[True], q[1:] != q[:-1]])
             open_ = np.cumsum(~done)
             base = np.repeat((open_ - ~done)[heads], np.diff(np.append(np.flatnonzero(heads), len(q))))
-            turn = ~done & (open_ - base <= cfg.width)
+            turn = ~done & ((open_ - base <= cfg.width) | (place >= cfg.pool))
             yield pa.RecordBatch.from_arrays([pa.array(a) for a in (q, node, sim, done | turn, turn)], names=["query_id", "node", "sim", "done", "turn"])
 
-    nothing = F.lit(None).cast("float").alias("sim"), F.lit(False).alias("done")
+    nothing = F.lit(None).cast("double").alias("sim"), F.lit(False).alias("done")
     vectors = queries.select("query_id", F.lit(None).cast("long").alias("node"), *nothing, "unit")
     while True:
         rows = vectors.unionByName(to_see.join(nodes, "node").select("query_id", "node", *nothing, "unit"))
@@ -254,16 +261,17 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, scratch: Scra
 
 def nearest(table: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding", cfg: AnnConfig | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found by cosine of each row for which ``is_query`` (a condition on vec_id) holds."""
-    cfg = cfg or AnnConfig()
+    narrow = table.select(F.col(embedding)).schema[0].dataType.simpleString() == "array<float>"
+    cfg = replace(cfg or AnnConfig(), stored="float32" if narrow else "float64")
     scratch = Scratch(table.sparkSession, "ann")
     rows = scratch.keep(usable(table, vec_id, embedding), "rows")
-    members, nodes = _nodes(rows, k)
+    members, nodes = _nodes(rows, k, cfg.stored)
     members, nodes = scratch.keep(members, "members"), scratch.keep(nodes, "nodes")
     graph = build(nodes, scratch, cfg)
     asked = rows.where(is_query).dropDuplicates(["vec_id"]).select(F.col("vec_id").alias("query_id"), F.col("v").alias("qv"))
     own = rows.where(is_query).withColumn("name", F.array_join("v", ",")).dropDuplicates(["vec_id"]) \
         .join(members.where("vec_id = node").select("node", F.array_join("v", ",").alias("name")), "name").select(F.col("vec_id").alias("query_id"), "node")
-    found = search(own.join(nodes, "node").select("query_id", "node", "unit"), nodes, graph, scratch, cfg)
+    found = search(own.join(nodes, "node").select("query_id", "node", "unit"), nodes, graph, scratch, cfg, k)
     near = found.join(members, "node").where("vec_id <> query_id").join(asked, "query_id")
 
     def cosine(batches):
