@@ -300,6 +300,28 @@ def test_inheritance_and_cosines(spark):
     assert name == "B" and abs(score - 3 / (2 ** 0.5 * 5 ** 0.5)) < 1e-12
 
 
+def test_full_licence_files_and_wrapped_headers(spark):
+    full = dict(licenses.full_texts())
+    files = [(f"{name}/LICENSE", f"Copyright (c) 2021 Some Holder. All rights reserved.\n\n{text}") for name, text in full.items()]
+    files += [(f"{name}/src/{i}.c", f"int f{i}(void) {{ return {i}; }}") for name in full for i in range(3)]
+    wrapped = {"BSD-3-Clause": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:",
+               "GPL-3.0": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+               "Apache-2.0": "Licensed under the Apache License,\nVersion 2.0 (the License);\nyou may not use this file\nexcept in compliance with the License.",
+               "MPL-2.0": "This Source Code Form is subject to the terms\nof the Mozilla Public License,\nv. 2.0.",
+               "MIT": "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated\ndocumentation files"}
+    code = "\n".join(f"total{i} = first{i} + second{i}" for i in range(40))
+    for mark in ("# ", " * ", "// ", "dnl "):
+        files += [(f"code/{name}{mark.strip()[:1]}.py" if mark != "// " else f"code/{name}-slash.py", code + "\n" + "\n\n".join(mark + x for x in text.split("\n")) + "\n" + code)
+                  for name, text in wrapped.items()]
+    got = {r["path"]: r for r in licenses.scan_tree(spark.createDataFrame(files, "path string, text string")).collect()}
+    for name in full:
+        assert got[f"{name}/LICENSE"]["license"] == name and got[f"{name}/LICENSE"]["is_license_file"]
+        assert [(got[f"{name}/src/{i}.c"]["license"], got[f"{name}/src/{i}.c"]["inherited_from"]) for i in range(3)] == [(name, name)] * 3
+    for path, r in got.items():
+        if path.startswith("code/"):
+            assert r["own_license"] == next(n for n in full if path.startswith(f"code/{n}")) and not r["is_license_file"]
+
+
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_empty_tables(spark, empty, name):
     assert run(spark, name, empty) == []

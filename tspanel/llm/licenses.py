@@ -1,8 +1,10 @@
 """Licence scans: TF-IDF cosine to templates, and inheritance from directories.
 
-Every line of a text (its header may stand anywhere) and the text as a whole
-are sparse TF-IDF vectors, held against those of the licence templates. A line
-or text that comes close enough gives the file its own licence. A file that is
+Every line of a text (its header may stand anywhere), runs of up to ``RUN``
+neighbouring lines that are not blank (notices are wrapped) and the text as a whole
+are sparse TF-IDF vectors. Lines and runs are held against the notices, the whole text
+also against the full licence texts (``license_texts``). What comes close enough gives
+the file its own licence; only runs that do are scored. A file that is
 little else than a licence (the whole text comes close) is a licence file, and
 its licence holds for its directory and all below. A file without a licence
 of its own inherits that of the nearest directory above it that has a licence
@@ -23,7 +25,10 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import cache
+from importlib.resources import files as package_files
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +40,9 @@ from tspanel.llm.common import Scratch
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+                   "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, "
+                   "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -42,19 +50,35 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, "
+                "either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+                "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General "
+                "Public License along with this program. If not, see <https://www.gnu.org/licenses/>."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
 )
 
+#: Licences whose full text is in ``license_texts``, without copyright lines.
+FULL = ("Apache-2.0", "BSD-3-Clause", "GPL-3.0", "MIT", "MPL-2.0")
+
 WORDS = re.compile(r"[^\W_]+")
+#: Comment marks that are words; the others have no letters.
+MARKS = re.compile(r"^\s*(?:dnl|rem)\b")
 
-#: Cosine from which a line or a text is taken to state a licence.
-THRESHOLD = 0.7
+#: Cosine from which a line, a run of lines or a text is taken to state a licence; lines of a run at most.
+THRESHOLD, RUN = 0.7, 24
 
 
 def terms(text: str) -> list[str]:
-    return WORDS.findall(text.lower())
+    return WORDS.findall(MARKS.sub("", text.lower()))
+
+
+@cache
+def full_texts() -> tuple[tuple[str, str], ...]:
+    folder = package_files("tspanel.llm") / "license_texts"
+    return tuple((name, (folder / f"{name}.txt").read_text(encoding="utf-8")) for name in FULL)
 
 
 class Templates:
@@ -70,19 +94,60 @@ class Templates:
             for w, x in vector.items():
                 self.postings.setdefault(w, []).append((i, x / norm))
 
-    def best(self, words: list[str]) -> tuple[float, str | None]:
-        """The largest cosine and its licence; ties go to the smaller name."""
-        if self.postings.keys().isdisjoint(words):
-            return 0.0, None
+    def part(self, words: list[str]) -> tuple[float, dict[int, float]]:
+        """The squared norm, and the dot product with each template that has one of the words."""
         norm, dots = 0.0, {}
         for w, n in Counter(words).items():
             x = n * self.idf.get(w, self.rare)
             norm += x * x
             for i, y in self.postings.get(w, ()):
                 dots[i] = dots.get(i, 0.0) + x * y
+        return norm, dots
+
+    def _top(self, norm: float, dots: dict[int, float]) -> tuple[float, str | None]:
+        if not dots:
+            return 0.0, None
         score, name = max(((d, self.names[i]) for i, d in dots.items()), key=lambda c: (round(c[0], 12), [-ord(ch) for ch in c[1]]))
         return min(1.0, score / math.sqrt(norm)), name
 
+    def best(self, words: list[str]) -> tuple[float, str | None]:
+        """The largest cosine and its licence; ties go to the smaller name."""
+        return self._top(*self.part(words)) if not self.postings.keys().isdisjoint(words) else (0.0, None)
+
+    def best_run(self, lines: list[list[str]], threshold: float = THRESHOLD, longest: int = RUN) -> tuple[float, str | None]:
+        """The same for single lines, and for runs of them (blank ones left out) that reach the threshold.
+
+        Dot products add up over lines and squared norms add up to at least their sum, which bounds a run's
+        cosine; a run that reaches the threshold thus has a line of ``threshold`` / sqrt(lines) or more.
+        """
+        lines = [x for x in lines if x]
+        parts = [self.part(x) for x in lines]
+        top = max((self._top(*p) for p in parts), key=_order, default=(0.0, None))
+        seeds = [s for s, (norm, dots) in enumerate(parts) if dots and max(dots.values()) >= threshold / math.sqrt(longest) * math.sqrt(norm) - 1e-9]
+        for s in seeds:
+            lo, hi = max(0, s - longest + 1), min(len(lines), s + longest)
+            norms, dots = np.zeros(hi - lo + 1), np.zeros((hi - lo + 1, len(self.names)))
+            for k in range(lo, hi):
+                norms[k - lo + 1] = parts[k][0]
+                for i, d in parts[k][1].items():
+                    dots[k - lo + 1, i] = d
+            norms, dots = norms.cumsum(), dots.cumsum(axis=0)
+            i, j = (x.ravel() for x in np.meshgrid(np.arange(s - lo + 1), np.arange(s - lo + 1, hi - lo + 1), indexing="ij"))
+            ok = (j - i <= longest) & (j - i > 1)
+            i, j = i[ok], j[ok]
+            bound = (dots[j] - dots[i]).max(axis=1, initial=0.0) / np.sqrt(norms[j] - norms[i])
+            for at in np.argsort(-bound, kind="stable").tolist():
+                if bound[at] < max(threshold, top[0]) - 1e-9:
+                    break
+                got = self.best([w for x in lines[lo + i[at]:lo + j[at]] for w in x])
+                if got[0] >= threshold:
+                    top = max(top, got, key=_order)
+        return top
+
+
+def _order(c: tuple[float, str | None]):
+    return round(c[0], 12), [-ord(ch) for ch in c[1] or ""]
+
 
 def fit_idf(files: DataFrame, text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES) -> tuple[dict[str, float], float]:
     """Inverse document frequencies of the templates' words over all texts, and that of a word of one text."""
@@ -101,23 +166,25 @@ def fit_idf(files: DataFrame, text: str = "text", templates: tuple[tuple[str, st
     return {w: math.log((1 + n) / (1 + got.get(w, 0))) + 1 for w in sorted(vocab)}, math.log((1 + n) / 2) + 1
 
 
-def scan(files: DataFrame, text: str = "text", threshold: float = THRESHOLD, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
-    """``files`` with own_license, own_score (the largest cosine of a line or the whole) and is_license_file."""
+def scan(files: DataFrame, text: str = "text", threshold: float = THRESHOLD, templates: tuple[tuple[str, str], ...] = TEMPLATES,
+         full: tuple[tuple[str, str], ...] | None = None) -> DataFrame:
+    """``files`` with own_license, own_score (the largest cosine of a line, a run or the whole) and is_license_file."""
+    whole_templates = (*templates, *(full_texts() if full is None else full))
     added = [("own_license", T.StringType()), ("own_score", T.DoubleType()), ("is_license_file", T.BooleanType())]
     files = files.drop(*[c for c, _ in added])
-    idf, rare = fit_idf(files, text, templates)
+    idf, rare = fit_idf(files, text, whole_templates)
     at = files.columns.index(text)
     schema = T.StructType([*files.schema.fields, *[T.StructField(c, t) for c, t in added]])
 
     def work(batches):
-        held = Templates(idf, rare, templates)
+        held, held_whole = Templates(idf, rare, templates), Templates(idf, rare, whole_templates)
         for batch in batches:
             rows = []
             for x in batch.column(at):
                 value = x.as_py() or ""
                 lines = [terms(line) for line in value.split("\n")]
-                whole = held.best([w for line in lines for w in line])
-                top = max([whole, *map(held.best, lines)], key=lambda c: (c[0], [-ord(ch) for ch in c[1] or ""]))
+                whole = held_whole.best([w for line in lines for w in line])
+                top = max(whole, held.best_run(lines, threshold), key=_order)
                 rows.append((top[1] if top[0] >= threshold else None, top[0], whole[0] >= threshold))
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_()))]], names=schema.names)
 
