@@ -170,6 +170,19 @@ def test_count_tree_loses_no_pair():
     assert len(found) < len(sets) ** 2 / 4
 
 
+def test_jaccard_pair_hidden_from_every_center(spark, monkeypatch):
+    """B and C link, but every first shingle that they share also stands in a class before them that links with neither."""
+    b = [f"b{i}" for i in range(64)]
+    fill = [[f"f{j}x{i}" for i in range(31)] for j in range(2)]
+    docs = [(1, b), (2, [*b[:-1], "other"]), (3, b[:34] + fill[0]), (4, fill[1] + b[30:])]
+    docs += [(10 + n, fill[0] + [f"m{n}x{i}" for i in range(n)] + fill[1]) for n in (50, 150, 300)]
+    rows = [(d, " ".join(w)) for d, w in docs]
+    classes = jaccard._classes
+    monkeypatch.setattr(jaccard, "_classes", lambda *a: classes(*a).withColumn("cid", F.col("cid") + F.when(F.col("n") == 60, 1 << 40).otherwise(0)))
+    got = jaccard.components(spark.createDataFrame(rows, "doc_id long, text string"))
+    same([tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()], brute.components(rows))
+
+
 def test_representatives(spark, messy):
     docs = spark.read.parquet(f"{messy}/documents.parquet").select("doc_id", "text")
     kept = Counter(r["doc_id"] for r in jaccard.keep_representatives(docs).collect())

@@ -357,11 +357,12 @@ def link_sets(docs: DataFrame, scratch: Scratch, k: int) -> tuple[DataFrame, Dat
             more = scratch.keep(_sets(docs, classes, wanted, k), "sets")
             sets = more if sets is None else sets.unionByName(more)
         if sets is None:
-            break
+            scratch.drop(pairs, wanted)
+            continue
         found = scratch.keep(_verify(pairs, sets), mode)
         links = found if links is None else links.unionByName(found)
         after = scratch.keep(connected_components(links, scratch), "labels")
-        scratch.drop(pairs, wanted, *([labels] if mode != "star" else []))
+        scratch.drop(pairs, wanted, *([labels] if hasattr(labels, "_scratch_path") else []))
         labels = after
     return classes.drop("point"), labels
 
