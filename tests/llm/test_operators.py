@@ -93,6 +93,20 @@ def test_repeats_of_small_alphabets(spark):
         assert [got[i] for i in range(len(texts))] == brute.removal(texts, length)
 
 
+def test_pieces_cut_no_run(monkeypatch):
+    rng = np.random.default_rng(6)
+    data = rng.integers(97, 100, 5000).astype(np.uint8)
+    offsets = np.array([0, 1300, 1310, 4100, 5000])
+
+    def runs():
+        return sorted(r for part in suffix_dedup.anchors(data, offsets, 40, 8) for r in zip(*(x.tolist() for x in part), strict=True))
+
+    whole = runs()
+    for piece in (97, 256, 1024):
+        monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+        assert runs() == whole
+
+
 def test_fingerprints(spark, messy):
     got = run(spark, "op6_threshold_sketch", messy)
     order = sorted(((d is not None, d or 0), t or "") for d, t, *_ in ROWS)

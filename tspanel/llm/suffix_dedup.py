@@ -56,12 +56,16 @@ FILTER_BITS = 1 << 26
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, k: int) -> Iterator[tuple[np.ndarray, ...]]:
     """(text, anchor, first, last, key, surroundings) for the runs of string starts that share an anchor.
 
-    Positions are within the slice. Long slices go a piece at a time; a run that a piece cuts is two runs.
+    Positions are within the slice. Long slices go a piece at a time; a run that reaches the end of a
+    piece is left to the next one, which begins with it.
     """
-    for at in range(0, max(0, len(data) - length + 1), PIECE):
-        part = data[at:at + PIECE + length - 1]
+    width, upto = length - k + 1, 0
+    step = max(PIECE, 2 * width)
+    while upto < len(data) - length + 1:
+        at = upto
+        part = data[at:at + step + length - 1]
         starts = len(part) - length + 1
-        width = length - k + 1
+        upto = at + starts
         run = prefix_hash(part)
         hashed = span_hash(run, np.arange(len(part) - k + 1), np.arange(k, len(part) + 1))
         bits = np.uint64(max(1, len(part).bit_length()))
@@ -83,6 +87,12 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, k: int) -> Itera
         new[1:] = (place[p[1:]] != place[p[:-1]]) | (text[p[1:]] != text[p[:-1]])
         heads = np.flatnonzero(new)
         first, last = p[heads], p[np.append(heads[1:], len(p)) - 1]
+        if upto < len(data) - length + 1 and last[-1] == starts - 1:
+            # a run has no more than ``width`` starts, so others come before it or the next piece is further on
+            upto = at + int(first[-1])
+            heads, first, last = heads[:-1], first[:-1], last[:-1]
+            if not len(heads):
+                continue
         a = place[first]
         around = mix64(span_hash(run, first, last + length) + ((a - first) * 1024 + (last - first)).astype(np.uint64))
         yield text[first], a + at, first + at, last + at, hashed[a].view(np.int64), around.view(np.int64)
