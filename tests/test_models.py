@@ -299,3 +299,35 @@ def test_alternate_presets_build():
     made = {k: f() for k, f in ML.ALTERNATE_MODELS.items()}
     assert made["boosted_trees"].getMaxIter() == 500 and made["random_forest"].getNumTrees() == 300
     assert not made["ridge_regression"].getStandardization()
+
+
+def test_direct_window_adds_batches_up_by_cell(spark):
+    """Many small Arrow batches make one matrix a partition, and no array of matrices."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from tests.conftest import panel_df
+    from tspanel.operators import baselines as B
+    from tspanel.operators import ml as ML
+
+    rng = np.random.default_rng(3)
+    y = rng.normal(size=(2, 60)).cumsum(axis=1)
+    panel = panel_df(spark, [(f"s{i}", f"2024-01-{1 + t // 24:02d} {t % 24:02d}:00:00", float(y[i, t])) for i in range(2) for t in range(60)])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        out = ML.direct_window_forecasts(panel, B.final_cutoffs(panel), input_size=6, horizon=2)
+        plan = out._jdf.queryExecution().toString()
+        got = {(r["unique_id"], r["horizon"]): r["y_pred"] for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "collect_list(xtx" not in plan and "sum(value" in plan
+    win = np.concatenate([np.lib.stride_tricks.sliding_window_view(s, 8) for s in y])
+    x, t = ML._robust(win[:, :6], win[:, 6:])
+    x = np.hstack([x, np.ones((len(x), 1))])
+    coef = np.linalg.solve(x.T @ x + np.diag([1.0] * 6 + [0.0]), x.T @ t)
+    for i in range(2):
+        last = y[i, -6:]
+        med = np.median(last)
+        mad = np.median(np.abs(last - med))
+        want = np.r_[(last - med) / mad, 1.0] @ coef * mad + med
+        assert np.allclose([got[f"s{i}", 1], got[f"s{i}", 2]], want, rtol=1e-9)

@@ -319,6 +319,7 @@ def direct_window_forecasts(panel: DataFrame, cutoffs: DataFrame, input_size: in
                  .select(F.col("_w.window").alias("window"), "_win"))
 
     def gram(it):
+        sums: dict[int, np.ndarray] = {}
         for pdf in it:
             if pdf.empty:
                 continue
@@ -326,20 +327,19 @@ def direct_window_forecasts(panel: DataFrame, cutoffs: DataFrame, input_size: in
                 arr = np.stack(g["_win"].to_numpy())
                 x, y = _robust(arr[:, :input_size], arr[:, input_size:])
                 xa = np.hstack([x, np.ones((len(x), 1))])
-                yield pd.DataFrame({"window": [int(wv)], "xtx": [(xa.T @ xa).ravel().tolist()],
-                                    "xty": [(xa.T @ y).ravel().tolist()], "cnt": [len(x)]})
+                cells = np.concatenate([(xa.T @ xa).ravel(), (xa.T @ y).ravel()])
+                sums[int(wv)] = sums[int(wv)] + cells if int(wv) in sums else cells
+        for wv, cells in sums.items():
+            yield pd.DataFrame({"window": np.full(len(cells), wv, "int32"), "cell": np.arange(len(cells), dtype="int32"), "value": cells})
 
-    parts = train.mapInPandas(gram, "window int, xtx array<double>, xty array<double>, cnt long")
-    sums = parts.groupBy("window").agg(
-        F.aggregate(F.collect_list("xtx"), F.array_repeat(F.lit(0.0), (input_size + 1) ** 2),
-                    lambda acc, a: F.zip_with(acc, a, lambda u, v: u + v)).alias("xtx"),
-        F.aggregate(F.collect_list("xty"), F.array_repeat(F.lit(0.0), (input_size + 1) * horizon),
-                    lambda acc, a: F.zip_with(acc, a, lambda u, v: u + v)).alias("xty"))
+    # one matrix a partition and window, added up cell by cell
+    parts = train.mapInPandas(gram, "window int, cell int, value double")
+    sums = parts.groupBy("window", "cell").agg(F.sum("value").alias("value"))
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         k = input_size + 1
-        xtx = np.asarray(pdf["xtx"].iloc[0]).reshape(k, k)
-        xty = np.asarray(pdf["xty"].iloc[0]).reshape(k, horizon)
+        cells = pdf.sort_values("cell")["value"].to_numpy()
+        xtx, xty = cells[:k * k].reshape(k, k), cells[k * k:].reshape(k, horizon)
         pen = alpha * np.eye(k)
         pen[-1, -1] = 0.0
         coef = np.linalg.solve(xtx + pen, xty)
