@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 from tests.llm import brute
 from tests.llm.conftest import messy_rows
 from tspanel.llm import ann, catalog, components, fingerprint, jaccard, langid, licenses, mixing, suffix_dedup, toxicity
-from tspanel.llm.common import Scratch
+from tspanel.llm.common import Scratch, drawn
 
 ROWS = messy_rows()
 
@@ -147,6 +147,20 @@ def test_toxicity(spark, messy):
     assert len(got) == len(ROWS) and all(0 <= g[2] <= 1 and g[3] == int(g[2] >= 0.3) for g in got)
 
 
+def test_samples_hold_a_copied_text_once(spark):
+    """A text that is most of its class is always drawn, once, with the weight of its copies."""
+    rows = [("hot text of the class", 1)] * 4000 + [(f"awful thing {i}", 1) for i in range(1000)]
+    df = spark.createDataFrame(rows, "text string, toxic int")
+    got = drawn(df, ["toxic"], F.lit(0.02)).collect()
+    hot = [r for r in got if r["text"] == "hot text of the class"]
+    assert [(r["copies"], r["chance"]) for r in hot] == [(4000, 1.0)] and len({r["text"] for r in got}) == len(got) < 60
+    assert abs(sum(r["copies"] / r["chance"] for r in got) - 5000) < 1500
+    # a profile is not filled by one text
+    texts = [("zzz qqq", "xx")] * 3000 + [(f"alpha beta {chr(97 + i % 20)}{chr(97 + i // 20 % 20)}", "xx") for i in range(400)]
+    profile = langid.fit_profiles(spark.createDataFrame(texts, "text string, lang string"), cfg=langid.LangConfig(max_docs=200))["xx"]
+    assert ord("z") in profile and ord("b") in profile
+
+
 def test_counterfactual_penalty(spark):
     """Groups that stand in many toxic sentences are not themselves toxic."""
     rows = [(f"the {g} are {w} people {i}", int(w == "awful")) for i in range(30) for g, w in

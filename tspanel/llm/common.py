@@ -35,6 +35,21 @@ def held_out(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def drawn(rows: DataFrame, keys: list[str], share) -> DataFrame:
+    """A sample of the distinct (text, keys) of ``rows``, each with its ``copies`` and the ``chance`` it was drawn with.
+
+    A text is drawn by its hash with the chance ``share`` (a column over ``keys``) times its copies, so ``share``
+    of the rows bounds the texts expected, and no text comes more than once.
+    """
+    spread = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    named = rows.withColumn("h1", F.xxhash64("text")).withColumn("h2", F.xxhash64(F.lit(1), F.col("text"))).withColumn("spread", spread)
+    names = ["h1", "h2", *keys]
+    sizes = named.groupBy(*names, "spread").agg(F.count("*").alias("copies")).withColumn("chance", F.least(F.lit(1.0), F.col("copies") * share))
+    chosen = sizes.where(F.col("spread") < F.col("chance")).drop("spread")
+    found = named.drop("spread").join(F.broadcast(chosen), names)
+    return found.groupBy(*names, "copies", "chance").agg(F.first("text").alias("text")).drop("h1", "h2")
+
+
 class Scratch:
     """A folder of this run under the shared checkpoint folder.
 

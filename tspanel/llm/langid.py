@@ -28,6 +28,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tspanel.llm.common import drawn
+
 UNKNOWN = "und"
 EDGE = 1
 
@@ -84,14 +86,16 @@ def fit_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang",
     if not sizes:
         return {}
     share = F.create_map(*[F.lit(x) for k, n in sorted(sizes.items()) for x in (k, min(1.0, cfg.max_docs / n))])
-    spread = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.where(spread < share[F.col("lang")])
+    # a text counts as often as copies of it would be among that share of the rows, at least once
+    of_lang = share[F.col("lang")]
+    sample = drawn(rows, ["lang"], of_lang).select("text", "lang", F.greatest(F.lit(1), F.round(F.col("copies") * of_lang)).cast("long").alias("times"))
 
     def count(batches):
         for batch in batches:
             sums: dict[str, list] = {}
-            for text_, lang_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums.setdefault(lang_, []).append(text_grams(text_))
+            for text_, lang_, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                keys, n = text_grams(text_)
+                sums.setdefault(lang_, []).append((keys, n * times))
             for lang_, parts in sums.items():
                 keys, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
                 n = np.bincount(where, weights=np.concatenate([p[1] for p in parts]), minlength=len(keys)).astype(np.int64)

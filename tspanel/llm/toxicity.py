@@ -10,8 +10,9 @@ mentions of a group from being called toxic.
 Features are distinct words (runs of letters, lower-cased): the identity terms,
 and the ``features`` words whose presence says most about the label, by the
 log-likelihood ratio of the counts over all labelled rows (at least ``min_gain``). The weights are fitted on a
-bounded sample of the labelled rows (``max_rows``, by a hash of the text, the
-toxic and the others alike); the scores read every word of every text.
+bounded sample of the distinct labelled texts (``max_rows`` are expected, by a hash of the text, the
+toxic and the others alike; a text of many copies is the likelier drawn, and weighs as
+many rows as it stands for); the scores read every word of every text.
 
 Defined results: null and empty texts score as a text without a known word;
 rows with a null label or text teach nothing; without a toxic and a clean row
@@ -30,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tspanel.llm.common import drawn
+
 #: Terms that name a group of people; each is swapped for the next one of its line.
 IDENTITY_GROUPS: tuple[tuple[str, ...], ...] = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("female", "male"), ("she", "he"), ("her", "his"),
@@ -94,7 +97,6 @@ def fit(labelled: DataFrame, cfg: ToxicConfig | None = None) -> ToxicModel:
     """Learn from (text, toxic) rows; what reaches the driver is bounded by ``max_rows`` and ``features``."""
     cfg = cfg or ToxicConfig()
     rows = labelled.where("text IS NOT NULL AND toxic IS NOT NULL").select("text", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic"))
-    spread = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     total = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("k")).first()
     n, k = total["n"], total["k"]
     if not n or not k or k == n:
@@ -118,13 +120,14 @@ def fit(labelled: DataFrame, cfg: ToxicConfig | None = None) -> ToxicModel:
     def present(batches):
         for batch in batches:
             words = [sorted(known & set(WORDS.findall(t.as_py().lower()))) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array([[vocab[w] for w in x] for x in words], pa.list_(pa.int32())), batch.column(1), batch.column(2)], names=["at", "toxic", "share"])
+            yield pa.RecordBatch.from_arrays([pa.array([[vocab[w] for w in x] for x in words], pa.list_(pa.int32())), batch.column(1), batch.column(2)], names=["at", "toxic", "stands"])
 
-    sample = rows.withColumn("share", share.cast("double")).where(spread < F.col("share")).select("text", "toxic", "share").mapInArrow(present, "at array<int>, toxic int, share double")
-    got = sorted((tuple(r["at"]), r["toxic"], r["share"]) for r in sample.collect())
+    sample = drawn(rows, ["toxic"], share.cast("double")).select("text", "toxic", (F.col("copies") / F.col("chance")).alias("stands")) \
+        .mapInArrow(present, "at array<int>, toxic int, stands double")
+    got = sorted((tuple(r["at"]), r["toxic"], r["stands"]) for r in sample.collect())
     names = sorted(vocab)
     other = [sorted(vocab[w] for w in swapped({names[i] for i in at}, cfg.groups)) for at, _, _ in got]
-    return _descend([g[0] for g in got], other, np.array([g[1] for g in got], float), np.array([1 / g[2] for g in got]), names, cfg)
+    return _descend([g[0] for g in got], other, np.array([g[1] for g in got], float), np.array([g[2] for g in got]), names, cfg)
 
 
 def _descend(at: list, other: list, y: np.ndarray, weight: np.ndarray, names: list[str], cfg: ToxicConfig) -> ToxicModel:
