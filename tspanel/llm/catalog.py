@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tspanel.llm import ann, bpe, fingerprint, jaccard, langid, licenses, mixing, suffix_dedup, token_counts, toxicity
+from tspanel.llm import ann, bpe, conversations, fingerprint, flatgraph, fptree, jaccard, langid, licenses, mixing, suffix_dedup, token_counts, toxicity
 from tspanel.llm.common import held_out, read_table
 from tspanel.llm.oracles import ORACLE_SQL
 
@@ -69,4 +69,17 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_tree(files, keep=("doc_id",)).select("doc_id", "path", "own_license", F.round("own_score", 9).alias("own_score"), "license", "inherited_from")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_bpe, op3_token_counts, op4_suffix_dedup, op5_nn_descent, op6_threshold_sketch, op7_toxicity, op8_jaccard_rtree, op9_mixing, op10_license_scan)}
+def op11_fptree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fptree.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(read_table(spark, sf_dir, "conversations")))
+
+
+def op13_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatgraph.near_links(read_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_bpe, op3_token_counts, op4_suffix_dedup, op5_nn_descent, op6_threshold_sketch, op7_toxicity, op8_jaccard_rtree, op9_mixing, op10_license_scan,
+                                  op11_fptree_search, op12_conversation_repair, op13_flat_graph)}
