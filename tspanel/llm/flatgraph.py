@@ -7,16 +7,18 @@ vectors are one node with a number of copies. Then:
   centres until a shard holds at most ``SHARD`` nodes; a node goes to its
   nearest centre and to all that are at most ``OVERLAP`` degrees farther (twice
   the threshold's angle, 23 degrees at 0.98, would lose no pair at all; the audit
-  widens it up to there if it has to). A group too dense to be divided is dealt in
-  pairs of blocks, so that each pair of its nodes meets in a shard.
+  widens it up to there if it has to). It asks in the shard of its nearest centre
+  and is asked for in all. A group too dense to be divided is dealt in
+  pairs of blocks, so that each pair of its nodes meets in a shard; there all ask.
 * **Graph.** In a shard every node gets at most ``DEGREE`` neighbours by robust
   pruning (a candidate goes if it is clearly closer to a neighbour chosen before
   than to the node), some of them from far candidates, and the edges back. The
   adjacency lists that a node got in its shards are united.
-* **Search.** In a shard, each node is searched greedily from the medoids of the
-  shard's cells over the united lists; what lies within reach is expanded as
-  long as something new within reach is found.
-* **Verification** of all pairs found in double precision; a pair that meets in
+* **Search.** In a shard, each node that asks is searched greedily from the medoids
+  of the shard's cells over the united lists until it is met itself (or the pool
+  is used up); from there on what lies within reach is expanded as long as
+  something new within reach is found.
+* **Verification** of all pairs found in double precision; a pair that is looked for in
   several shards counts in the least of them.
 * **Audit.** For a sample of nodes the links are counted by brute force over all
   vectors. Below ``RECALL`` the shards overlap more and the pool is widened, and
@@ -46,7 +48,7 @@ from tspanel.llm.common import Scratch
 from tspanel.llm.components import connected_components
 
 SHARD = 4096
-OVERLAP = 6.0
+OVERLAP = 4.0
 DEGREE, FAR_DEGREE, BACK_DEGREE = 24, 8, 16
 NEAR_POOL, FAR_POOL = 96, 48
 POOL, MEDOIDS = 48, 16
@@ -127,12 +129,13 @@ def medoids(v: np.ndarray) -> np.ndarray:
     return np.array(sorted(out))
 
 
-def range_search(v: np.ndarray, graph: np.ndarray, entries: np.ndarray, reach: float, pool: int = POOL) -> tuple[np.ndarray, np.ndarray]:
-    """(query, found) of all members whose cosine reaches ``reach``, as far as the search sees them: each member is a query."""
+def range_search(v: np.ndarray, graph: np.ndarray, entries: np.ndarray, reach: float, pool: int = POOL, asks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(query, found) of the members whose cosine reaches ``reach``, as far as the search sees them; queries are the members that ask (all)."""
     v = v.astype(np.float32)
-    qs, fs = [], []
-    for at in range(0, len(v), QUERIES):
-        own = np.arange(at, min(len(v), at + QUERIES))
+    asks = np.arange(len(v)) if asks is None else np.flatnonzero(asks)
+    qs, fs = [asks[:0]], [asks[:0]]
+    for at in range(0, len(asks), QUERIES):
+        own = asks[at:at + QUERIES]
         q, f = _search(v, graph, own, entries, reach, pool)
         qs.append(q)
         fs.append(f)
@@ -157,8 +160,8 @@ def _search(v, graph, own, entries, reach, pool):
         found_n.append(node[hit])
 
     note(np.repeat(rows, k), ids[:, :k].ravel(), sim[:, :k].ravel())
-    active = rows
-    while len(active):                                    # greedy: the nearest that is not yet opened
+    active = rows[~seen[rows, own]]
+    while len(active):                                    # greedy: the nearest that is not yet opened, until the query itself is met
         best = np.where(opened[active], -np.inf, sim[active]).argmax(axis=1)
         opened[active, best] = True
         near = graph[ids[active, best]].astype(np.int64)
@@ -174,7 +177,7 @@ def _search(v, graph, own, entries, reach, pool):
         top = np.argpartition(-all_sim, pool - 1, axis=1)[:, :pool]
         ids[active], sim[active] = np.take_along_axis(all_ids, top, axis=1), np.take_along_axis(all_sim, top, axis=1)
         opened[active] = np.take_along_axis(all_open, top, axis=1)
-        active = active[~opened[active].all(axis=1)]
+        active = active[~(opened[active].all(axis=1) | seen[active, own[active]])]
     q, f = np.concatenate(found_q), np.concatenate(found_n)
     edge_q, edge_n = q, f                                 # within reach: expand until nothing new is within reach
     while len(edge_q):
@@ -255,8 +258,8 @@ def _dealt(placed: DataFrame, shard: int) -> DataFrame:
     """Shards that no centre divides, as pairs of blocks: ``blocks`` is a shard's number of them."""
     block = F.pmod(F.xxhash64(F.lit(3), F.col("node")), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    pairs = placed.select("node", "shard", block.alias("own"), other)
-    return pairs.select("node", F.xxhash64("shard", F.least("own", "other"), F.greatest("own", "other")).alias("shard"))
+    pairs = placed.select("node", "shard", "asks", block.alias("own"), other)
+    return pairs.select("node", F.xxhash64("shard", F.least("own", "other"), F.greatest("own", "other")).alias("shard"), "asks")
 
 
 def _to_centres(overlap: float):
@@ -264,23 +267,27 @@ def _to_centres(overlap: float):
         for batch in batches:
             node, shard = batch.column("node").to_pylist(), np.array(batch.column("shard").to_pylist(), np.int64)
             sizes = np.asarray(pa.compute.list_value_length(batch.column("embedding")))
-            nodes, shards, child = [], [], []
+            asks = batch.column("asks").to_numpy(zero_copy_only=False)
+            nodes, shards, child, home = [], [], [], []
             for s, d in set(zip(shard.tolist(), sizes.tolist(), strict=True)):
                 at = np.flatnonzero((shard == s) & (sizes == d))
                 rows = batch.take(pa.array(at))
                 centres = units(rows.column("centres").slice(0, 1).flatten())
                 angle = np.degrees(np.arccos(np.clip(units(rows.column("embedding")) @ centres.T, -1, 1)))
+                nearest = angle.argmin(axis=1)
                 r, c = np.nonzero(angle <= angle.min(axis=1, keepdims=True) + overlap)
+                home += (asks[at[r]] & (c == nearest[r])).tolist()
                 nodes += [node[i] for i in at[r].tolist()]
                 shards += [s] * len(r)
                 child += c.tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(shards, pa.int64()), pa.array(child, pa.int64())], ["node", "parent", "child"])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(shards, pa.int64()), pa.array(child, pa.int64()), pa.array(home, pa.bool_())],
+                                             ["node", "parent", "child", "asks"])
     return work
 
 
 def _shards(nodes: DataFrame, scratch: Scratch, overlap: float, shard: int) -> DataFrame:
-    """(node, shard): each node in one shard or more; none holds many more than ``shard`` nodes."""
-    placed = nodes.select("node", F.col("group").alias("shard"))
+    """(node, shard, asks): each node in one shard or more; none holds many more than ``shard`` nodes."""
+    placed = nodes.select("node", F.col("group").alias("shard"), F.lit(True).alias("asks"))
     done = []
     while True:
         sizes = placed.groupBy("shard").agg(F.count("*").alias("size"))
@@ -294,13 +301,14 @@ def _shards(nodes: DataFrame, scratch: Scratch, overlap: float, shard: int) -> D
         order = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(5), F.col("shard"), F.col("node")))
         drawn = at.withColumn("nth", F.row_number().over(order)).where("nth <= 64").where(F.col("nth") <= wanted)
         centres = drawn.groupBy("shard").agg(F.collect_list("embedding").alias("centres"))
-        moved = at.join(centres, "shard").select("node", "shard", "embedding", "centres").mapInArrow(_to_centres(overlap), "node long, parent long, child long")
+        moved = at.join(centres, "shard").select("node", "shard", "asks", "embedding", "centres") \
+            .mapInArrow(_to_centres(overlap), "node long, parent long, child long, asks boolean")
         moved = scratch.keep(moved.withColumn("shard", F.xxhash64("parent", "child")), "placed")
         grown = moved.groupBy("shard", "parent").agg(F.count("*").alias("now")).join(big.select(F.col("shard").alias("parent"), "size"), "parent")
         stuck = grown.where((F.col("now") > shard) & (F.col("now") * 2 > F.col("size"))).select("shard", F.ceil(F.col("now") * 2 / shard).cast("long").alias("blocks"))
         stuck = scratch.keep(stuck, "stuck")
         done.append(_dealt(moved.join(stuck, "shard"), shard))
-        placed = moved.select("node", "shard").join(stuck, "shard", "left_anti")
+        placed = moved.select("node", "shard", "asks").join(stuck, "shard", "left_anti")
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more.select(out.columns))
@@ -331,20 +339,23 @@ def _links(threshold: float, pool: int):
         col = np.arange(len(where)) - np.searchsorted(where, where)
         graph = np.full((len(node), int(col.max(initial=0)) + 1), -1, np.int32)
         graph[where, col] = place
-        a, b = range_search(v, graph, medoids(v), threshold - SLACK, pool)
+        asks = table.column("asks").to_numpy()
+        a, b = range_search(v, graph, medoids(v), threshold - SLACK, pool, asks)
         a, b = verified(v, a, b, threshold)
         member = least_members(len(node), a, b)
         shards = table.column("shards").combine_chunks()
-        row, lower = np.repeat(np.arange(len(node)), np.diff(shards.offsets.to_numpy())), shards.flatten().to_numpy()
-        row, lower = row[lower < own], lower[lower < own]
+        row, lower = np.repeat(np.arange(len(node)), np.diff(shards.offsets.to_numpy())), shards.flatten()
+        lower, asking = lower.field("shard").to_numpy(), lower.field("asks").to_numpy(zero_copy_only=False)
+        row, lower, asking = row[lower < own], lower[lower < own], asking[lower < own]
         counted = np.ones(len(a), bool)
-        if len(lower):                                    # pairs that also meet in a lesser shard count there
+        if len(lower):                                    # pairs that are also looked for in a lesser shard count there
             bit = np.unique(lower, return_inverse=True)[1]
-            also = np.zeros((len(node), (int(bit.max()) >> 3) + 1), np.uint8)
-            np.bitwise_or.at(also, (row, bit >> 3), (1 << (bit & 7)).astype(np.uint8))
+            member_of, asks_in = np.zeros((2, len(node), (int(bit.max()) >> 3) + 1), np.uint8)
+            np.bitwise_or.at(member_of, (row, bit >> 3), (1 << (bit & 7)).astype(np.uint8))
+            np.bitwise_or.at(asks_in, (row[asking], bit[asking] >> 3), (1 << (bit[asking] & 7)).astype(np.uint8))
             for at in range(0, len(a), 1 << 17):
                 s = slice(at, at + (1 << 17))
-                counted[s] = ~(also[a[s]] & also[b[s]]).any(axis=1)
+                counted[s] = ~(member_of[a[s]] & member_of[b[s]] & (asks_in[a[s]] | asks_in[b[s]])).any(axis=1)
         a, b = a[counted], b[counted]
         links = np.bincount(a, copies[b], len(node)) + np.bincount(b, copies[a], len(node))
         several = np.diff(shards.offsets.to_numpy()) > 1
@@ -395,9 +406,10 @@ def near_links(rows: DataFrame, threshold: float = 0.98, shard: int = SHARD, ove
     hashed, nodes = _nodes(rows, scratch)
     pool, lossless = POOL, 2 * math.degrees(math.acos(threshold))
     while True:
-        where = _shards(nodes, scratch, overlap, shard).distinct()
-        lists = where.groupBy("node").agg(F.collect_set("shard").alias("shards"))
-        placed = scratch.keep(nodes.select("node", "embedding", "copies").join(lists, "node").withColumn("shard", F.explode("shards")), "placed")
+        where = _shards(nodes, scratch, overlap, shard).groupBy("node", "shard").agg(F.max("asks").alias("asks"))
+        lists = where.groupBy("node").agg(F.collect_list(F.struct("shard", "asks")).alias("shards"))
+        spread = nodes.select("node", "embedding", "copies").join(lists, "node").withColumn("at", F.explode("shards"))
+        placed = scratch.keep(spread.select("node", "embedding", "copies", "shards", F.col("at.shard").alias("shard"), F.col("at.asks").alias("asks")), "placed")
         graphs = placed.select("node", "shard", "embedding").groupBy("shard").applyInArrow(_build, "node long, near array<long>")
         united = graphs.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
         found = placed.join(united, "node").groupBy("shard").applyInArrow(_links(threshold, pool), "node long, links long, least long, open boolean")
