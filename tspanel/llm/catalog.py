@@ -48,7 +48,7 @@ def op6_threshold_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out(F.col("doc_id")))
-    model = toxicity.fit(docs.join(labels, "doc_id"))
+    model = toxicity.fit(toxicity.with_labels(docs, labels))
     return toxicity.score_documents(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 

@@ -22,6 +22,9 @@ from tspanel.session import ensure_checkpoint_dir
 #: Texts handed to numpy at a time; a longer single text is a slice of its own.
 SLICE_BYTES = 1 << 20
 
+#: Rows of a few numbers that may be broadcast.
+SMALL = 1_000_000
+
 #: A word: a run of bytes other than blank and the controls 9 to 13.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -35,19 +38,23 @@ def held_out(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def drawn(rows: DataFrame, keys: list[str], share) -> DataFrame:
-    """A sample of the distinct (text, keys) of ``rows``, each with its ``copies`` and the ``chance`` it was drawn with.
+def with_hashes(rows: DataFrame) -> DataFrame:
+    """``rows`` with h1, h2 (a text's name) and spread (its place in 0..1)."""
+    spread = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return rows.withColumn("h1", F.xxhash64("text")).withColumn("h2", F.xxhash64(F.lit(1), F.col("text"))).withColumn("spread", spread)
+
+
+def drawn(named: DataFrame, keys: list[str], share, bound: int, value: str = "text") -> DataFrame:
+    """A sample of the distinct (text, keys) of ``named`` (rows with hashes), each with its ``copies``, the ``chance`` it was drawn with and ``value``.
 
     A text is drawn by its hash with the chance ``share`` (a column over ``keys``) times its copies, so ``share``
-    of the rows bounds the texts expected, and no text comes more than once.
+    of the rows bounds the texts expected (``bound``: up to ``SMALL`` of them their hashes are broadcast), and no text comes more than once.
     """
-    spread = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    named = rows.withColumn("h1", F.xxhash64("text")).withColumn("h2", F.xxhash64(F.lit(1), F.col("text"))).withColumn("spread", spread)
     names = ["h1", "h2", *keys]
     sizes = named.groupBy(*names, "spread").agg(F.count("*").alias("copies")).withColumn("chance", F.least(F.lit(1.0), F.col("copies") * share))
     chosen = sizes.where(F.col("spread") < F.col("chance")).drop("spread")
-    found = named.drop("spread").join(F.broadcast(chosen), names)
-    return found.groupBy(*names, "copies", "chance").agg(F.first("text").alias("text")).drop("h1", "h2")
+    found = named.drop("spread").join(F.broadcast(chosen) if bound <= SMALL else chosen, names)
+    return found.groupBy(*names, "copies", "chance").agg(F.first(value).alias(value)).drop("h1", "h2")
 
 
 class Scratch:
@@ -81,6 +88,11 @@ class Scratch:
         jvm.System.gc()        # lets Spark's cleaner remove the shuffle files of plans that are done
 
 
+def numbered(docs: DataFrame, scratch: Scratch, **columns) -> DataFrame:
+    """The given columns of ``docs`` with ``row``, written once: a number made anew in each job would follow how the scan happens to be split."""
+    return scratch.keep(docs.select(*[c.alias(n) for n, c in columns.items()], F.monotonically_increasing_id().alias("row")), "rows")
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Rows of ``batch`` a slice at a time: (rows, UTF-8 bytes, offsets); a null text has no bytes."""
     texts = pc.fill_null(batch.column(column).cast(pa.large_string()), "")

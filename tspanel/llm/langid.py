@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tspanel.llm.common import drawn
+from tspanel.llm.common import drawn, with_hashes
 
 UNKNOWN = "und"
 EDGE = 1
@@ -88,7 +88,7 @@ def fit_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang",
     share = F.create_map(*[F.lit(x) for k, n in sorted(sizes.items()) for x in (k, min(1.0, cfg.max_docs / n))])
     # a text counts as often as copies of it would be among that share of the rows, at least once
     of_lang = share[F.col("lang")]
-    sample = drawn(rows, ["lang"], of_lang).select("text", "lang", F.greatest(F.lit(1), F.round(F.col("copies") * of_lang)).cast("long").alias("times"))
+    sample = drawn(with_hashes(rows), ["lang"], of_lang, cfg.max_docs * len(sizes)).select("text", "lang", F.greatest(F.lit(1), F.round(F.col("copies") * of_lang)).cast("long").alias("times"))
 
     def count(batches):
         for batch in batches:

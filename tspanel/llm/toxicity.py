@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tspanel.llm.common import drawn
+from tspanel.llm.common import SMALL, Scratch, drawn, with_hashes
 
 #: Terms that name a group of people; each is swapped for the next one of its line.
 IDENTITY_GROUPS: tuple[tuple[str, ...], ...] = (
@@ -75,28 +75,36 @@ def swapped(words: set[str], groups: tuple[tuple[str, ...], ...]) -> set[str]:
     return {turn.get(w, w) for w in words}
 
 
+def _words(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """(toxic, h1, h2, spread, words) of every row: the distinct words instead of the text, written once for all that ``fit`` reads."""
+
+    def cut(batches):
+        for batch in batches:
+            words = [sorted(set(WORDS.findall(t.as_py().lower()))) for t in batch.column(4)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(words, pa.list_(pa.string()))], names=["toxic", "h1", "h2", "spread", "words"])
+
+    named = with_hashes(rows).select("toxic", "h1", "h2", "spread", "text")
+    return scratch.keep(named.mapInArrow(cut, "toxic int, h1 long, h2 long, spread double, words array<string>"), "words")
+
+
 def _word_counts(rows: DataFrame) -> DataFrame:
     """(word, docs, toxic): in how many labelled texts a word occurs, and in how many toxic ones."""
+    return rows.select(F.explode("words").alias("word"), "toxic").groupBy("word").agg(F.count("*").alias("docs"), F.sum("toxic").alias("toxic"))
 
-    def count(batches):
-        for batch in batches:
-            seen: dict[str, list[int]] = {}
-            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                for w in set(WORDS.findall(text.as_py().lower())):
-                    got = seen.setdefault(w, [0, 0])
-                    got[0] += 1
-                    got[1] += toxic
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([v[0] for v in seen.values()], pa.int64()),
-                                              pa.array([v[1] for v in seen.values()], pa.int64())], names=["word", "docs", "toxic"])
 
-    return rows.select("text", "toxic").mapInArrow(count, "word string, docs long, toxic long").groupBy("word") \
-        .agg(F.sum("docs").alias("docs"), F.sum("toxic").alias("toxic"))
+def with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, toxic) of the labelled rows of ``docs``; labels travel to the texts as long as they are few numbers, not texts to the labels."""
+    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").select("doc_id", "toxic")
+    few = known.limit(SMALL + 1).count() <= SMALL
+    return docs.join(F.broadcast(known) if few else known, "doc_id").select("text", "toxic")
 
 
 def fit(labelled: DataFrame, cfg: ToxicConfig | None = None) -> ToxicModel:
     """Learn from (text, toxic) rows; what reaches the driver is bounded by ``max_rows`` and ``features``."""
     cfg = cfg or ToxicConfig()
-    rows = labelled.where("text IS NOT NULL AND toxic IS NOT NULL").select("text", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic"))
+    scratch = Scratch(labelled.sparkSession, "toxicity")
+    known_rows = labelled.where("text IS NOT NULL AND toxic IS NOT NULL")
+    rows = _words(known_rows.select("text", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic")), scratch)
     total = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("k")).first()
     n, k = total["n"], total["k"]
     if not n or not k or k == n:
@@ -119,12 +127,13 @@ def fit(labelled: DataFrame, cfg: ToxicConfig | None = None) -> ToxicModel:
 
     def present(batches):
         for batch in batches:
-            words = [sorted(known & set(WORDS.findall(t.as_py().lower()))) for t in batch.column(0)]
+            words = [sorted(known & set(x)) for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([[vocab[w] for w in x] for x in words], pa.list_(pa.int32())), batch.column(1), batch.column(2)], names=["at", "toxic", "stands"])
 
-    sample = drawn(rows, ["toxic"], share.cast("double")).select("text", "toxic", (F.col("copies") / F.col("chance")).alias("stands")) \
+    sample = drawn(rows, ["toxic"], share.cast("double"), cfg.max_rows, "words").select("words", "toxic", (F.col("copies") / F.col("chance")).alias("stands")) \
         .mapInArrow(present, "at array<int>, toxic int, stands double")
     got = sorted((tuple(r["at"]), r["toxic"], r["stands"]) for r in sample.collect())
+    scratch.drop(rows)
     names = sorted(vocab)
     other = [sorted(vocab[w] for w in swapped({names[i] for i in at}, cfg.groups)) for at, _, _ in got]
     return _descend([g[0] for g in got], other, np.array([g[1] for g in got], float), np.array([g[2] for g in got]), names, cfg)
