@@ -41,13 +41,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tspanel.llm.common import Scratch, shingle_sets, slices
+from tspanel.llm.common import Scratch, numbered, shingle_sets, slices
 from tspanel.llm.components import connected_components
 
 #: Counters of the table of frequencies, and counters of a row of it in transit.
 COUNTERS, PAGE = 1 << 20, 1 << 12
 #: Coordinates of a point, and points that one tree holds.
 GROUPS, UNIT, FANOUT = 256, 4096, 16
+#: Tokens of a class by which pairs already listed under an earlier token are known.
+LEAD = 32
 #: The largest coordinate that is told apart.
 TOP = 255
 #: Bits of the filter that tells which sets the second pass has to hand on.
@@ -203,8 +205,9 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
 
 
 def _shared_first(classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """(token, cid, n) of first shingles that classes of sizes near enough have in common; of shingles that
-    exactly the same classes have, one."""
+    """(token, cid, n, pos, before) of first shingles that classes of sizes near enough have in common; of shingles
+    that exactly the same classes have, one, with the least place of them all. ``before``: the class's tokens at
+    lesser places, of its ``LEAD`` first ones."""
 
     def keep(batches):
         # by size, a class has a partner if the one before or after it is near enough; the last row waits for the next batch
@@ -224,11 +227,14 @@ def _shared_first(classes: DataFrame, scratch: Scratch) -> DataFrame:
         if met:
             yield last
 
-    rows = classes.select(F.explode("first").alias("token"), "cid", "n")
-    shared = scratch.keep(rows.repartition("token").sortWithinPartitions("token", "n").mapInArrow(keep, "token long, cid long, n long"), "shared")
+    rows = classes.select(F.posexplode("first").alias("pos", "token"), "cid", "n").select("token", "cid", "n", "pos")
+    shared = scratch.keep(rows.repartition("token").sortWithinPartitions("token", "n").mapInArrow(keep, "token long, cid long, n long, pos int"), "shared")
     alike = shared.groupBy("token").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("cid")).alias("x"), F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("y"))
-    one = scratch.keep(alike.groupBy("m", "x", "y").agg(F.min("token").alias("token")).select("token"), "tokens")
-    out = scratch.keep(shared.join(one, "token"), "groups")
+    named = shared.join(alike, "token").groupBy("m", "x", "y", "cid", "n").agg(F.min("token").alias("token"), F.min("pos").alias("pos"))
+    one = scratch.keep(named.select("token", "cid", "n", "pos"), "one")
+    lead = one.groupBy("cid").agg(F.slice(F.array_sort(F.collect_list(F.struct("pos", "token"))), 1, LEAD).alias("lead"))
+    before = F.transform(F.filter("lead", lambda e: e["pos"] < F.col("pos")), lambda e: e["token"])
+    out = scratch.keep(one.join(lead, "cid").select("token", "cid", "n", "pos", before.alias("before")), "groups")
     scratch.drop(shared, one)
     return out
 
@@ -268,8 +274,8 @@ def _units(cands: DataFrame, labels: DataFrame, points: DataFrame) -> DataFrame:
     rows = rows.join(open_.select("token", F.ceil(F.col("m") / UNIT).alias("b")), "token")
     mine = F.pmod(F.xxhash64("cid"), F.col("b"))
     rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("b") - 1)))
-    rows = rows.select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "cid", "n", "comp")
-    rows = rows.join(points, "cid").select("token", "i", "j", "comp", "cid", "n", "point")
+    rows = rows.select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "cid", "n", "comp", "pos", "before")
+    rows = rows.join(points, "cid").select("token", "i", "j", "comp", "cid", "n", "point", "pos", "before")
     return rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "comp", "cid")
 
 
@@ -279,6 +285,7 @@ def _pairs(units: DataFrame, mode: str) -> DataFrame:
     def work(batches):
         for table in _groups(batches, 3):
             token, i, j, comp, cid, n = (table.column(c).to_numpy() for c in range(6))
+            pos = table.column(7).to_numpy()
             points = np.frombuffer(b"".join(table.column(6).to_pylist()), np.uint8).reshape(-1, GROUPS)
             new = np.concatenate([[True], (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
             heads = np.flatnonzero(new)
@@ -291,6 +298,12 @@ def _pairs(units: DataFrame, mode: str) -> DataFrame:
             else:
                 found = [_unit_pairs(a, b, comp, n, points, mode) for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(new)], strict=True)]
             x, y, bound = (np.concatenate([f[k] for f in found]) for k in range(3))
+            if mode == "all":
+                # what stands behind the first common shingle bounds the overlap; pairs met at an earlier one are listed there
+                ok = np.minimum(n[x] - pos[x], n[y] - pos[y]) >= needed(n[x], n[y])
+                x, y, bound = x[ok], y[ok], bound[ok]
+                ok = ~_met_before(table.column(8).combine_chunks(), x, y)
+                x, y, bound = x[ok], y[ok], bound[ok]
             least = bound / np.maximum(1, n[x] + n[y] - bound)
             a, b = (cid[x], cid[y]) if mode != "all" else (np.minimum(cid[x], cid[y]), np.maximum(cid[x], cid[y]))
             out = np.unique(np.rec.fromarrays([a, b, least], names="x,y,bound"))
@@ -302,6 +315,20 @@ def _pairs(units: DataFrame, mode: str) -> DataFrame:
     return pairs.groupBy("x").agg(F.max_by("y", F.struct("bound", "y")).alias("y"))
 
 
+def _met_before(before: pa.ListArray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether the rows x and y have an earlier token in common."""
+    offsets, tokens = before.offsets.to_numpy(), before.flatten().to_numpy()
+    table, size = np.zeros((len(before), LEAD), np.int64), np.diff(offsets)
+    row = np.repeat(np.arange(len(before)), size)
+    table[row, np.arange(len(tokens)) - np.repeat(offsets[:-1] - offsets[0], size)] = tokens
+    met = np.zeros(len(x), bool)
+    for at in range(0, len(x), 2048):
+        a, b = x[at:at + 2048], y[at:at + 2048]
+        real = (np.arange(LEAD) < size[a][:, None])[:, :, None] & (np.arange(LEAD) < size[b][:, None])[:, None, :]
+        met[at:at + 2048] = ((table[a][:, :, None] == table[b][:, None, :]) & real).any(axis=(1, 2))
+    return met
+
+
 def _unit_pairs(a: int, b: int, comp, n, points, mode):
     """Pairs within the rows a..b (one unit, sorted by component)."""
     rows = np.arange(a, b)
@@ -347,7 +374,7 @@ def link_sets(docs: DataFrame, scratch: Scratch, k: int) -> tuple[DataFrame, Dat
     classes = scratch.keep(full.drop("first"), "names")
     scratch.drop(full)
     points = classes.select("cid", "point")
-    links = sets = None
+    links, sets, held = None, None, [cands]
     labels = spark.createDataFrame([], "node long, component long")
     for mode in ("star", "nearest", "all"):
         pairs = scratch.keep(_pairs(_units(cands, labels, points), mode), "pairs")
@@ -356,41 +383,50 @@ def link_sets(docs: DataFrame, scratch: Scratch, k: int) -> tuple[DataFrame, Dat
         if wanted.limit(1).count():
             more = scratch.keep(_sets(docs, classes, wanted, k), "sets")
             sets = more if sets is None else sets.unionByName(more)
+            held.append(more)
         if sets is None:
             scratch.drop(pairs, wanted)
             continue
         found = scratch.keep(_verify(pairs, sets), mode)
+        held.append(found)
         links = found if links is None else links.unionByName(found)
         after = scratch.keep(connected_components(links, scratch), "labels")
         scratch.drop(pairs, wanted, *([labels] if hasattr(labels, "_scratch_path") else []))
         labels = after
-    return classes.drop("point"), labels
-
+    scratch.drop(*held)
+    return classes, labels
 
-def with_rows(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
 
-
-def components(docs: DataFrame, k: int = 5) -> DataFrame:
-    """(row, doc_id, n_shingles, component_id, first_row) of every row, ``row`` as ``with_rows`` numbers them
-    and ``first_row`` that of the row that stands for the component."""
-    scratch = Scratch(docs.sparkSession, "jaccard")
-    rows = with_rows(docs)
+def _components(rows: DataFrame, scratch: Scratch, k: int) -> DataFrame:
+    """``components`` of rows that have been numbered and written."""
     classes, labels = link_sets(rows, scratch, k)
     known = classes.select("cid", "name").join(labels.withColumnRenamed("node", "cid"), "cid", "left") \
         .select("name", F.coalesce("component", "cid").alias("comp"))
-    named = scratch.keep(_named(rows, k), "rows")
+    named = scratch.keep(_named(rows, k), "named")
     lead = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     by_class = named.where("name IS NOT NULL").groupBy("name").agg(lead.alias("lead")).join(known, "name")
     by_comp = by_class.groupBy("comp").agg(F.min("lead").alias("lead"))
-    leads = by_class.select("name", "comp").join(by_comp, "comp").select("name", "lead")
+    leads = scratch.keep(by_class.select("name", "comp").join(by_comp, "comp").select("name", "lead"), "leads")
+    scratch.drop(classes, *([labels] if hasattr(labels, "_scratch_path") else []))
     out = named.join(leads, "name", "left")
     single = F.col("name").isNull()
     return out.select("row", "doc_id", F.col("n").alias("n_shingles"), F.when(single, F.col("doc_id")).otherwise(F.col("lead.doc_id")).alias("component_id"),
                       F.when(single, F.col("row")).otherwise(F.col("lead.row")).alias("first_row"))
 
 
+def components(docs: DataFrame, k: int = 5) -> DataFrame:
+    """(row, doc_id, n_shingles, component_id, first_row) of every row: ``row`` numbers the rows, ``first_row`` is
+    the row that stands for the component."""
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    rows = numbered(docs, scratch, doc_id=F.col("doc_id"), text=F.col("text"))
+    out = _components(rows.select("doc_id", "row", "text"), scratch, k)
+    scratch.drop(rows)
+    return out
+
+
 def keep_representatives(docs: DataFrame, k: int = 5) -> DataFrame:
     """The rows of ``docs`` that stand for their component (its smallest id); rows without a word all stay."""
-    gone = components(docs, k).where("row <> first_row").select(F.col("row").alias("__row"))
-    return docs.withColumn("__row", F.monotonically_increasing_id()).join(gone, "__row", "left_anti").drop("__row")
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    rows = numbered(docs, scratch, **{f"k_{c}": F.col(c) for c in docs.columns})
+    gone = _components(rows.select(F.col("k_doc_id").alias("doc_id"), "row", F.col("k_text").alias("text")), scratch, k).where("row <> first_row")
+    return rows.join(gone.select("row"), "row", "left_anti").select(*[F.col(f"k_{c}").alias(c) for c in docs.columns])
