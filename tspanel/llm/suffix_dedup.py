@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tspanel.llm.common import Scratch, mix64, prefix_hash, slices, span_hash
+from tspanel.llm.common import Scratch, mix64, numbered, prefix_hash, slices, span_hash
 from tspanel.llm.jaccard import _groups
 
 LENGTH, K = 400, 64
@@ -301,11 +301,11 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, k: i
 
 
 def _apply(docs: DataFrame, spans: DataFrame, keep: list[str], digests: bool) -> DataFrame:
-    """Rows of ``docs`` without the bytes of their spans."""
+    """Rows of ``docs`` (row, text and the ``keep`` columns as k_...) without the bytes of their spans."""
     merged = spans.groupBy("row").agg(F.collect_list(F.struct("begins", "ends")).alias("spans"))
-    frame = docs.join(merged, "row", "left").select(*[F.col(c).alias(f"k_{c}") for c in keep], "text", "spans")
+    frame = docs.join(merged, "row", "left").select(*[f"k_{c}" for c in keep], "text", "spans")
     at = len(keep)
-    fields = [T.StructField(c, docs.schema[c].dataType) for c in keep]
+    fields = [T.StructField(c, docs.schema[f"k_{c}"].dataType) for c in keep]
     added = [("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType())]
     added += [("kept_sha256", T.StringType())] if digests else [("text", T.StringType())]
     schema = T.StructType([*fields, *[T.StructField(c, t) for c, t in added]])
@@ -332,8 +332,9 @@ def _apply(docs: DataFrame, spans: DataFrame, keep: list[str], digests: bool) ->
 
 
 def _run(docs: DataFrame, keep: list[str], digests: bool, length: int, k: int, unit: int) -> DataFrame:
-    rows = docs.select(*keep, F.monotonically_increasing_id().alias("row"), "text")
-    spans = repeated_spans(rows.select("row", "text"), Scratch(docs.sparkSession, "suffix-dedup"), length, k, unit)
+    scratch = Scratch(docs.sparkSession, "suffix-dedup")
+    rows = numbered(docs, scratch, text=F.col("text"), **{f"k_{c}": F.col(c) for c in keep})
+    spans = repeated_spans(rows.select("row", "text"), scratch, length, k, unit)
     return _apply(rows, spans, keep, digests)
 
 
