@@ -55,4 +55,6 @@ def empty(spark, tmp_path_factory):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{out}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{out}/labels.parquet")
     spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{out}/embeddings.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{out}/benchmark.parquet")
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{out}/conversations.parquet")
     return str(out)

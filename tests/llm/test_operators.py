@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 from tests.llm import brute
 from tests.llm.conftest import messy_rows
 from tspanel.llm import ann, catalog, components, fingerprint, jaccard, langid, licenses, mixing, suffix_dedup, toxicity
-from tspanel.llm.common import Scratch, drawn
+from tspanel.llm.common import Scratch, drawn, with_hashes
 
 ROWS = messy_rows()
 
@@ -151,7 +151,7 @@ def test_samples_hold_a_copied_text_once(spark):
     """A text that is most of its class is always drawn, once, with the weight of its copies."""
     rows = [("hot text of the class", 1)] * 4000 + [(f"awful thing {i}", 1) for i in range(1000)]
     df = spark.createDataFrame(rows, "text string, toxic int")
-    got = drawn(df, ["toxic"], F.lit(0.02)).collect()
+    got = drawn(with_hashes(df), ["toxic"], F.lit(0.02), 100).collect()
     hot = [r for r in got if r["text"] == "hot text of the class"]
     assert [(r["copies"], r["chance"]) for r in hot] == [(4000, 1.0)] and len({r["text"] for r in got}) == len(got) < 60
     assert abs(sum(r["copies"] / r["chance"] for r in got) - 5000) < 1500

@@ -15,7 +15,8 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
 def test_sql_twin(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{FOLDER}/documents.parquet')")
+    for table in ("documents", "benchmark", "conversations", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
     want = con.execute(catalog.ORACLE_SQL[name])
     columns = [d[0] for d in want.description]
     got = catalog.QUERIES[name](spark, FOLDER)

@@ -36,7 +36,7 @@ def test_stages(spark):
     assert Counter(r["doc_id"] for r in new) == Counter(want)
 
     old, new = seen["suffix_dedup"]
-    want = {r["doc_id"]: w for r, w in zip(old, brute.removal([r["text"] for r in old], 400), strict=True)}
+    want = {r["doc_id"]: w for r, w in zip(old, brute.removal([r["text"] for r in old], cp.PASSAGE), strict=True)}
     assert len(new) == len(old)
     for r in new:
         if not want[r["doc_id"]][1]:
@@ -61,3 +61,17 @@ def test_stages(spark):
     for r in new:
         assert r["token_ids"] == tok.encode(texts[r["doc_id"]], add_special_tokens=False).ids
         assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def test_stages_on_messy_and_empty_tables(spark, messy, empty):
+    """Nulls in every column, empty and very long texts, ties, repeated rows, clashing columns; and no row at all."""
+    for folder in (messy, empty):
+        scratch = Scratch(spark, "pipeline-messy")
+        docs = spark.read.parquet(f"{folder}/documents.parquet")
+        for name, stage in cp.STAGES:
+            before = docs.count()
+            docs = scratch.keep(stage(spark, docs, folder), name)
+            if name != cp.STAGES[-1][0]:
+                assert docs.columns == list(cp.COLUMNS)
+            assert docs.count() <= 2 * before
+        assert (docs.count() > 0) == (folder == messy)
