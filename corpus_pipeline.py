@@ -23,6 +23,9 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A text is rejected if fewer of its n-grams than this fit any profile (or if it has no letter).
 MIN_SCORE = 0.25
 
+#: Bytes of a passage that is removed where it repeats: 50 words and more of the corpus have 270 at least.
+PASSAGE = 200
+
 #: No SQL can express ranking against learned profiles, nor the stages behind it; tests hold each stage against brute force.
 ORACLE_SQL = None
 
@@ -41,8 +44,8 @@ def jaccard_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The texts without bytes of repeated 400-byte strings; what is left of a cut character goes too."""
-    kept = suffix_dedup.remove_repeats(docs.select(*COLUMNS), carry=("lang", "source"))
+    """The texts without bytes of repeated strings of ``PASSAGE`` bytes; what is left of a cut character goes too."""
+    kept = suffix_dedup.remove_repeats(docs.select(*COLUMNS), carry=("lang", "source"), length=PASSAGE)
     return kept.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 
 
