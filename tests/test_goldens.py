@@ -55,8 +55,6 @@ def test_pvalue_helpers():
     assert SM.adf_pvalue(G.ADF[0]) == pytest.approx(G.ADF[1], rel=1e-3)
     assert SM.chi2_sf(G.LJUNG_BOX_24[0], 24) == pytest.approx(G.LJUNG_BOX_24[1], rel=1e-9)
     assert SM.t_two_sided(G.BIAS_T[0], 119) == pytest.approx(G.BIAS_T[1], rel=1e-9)
-    assert SM.kpss_pvalue(6.956163189375577) == 0.01
-    assert SM.kpss_pvalue(0.1) == 0.10
     assert SM.chi2_sf(3.0, 3) == pytest.approx(0.3916251762710877, rel=1e-9)   # odd df, incomplete gamma
 
 

@@ -143,12 +143,6 @@ KPSS_CRIT = (0.347, 0.463, 0.574, 0.739)
 KPSS_P = (0.10, 0.05, 0.025, 0.01)
 
 
-def kpss_pvalue(stat: float) -> float:
-    if stat is None or not np.isfinite(stat):
-        return float("nan")
-    return float(np.interp(stat, KPSS_CRIT, KPSS_P))
-
-
 # ---------------------------------------------------------------- vectorised column functions
 
 def _vec(fn, *cols):

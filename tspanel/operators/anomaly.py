@@ -70,10 +70,11 @@ def combine(panel: DataFrame, config: AnomalyConfig = AnomalyConfig(), isolation
     return out.withColumn("anomaly_votes", votes).withColumn("selected_anomaly", F.col("seasonal_iqr_anomaly"))
 
 
-def summary(anomalies: DataFrame, methods: dict[str, str] = FLAG_COLUMNS) -> DataFrame:
-    """A-10: per series and method, flagged count and ``round(share·100, 3)``."""
+def summary(anomalies: DataFrame, methods: dict[str, str] = FLAG_COLUMNS, digits: int | None = 3) -> DataFrame:
+    """A-10: per series and method, flagged count and share in percent (rounded to ``digits``; None: as it is)."""
     aggs = [F.count(F.lit(1)).alias("_n")] + [F.count_if(F.col(c)).alias(m) for m, c in methods.items()]
     wide = anomalies.groupBy("unique_id").agg(*aggs)
     long = wide.unpivot(["unique_id", "_n"], list(methods), "method", "anomalies")
-    share = F.round(F.try_divide(F.col("anomalies"), F.col("_n")) * F.lit(100.0) + F.lit(3.3e-9), 3)
+    share = F.try_divide(F.col("anomalies"), F.col("_n")) * F.lit(100.0)
+    share = share if digits is None else F.round(share, digits)
     return long.select("unique_id", "method", "anomalies", share.alias("share_percent"))

@@ -1,4 +1,4 @@
-"""Diagnostics and statistical tests (D-1..D-10, K-1).
+"""Diagnostics and statistical tests (D-1..D-8, K-1; D-9 and D-10 are in ``stationarity``).
 
 Every test is distributed sums over the series followed by a tiny closed form
 on one row per series. Residual tables of a backtest hold at most
@@ -8,8 +8,6 @@ bounded; windows over whole series use the halo layout.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +16,7 @@ from pyspark.sql import functions as F
 from tspanel.functions import stats_math as SM
 from tspanel.operators import windowing as hw
 from tspanel.operators.prepare import last_n, row_numbers
+from tspanel.operators.stationarity import stationarity_tests  # noqa: F401
 
 # ---------------------------------------------------------------- residual tables
 
@@ -228,97 +227,3 @@ def decompose(panel: DataFrame, period: int = 24, max_points: int | None = None)
     d = d.join(ph.select("unique_id", "_ph", "seasonal"), ["unique_id", "_ph"])
     return d.select("unique_id", "ds", "pos", "y", "trend", "seasonal",
                     (F.col("_det") - F.col("seasonal")).alias("resid"))
-
-
-def adf_maxlag(nobs: int) -> int:
-    return int(math.ceil(12.0 * (nobs / 100.0) ** 0.25))
-
-
-# ---------------------------------------------------------------- ADF / KPSS (D-9, D-10)
-
-def adf_test(x: np.ndarray) -> tuple[float, int, int]:
-    """ADF with a constant; lag by AIC over ``0..maxlag`` on the common sample,
-    refit on the longest sample for that lag. Returns (statistic, used lag, nobs)."""
-    n = len(x)
-    maxlag = min(adf_maxlag(n), n // 2 - 2)
-    if maxlag < 0:
-        raise ValueError("series too short for ADF")
-    dx = np.diff(x)
-    center = x.mean()
-
-    def design(lag: int):
-        rows = np.arange(lag, len(dx))          # dx index of the dependent value
-        cols = [x[rows] - center] + [dx[rows - j] for j in range(1, lag + 1)] + [np.ones(len(rows))]
-        return np.column_stack(cols), dx[rows]
-
-    xa, ya = design(maxlag)
-    nobs = len(ya)
-    best = None
-    for lag in range(0, maxlag + 1):
-        xs = np.column_stack([xa[:, -1], xa[:, :1 + lag]])    # const, level, lags
-        beta, *_ = np.linalg.lstsq(xs, ya, rcond=None)
-        ssr = float(np.sum((ya - xs @ beta) ** 2))
-        llf = -nobs / 2.0 * (math.log(2 * math.pi) + math.log(ssr / nobs) + 1.0)
-        aic = -2.0 * llf + 2.0 * xs.shape[1]
-        if best is None or aic < best[0]:
-            best = (aic, lag)
-    lag = best[1]
-    xr, yr = design(lag)
-    beta, *_ = np.linalg.lstsq(xr, yr, rcond=None)
-    resid = yr - xr @ beta
-    dof = len(yr) - xr.shape[1]
-    sigma2 = float(resid @ resid) / dof
-    cov = sigma2 * np.linalg.pinv(xr.T @ xr)
-    return float(beta[0] / math.sqrt(cov[0, 0])), lag, len(yr)
-
-
-def kpss_test(x: np.ndarray) -> tuple[float, int]:
-    """KPSS level stationarity with the automatic bandwidth (Hobijn et al. 1998)."""
-    n = len(x)
-    e = x - x.mean()
-    covlags = int(n ** (2.0 / 9.0))
-    s0 = float(e @ e) / n
-    s1 = 0.0
-    for i in range(1, covlags + 1):
-        prod = float(e[i:] @ e[:n - i]) / (n / 2.0)
-        s0 += prod
-        s1 += i * prod
-    lags = min(int(1.1447 * ((s1 / s0) ** 2) ** (1.0 / 3.0) * n ** (1.0 / 3.0)), n - 1)
-    eta = float(np.sum(np.cumsum(e) ** 2)) / n ** 2
-    s_hat = float(e @ e)
-    for i in range(1, lags + 1):
-        s_hat += 2.0 * float(e[i:] @ e[:n - i]) * (1.0 - i / (lags + 1.0))
-    return eta / (s_hat / n), lags
-
-
-def stationarity_tests(panel: DataFrame, max_points: int = 10_000) -> DataFrame:
-    """D-9 / D-10 on the last ``max_points`` non-null values of every series.
-
-    The slice is bounded by ``max_points``, so each series' test runs in one
-    group of at most that many rows. KPSS failure → NULL statistic.
-    Returns ``unique_id, adf_statistic, adf_pvalue, adf_usedlag, kpss_statistic,
-    kpss_pvalue, kpss_lags, used_observations``."""
-    if max_points is None or max_points <= 0:
-        raise ValueError("stationarity_tests needs a positive max_points (bounded groups)")
-    d = last_n(panel.select("unique_id", "pos", "y").filter(F.col("y").isNotNull()), max_points)
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values("pos")["y"].to_numpy(dtype=float)
-        out = {"unique_id": pdf["unique_id"].iloc[0], "used_observations": len(x)}
-        try:
-            stat, lag, _ = adf_test(x)
-            out.update(adf_statistic=stat, adf_pvalue=SM.adf_pvalue(stat), adf_usedlag=lag)
-        except Exception:  # noqa: BLE001
-            out.update(adf_statistic=np.nan, adf_pvalue=np.nan, adf_usedlag=None)
-        try:
-            k, lags = kpss_test(x)
-            out.update(kpss_statistic=k, kpss_pvalue=SM.kpss_pvalue(k), kpss_lags=lags)
-        except Exception:  # noqa: BLE001
-            out.update(kpss_statistic=np.nan, kpss_pvalue=np.nan, kpss_lags=None)
-        return pd.DataFrame([out])
-
-    schema = ("unique_id string, used_observations long, adf_statistic double, adf_pvalue double, adf_usedlag int, "
-              "kpss_statistic double, kpss_pvalue double, kpss_lags int")
-    return d.groupBy("unique_id").applyInPandas(
-        lambda pdf: fn(pdf)[["unique_id", "used_observations", "adf_statistic", "adf_pvalue", "adf_usedlag",
-                             "kpss_statistic", "kpss_pvalue", "kpss_lags"]], schema)

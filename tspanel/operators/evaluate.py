@@ -119,22 +119,22 @@ STATISTICAL_GROUPS = {
 }
 
 MODEL_NOTES = {
-    "naive": "Last value carried over the horizon; ignores the daily season.",
-    "seasonal_naive_24": "Repeats the last day.",
-    "seasonal_naive_168": "Repeats the last week; separates weekdays and weekends.",
-    "window_average_168": "Mean of the last week; smooth but slow to react.",
-    "seasonal_window_average": "Mean of the same hour over the last seven days.",
-    "drift": "Random walk with a straight-line drift.",
-    "manual_ets_additive": "Holt-Winters with additive trend and daily season.",
-    "manual_theta_24": "Theta method with a daily period.",
-    "manual_arima": "ARIMA(1,1,1) reference point.",
-    "auto_arima": "ARIMA chosen per series from a candidate list by AICc.",
-    "auto_ets": "ETS chosen per series from a candidate list by AICc.",
-    "auto_theta": "Theta variant chosen per series by AICc.",
-    "ridge_regression": "Linear model on lags, rolling and calendar features.",
-    "random_forest": "Tree ensemble on lag features.",
-    "hist_gradient_boosting": "Gradient-boosted trees on lag features.",
-    "direct_window": "Direct multi-step model on a robust-scaled 168-step window.",
+    "naive": "y at the cutoff for every step; one look-up a window.",
+    "seasonal_naive_24": "y one season of 24 positions before, the last season cycled beyond it; look-ups only.",
+    "seasonal_naive_168": "The same with a season of 168 positions.",
+    "window_average_168": "Average of the 168 positions up to the cutoff, equal for all steps.",
+    "seasonal_window_average": "Average of the look-ups of the naive season over several seasons back.",
+    "drift": "Straight line through the first and the last training value.",
+    "manual_ets_additive": "Level, slope and season smoothed with weights of least one-step squared error.",
+    "manual_theta_24": "Smoothed level plus half the slope of a least-squares line, phase factors of 24.",
+    "manual_arima": "One difference, one lag, one error term; least conditional sum of squares.",
+    "auto_arima": "Of four pairs of lag and error orders the one of least AICc.",
+    "auto_ets": "With or without slope and season, whichever has the least AICc.",
+    "auto_theta": "Without, with added or with multiplied phases, by least AICc.",
+    "ridge_regression": "MLlib linear regression with an L2 term, fed back step by step.",
+    "random_forest": "MLlib forest of regression trees, fed back step by step.",
+    "hist_gradient_boosting": "MLlib boosted regression trees, fed back step by step.",
+    "direct_window": "One ridge solution for each of the 24 steps from the last 168 scaled values.",
 }
 
 

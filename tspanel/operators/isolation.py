@@ -94,7 +94,6 @@ def isolation_forest(panel: DataFrame, config: AnomalyConfig = AnomalyConfig(),
     """N-4: ``unique_id, pos, isolation_score, isolation_anomaly`` of every row (rows with
     incomplete features: NULL score, not flagged)."""
     psi, n_trees, seed = config.sample_size, config.n_trees, config.seed
-    max_depth = int(math.ceil(math.log2(psi)))
     feats = materialize(isolation_features(panel).dropna(subset=features).select("unique_id", "pos", *features))
     counts = feats.groupBy("unique_id").agg(F.count(F.lit(1)).alias("_n"))
     rows = feats.join(counts, "unique_id")
@@ -112,7 +111,7 @@ def isolation_forest(panel: DataFrame, config: AnomalyConfig = AnomalyConfig(),
     def grow_fn(pdf: pd.DataFrame) -> pd.DataFrame:
         uid, t = pdf["unique_id"].iloc[0], int(pdf["tree"].iloc[0])
         rng = np.random.default_rng([seed, t, zlib.crc32(str(uid).encode())])
-        tree = build_tree(pdf[features].to_numpy(dtype=float), rng, max_depth)
+        tree = build_tree(pdf[features].to_numpy(dtype=float), rng, math.ceil(math.log2(max(2, len(pdf)))))
         return pd.DataFrame({"unique_id": [uid], "tree": [t], "feature": [tree[0]], "threshold": [tree[1]],
                              "left": [tree[2]], "right": [tree[3]], "size": [tree[4]]})
 
@@ -124,7 +123,6 @@ def isolation_forest(panel: DataFrame, config: AnomalyConfig = AnomalyConfig(),
                   .select("unique_id", F.explode(F.sequence(bucket_of(F.col("_a"), SCORE_BLOCK),
                                                             bucket_of(F.col("_b"), SCORE_BLOCK))).alias("_blk")))
     forest_blocks = forest.join(spans, "unique_id")
-    c_psi = float(avg_path([psi])[0])
 
     def score_fn(x_pdf: pd.DataFrame, f_pdf: pd.DataFrame) -> pd.DataFrame:
         if x_pdf.empty:
@@ -134,6 +132,7 @@ def isolation_forest(panel: DataFrame, config: AnomalyConfig = AnomalyConfig(),
         for rec in f_pdf.itertuples(index=False):
             total += path_lengths(x, (rec.feature, rec.threshold, rec.left, rec.right, rec.size))
         mean_path = total / max(len(f_pdf), 1)
+        c_psi = float(avg_path([max(s[0] for s in f_pdf["size"])])[0])       # a short series has fewer than sample_size rows a tree
         return pd.DataFrame({"unique_id": x_pdf["unique_id"].to_numpy(), "pos": x_pdf["pos"].to_numpy(),
                              "_s": np.power(2.0, -mean_path / c_psi)})
 

@@ -142,7 +142,7 @@ def eda_bundle(panel: DataFrame, season: int = DAILY_SEASON) -> dict[str, DataFr
         "decomposition": D.decompose(panel, season),
         "acf": acf,
         "pacf": D.pacf_from_acf(acf),
-        "stationarity": D.stationarity_tests(panel, 10_000),
+        "stationarity": D.stationarity_tests(panel),
     }
 
 

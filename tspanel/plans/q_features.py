@@ -8,7 +8,7 @@ from tspanel.config import AnomalyConfig, FeatureConfig
 from tspanel.operators import anomaly as N
 from tspanel.operators import features as FT
 from tspanel.plans.registry import R, register, rnd
-from tspanel.plans.util import rounded
+from tspanel.plans.util import BIAS, rounded
 from tspanel.sources.panels import panel, panel_sql, prepared_panel
 
 PART = "PARTITION BY unique_id ORDER BY pos"
@@ -173,7 +173,7 @@ SELECT unique_id, method, CAST(anomalies AS BIGINT) AS anomalies, round(anomalie
 def q_summary_rules(spark, sf):
     comb = N.combine(prepared_panel(spark, sf, "H"), AnomalyConfig())
     methods = {k: v for k, v in N.FLAG_COLUMNS.items() if k != "isolation_forest"}
-    return N.summary(comb, methods)
+    return N.summary(comb, methods, None).withColumn("share_percent", F.round(F.col("share_percent") + F.lit(BIAS), 3))
 
 
 # ---------------------------------------------------------------- N-3, W-10

@@ -179,8 +179,29 @@ def q_pacf(spark, sf):
 
 @register("stationarity_tests")
 def q_stationarity(spark, sf):
-    """D-9 / D-10 on the last 10,000 values."""
-    return rounded(D.stationarity_tests(_h(spark, sf), 10_000))
+    """D-9 / D-10 on whole series."""
+    return rounded(D.stationarity_tests(_h(spark, sf)))
+
+
+@register("kpss_level", f"""
+WITH {panel_sql('H')},
+v AS (SELECT unique_id, row_number() OVER (PARTITION BY unique_id ORDER BY pos) AS t, y FROM panel WHERE y IS NOT NULL),
+f AS (SELECT unique_id, count(*) AS n, avg(y) AS m FROM v GROUP BY 1),
+e AS (SELECT unique_id, t, n, y - m AS e, sum(y - m) OVER (PARTITION BY unique_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS run FROM v JOIN f USING (unique_id)),
+z AS (SELECT unique_id, any_value(n) AS n, sum(e * e) AS e0, sum(run * run) AS runs FROM e GROUP BY 1),
+short AS (SELECT a.unique_id, k.k, sum(a.e * b.e) AS c FROM e a CROSS JOIN generate_series(1, 40) AS k(k)
+          JOIN e b ON b.unique_id = a.unique_id AND b.t = a.t - k.k WHERE k.k <= floor(pow(a.n, 2.0 / 9.0)) GROUP BY 1, 2),
+w AS (SELECT z.unique_id, z.n, z.e0, z.runs, least(floor(1.1447 * cbrt(pow((2.0 * sum(k * c) / z.n) / ((z.e0 + 2.0 * sum(c)) / z.n), 2)) * cbrt(z.n)), z.n - 1) AS l
+      FROM z JOIN short USING (unique_id) GROUP BY 1, 2, 3, 4),
+far AS (SELECT a.unique_id, sum((1.0 - (a.t - b.t) / (w.l + 1.0)) * a.e * b.e) AS c FROM e a JOIN w USING (unique_id)
+        JOIN e b ON b.unique_id = a.unique_id AND b.t < a.t AND b.t >= a.t - w.l GROUP BY 1),
+k AS (SELECT w.unique_id, w.n, w.l, (w.runs / w.n / w.n) / ((w.e0 + 2.0 * coalesce(far.c, 0)) / w.n) AS s FROM w LEFT JOIN far USING (unique_id))
+SELECT unique_id, n AS used_observations, {rnd('s')} AS kpss_statistic, CAST(l AS BIGINT) AS kpss_lags,
+       {rnd("CASE WHEN s <= 0.347 THEN 0.10 WHEN s <= 0.463 THEN 0.10 - (s - 0.347) * 0.05 / 0.116 WHEN s <= 0.574 THEN 0.05 - (s - 0.463) * 0.025 / 0.111 WHEN s <= 0.739 THEN 0.025 - (s - 0.574) * 0.015 / 0.165 ELSE 0.01 END")} AS kpss_pvalue
+FROM k""")
+def q_kpss(spark, sf):
+    """D-10: KPSS level statistic, bandwidth and p-value of whole series."""
+    return rounded(D.stationarity_tests(_h(spark, sf)).select("unique_id", "used_observations", "kpss_statistic", "kpss_lags", "kpss_pvalue"))
 
 
 @register("decomposition", f"""
