@@ -351,19 +351,16 @@ def direct_window_forecasts(panel: DataFrame, cutoffs: DataFrame, input_size: in
 
     def predict(it):
         for pdf in it:
-            out = []
-            for rec in pdf.itertuples(index=False):
-                hist = np.asarray(rec.hist, dtype=float)
-                if len(hist) < input_size or rec.coef is None:
-                    continue
-                med = np.median(hist)
-                mad = np.median(np.abs(hist - med)) or 1.0
-                xa = np.r_[(hist - med) / mad, 1.0]
-                yhat = xa @ np.asarray(rec.coef).reshape(input_size + 1, horizon) * mad + med
-                out.append(pd.DataFrame({"unique_id": rec.unique_id, "window": rec.window, "cut": rec.cut,
-                                         "horizon": np.arange(1, horizon + 1, dtype="int32"), "y_pred": yhat}))
-            if out:
-                yield pd.concat(out, ignore_index=True)
+            pdf = pdf[(pdf["hist"].map(len) >= input_size) & pdf["coef"].notna()]
+            for wv, g in pdf.groupby("window"):
+                hist = np.stack(g["hist"].to_numpy()).astype(float)
+                med = np.median(hist, axis=1, keepdims=True)
+                mad = np.median(np.abs(hist - med), axis=1, keepdims=True)
+                mad[mad == 0] = 1.0
+                xa = np.hstack([(hist - med) / mad, np.ones((len(hist), 1))])
+                told = xa @ np.asarray(g["coef"].iloc[0]).reshape(input_size + 1, horizon) * mad + med
+                yield pd.DataFrame({"unique_id": np.repeat(g["unique_id"].to_numpy(), horizon), "window": np.int32(wv), "cut": np.repeat(g["cut"].to_numpy(), horizon),
+                                    "horizon": np.tile(np.arange(1, horizon + 1, dtype="int32"), len(g)), "y_pred": told.ravel()})
 
     joined = state.join(coefs, "window", "left")
     fc = joined.mapInPandas(predict, "unique_id string, window int, cut long, horizon int, y_pred double")
