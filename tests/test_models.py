@@ -14,7 +14,6 @@ from tspanel.config import AnomalyConfig, FeatureConfig
 from tspanel.operators import baselines as B
 from tspanel.operators import diagnose as D
 from tspanel.operators import evaluate as E
-from tspanel.operators import fleet as FL
 from tspanel.operators import windowing as hw
 from tspanel.operators.isolation import isolation_forest
 
@@ -100,25 +99,6 @@ def test_rank_is_permutation(spark, seasonal):
         assert list(g.sort_values("rank")["smape"]) == sorted(g["smape"])
 
 
-def test_fleet_models_fit_seasonal_series():
-    _, y = seasonal_rows(1500)
-    rows = FL.fit_fleet(y[:-24], 24, 24, FL.FLEET_MODELS, 1440, 720)
-    truth = y[-24:]
-    mae = {r["model"]: float(np.mean(np.abs(r["pred"] - truth))) for r in rows}
-    assert all(r["error"] is None for r in rows)
-    assert mae["manual_ets_additive"] < 1.5 and mae["auto_ets"] < 1.5
-    naive = float(np.mean(np.abs(y[-25] - truth)))
-    assert mae["manual_ets_additive"] < naive
-    auto = {r["model"]: r for r in rows}["auto_arima"]
-    assert np.all(auto["upper_95"] > auto["upper_80"]) and np.all(auto["lower_95"] < auto["pred"])
-
-
-def test_fleet_failure_is_isolated():
-    rows = FL.fit_fleet(np.array([1.0, 2.0, 3.0]), 24, 24, ("manual_ets_additive", "manual_arima"), 1440, 720)
-    errors = {r["model"]: r["error"] for r in rows}
-    assert errors["manual_ets_additive"] is not None or np.isnan(rows[0]["pred"]).all() or len(rows) == 2
-
-
 def test_isolation_forest_finds_planted_spikes(spark):
     spikes = tuple(range(300, 1400, 55))           # 20 spikes
     rows, _ = seasonal_rows(1440, "iso", spikes=spikes)

@@ -34,8 +34,6 @@ LEVEL_MULTIPLIERS = {80: 1.28, 95: 1.96}
 SCALE_FALLBACK = 0.1
 EPS = 1e-8
 RECENT_WEEKS = 8
-ETS_HISTORY = 24 * 60
-ARIMA_HISTORY = 24 * 30
 
 # Default bucket length (in grid steps) for the bucket + halo window layout.
 BUCKET_STEPS = 8192
