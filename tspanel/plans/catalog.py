@@ -11,6 +11,7 @@ from tspanel.plans import q_prepare  # noqa: F401
 from tspanel.plans import q_features  # noqa: F401
 from tspanel.plans import q_stats  # noqa: F401
 from tspanel.plans import q_models  # noqa: F401
+from tspanel.plans import q_fleet  # noqa: F401
 from tspanel.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["QUERIES", "ORACLE_SQL"]
