@@ -25,3 +25,21 @@ def test_exact_quantiles_match_numpy(spark, cap, bins):
         for i, p in enumerate(probs):
             assert out[g][f"q_{i}"] == pytest.approx(float(np.quantile(v, p)), rel=1e-12, abs=1e-15)
     assert "d" not in out                      # no values → no row (callers left-join)
+
+
+@pytest.mark.parametrize("cap,bins", [(1, 2), (7, 3), (50_000, 4096)])
+def test_ties_and_uneven_groups(spark, cap, bins):
+    rng = np.random.default_rng(9)
+    data = {"hot": rng.integers(0, 40, 4000).astype(float), "two": np.array([-3.5, 9.0]), "zero": np.array([0.0, -0.0, 0.0]),
+            "wide": np.r_[rng.normal(size=200) * 1e-9, 1e12, -1e12]}
+    df = spark.createDataFrame([(g, float(x)) for g, v in data.items() for x in v] + [(None, 1.0), ("nan", float("nan"))], "g string, v double")
+    probs = [0.0, 0.05, 0.5, 0.5, 0.95, 1.0]
+    out = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", probs, cap=cap, bins=bins).collect()}
+    assert set(out) == set(data)
+    for g, v in data.items():
+        assert [out[g][f"q_{i}"] for i in range(len(probs))] == pytest.approx(list(np.quantile(v, probs)), rel=1e-12, abs=1e-21), g
+
+
+def test_no_values(spark):
+    df = spark.createDataFrame([("a", None)], "g string, v double")
+    assert exact_quantiles(df, ["g"], "v", [0.5]).collect() == []

@@ -2,8 +2,8 @@
 
 All statistics are per series (``unique_id``) and computed with aggregates that
 combine map-side. Consecutive-timestamp gaps of a raw (irregular) series are
-found in two levels — inside time buckets, then across the small per-bucket
-table — so no window spans a whole series.
+found in two levels — inside blocks of a fixed number of rows, then across the
+small per-block table — so no window spans a whole series.
 """
 
 from __future__ import annotations
@@ -15,37 +15,46 @@ from pyspark.sql import functions as F
 
 from tspanel.config import HORIZON, WEEKLY_SEASON
 from tspanel.operators.quantiles import exact_quantiles
+from tspanel.session import materialize
 
 # Percentiles of the descriptive table.
 DESCRIBE_PERCENTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
-GAP_BUCKET_SECONDS = 7 * 86400
+#: Timestamps that one task compares with each other.
+GAP_ROWS = 65_536
 
 
 def _micros(c: str) -> Column:
     return F.unix_micros(F.col(c).cast("timestamp"))
 
 
-def consecutive_gaps(df: DataFrame, bucket_seconds: int = GAP_BUCKET_SECONDS) -> DataFrame:
-    """Gap in seconds between each non-null timestamp and the previous one of
-    its series (duplicates give 0). Returns ``unique_id, gap``."""
-    d = df.select("unique_id", "ds").filter(F.col("ds").isNotNull())
-    d = d.withColumn("_tb", F.floor(F.unix_seconds(F.col("ds").cast("timestamp")) / F.lit(bucket_seconds)))
-    w = Window.partitionBy("unique_id", "_tb").orderBy("ds")
-    inner = (d.withColumn("gap", (_micros("ds") - F.lag(_micros("ds")).over(w)) / F.lit(1e6))
-              .filter(F.col("gap").isNotNull()).select("unique_id", "gap"))
-    summ = d.groupBy("unique_id", "_tb").agg(F.min("ds").alias("_first"), F.max("ds").alias("_last"))
-    wb = Window.partitionBy("unique_id").orderBy("_tb")
-    cross = (summ.withColumn("_prev", F.lag("_last").over(wb))
-                 .filter(F.col("_prev").isNotNull())
-                 .select("unique_id", ((_micros("_first") - _micros("_prev")) / F.lit(1e6)).alias("gap")))
-    return inner.unionByName(cross)
+def consecutive_gaps(df: DataFrame, rows: int = GAP_ROWS) -> DataFrame:
+    """Gaps in seconds between each non-null timestamp and the previous one of
+    its series, with the number of ``times`` (repeats of a timestamp give 0).
+    Returns ``unique_id, gap, times``.
 
-
-def step_stats(df: DataFrame, bucket_seconds: int = GAP_BUCKET_SECONDS) -> DataFrame:
+    Distinct timestamps are sorted across the cluster and numbered once; blocks
+    of ``rows`` neighbours are compared inside, then the blocks' first and last
+    timestamps with each other.
+    """
+    stamps = df.where(F.col("unique_id").isNotNull() & F.col("ds").isNotNull()).groupBy("unique_id", "ds").agg(F.count(F.lit(1)).alias("_c"))
+    placed = stamps.repartitionByRange("unique_id", "ds").sortWithinPartitions("unique_id", "ds").withColumn("_at", F.monotonically_increasing_id())
+    # ids: the partition's number above 33 bits of the row's; blocks never span partitions
+    block = F.shiftright("_at", 33) * F.lit(1 << 33) + F.floor(F.col("_at").bitwiseAND((1 << 33) - 1) / rows).cast("long")
+    d = materialize(placed).withColumn("_block", block)
+    w = Window.partitionBy("unique_id", "_block").orderBy("_at")
+    inner = d.withColumn("gap", (_micros("ds") - F.lag(_micros("ds")).over(w)) / F.lit(1e6)).where(F.col("gap").isNotNull())
+    ends = d.groupBy("unique_id", "_block").agg(F.min("ds").alias("_first"), F.max("ds").alias("_last"))
+    wb = Window.partitionBy("unique_id").orderBy("_block")
+    cross = (ends.withColumn("_prev", F.lag("_last").over(wb)).filter(F.col("_prev").isNotNull())
+                 .select("unique_id", ((_micros("_first") - _micros("_prev")) / F.lit(1e6)).alias("gap"), F.lit(1).cast("long").alias("times")))
+    repeats = d.where("_c > 1").select("unique_id", F.lit(0.0).alias("gap"), (F.col("_c") - 1).alias("times"))
+    return inner.select("unique_id", "gap", F.lit(1).cast("long").alias("times")).unionByName(cross).unionByName(repeats)
+
+
+def step_stats(df: DataFrame, rows: int = GAP_ROWS) -> DataFrame:
     """A-2: most common (smallest on ties), min and max gap in seconds, plus the
     number of zero gaps (= repeated non-null timestamps)."""
-    gaps = consecutive_gaps(df, bucket_seconds)
-    counts = gaps.groupBy("unique_id", "gap").agg(F.count(F.lit(1)).alias("_c"))
+    counts = consecutive_gaps(df, rows).groupBy("unique_id", "gap").agg(F.sum("times").alias("_c"))
     mode = counts.groupBy("unique_id").agg(
         F.max_by("gap", F.struct(F.col("_c"), -F.col("gap"))).alias("most_common_step"),
         F.min("gap").alias("min_step"), F.max("gap").alias("max_step"),
@@ -53,7 +62,7 @@ def step_stats(df: DataFrame, bucket_seconds: int = GAP_BUCKET_SECONDS) -> DataF
     return mode
 
 
-def quality_report(df: DataFrame, target: str = "y", bucket_seconds: int = GAP_BUCKET_SECONDS) -> DataFrame:
+def quality_report(df: DataFrame, target: str = "y", rows: int = GAP_ROWS) -> DataFrame:
     """A-1 (+A-2): one row per series.
 
     rows, columns, date_min, date_max, missing_dates, duplicate_dates (every
@@ -69,7 +78,7 @@ def quality_report(df: DataFrame, target: str = "y", bucket_seconds: int = GAP_B
         F.min(y).alias("target_min"), F.max(y).alias("target_max"), F.avg(y).alias("target_mean"))
     med = exact_quantiles(df, ["unique_id"], target, [0.5], out="_q").withColumnRenamed("_q_0", "target_median")
     base = base.join(med, "unique_id", "left").withColumn("columns", F.lit(len(df.columns)).cast("bigint"))
-    out = base.join(step_stats(df, bucket_seconds), "unique_id", "left")
+    out = base.join(step_stats(df, rows), "unique_id", "left")
     # every repeat counts; NULL timestamps are equal to each other (pandas ``duplicated``)
     dups = (F.coalesce(F.col("_zero_gaps"), F.lit(0))
             + F.when(F.col("missing_dates") > 0, F.col("missing_dates") - 1).otherwise(F.lit(0)))
@@ -128,14 +137,14 @@ def seasonal_profiles(df: DataFrame, target: str = "y") -> DataFrame:
 
 def validate_series(df: DataFrame, step_seconds: int = 3600, min_length: int = WEEKLY_SEASON + HORIZON,
                     required: Sequence[str] = ("unique_id", "ds", "y"),
-                    bucket_seconds: int = GAP_BUCKET_SECONDS) -> DataFrame:
+                    rows: int = GAP_ROWS) -> DataFrame:
     """A-12: six checks per series → ``unique_id, test, status, observed``."""
     has_cols = set(required).issubset(df.columns)
     kinds = {"unique_id": "string", "ds": "timestamp", "y": "double"}
     df = df.withColumns({c: F.lit(None).cast(t) for c, t in kinds.items() if c not in df.columns})
-    gaps = consecutive_gaps(df, bucket_seconds)
-    irregular = gaps.groupBy("unique_id").agg(F.count_if(F.col("gap") != F.lit(float(step_seconds))).alias("irregular"),
-                                              F.count_if(F.col("gap") == 0).alias("_zero"))
+    gaps = consecutive_gaps(df, rows)
+    irregular = gaps.groupBy("unique_id").agg(F.coalesce(F.sum(F.when(F.col("gap") != F.lit(float(step_seconds)), F.col("times"))), F.lit(0)).alias("irregular"),
+                                              F.coalesce(F.sum(F.when(F.col("gap") == 0, F.col("times"))), F.lit(0)).alias("_zero"))
     stats = df.groupBy("unique_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("ds").isNull()).alias("_nulls"),
         F.count_if(F.col("y").isNull()).alias("missing"),
