@@ -326,6 +326,60 @@ def q_combined_lb(spark, sf):
     return rounded(out)
 
 
+@register("merged_selection", f"""
+WITH {panel_sql('H')}, {baseline_sql(BACKTEST_CUTS)}, {SCORING_SQL}, {pipeline_ctes('p_')},
+notes AS (SELECT * FROM {_values_sql(E.MODEL_NOTES, 'model', 'comment')}),
+u AS (SELECT unique_id, 'statistical' AS "group", model, mae, rmse, smape, mase FROM lb0
+      UNION ALL SELECT unique_id, 'pipeline', model, mae, rmse, smape, mase FROM p_lb),
+r AS (SELECT *, row_number() OVER (PARTITION BY unique_id ORDER BY smape ASC NULLS LAST, model) AS rank FROM u WHERE smape IS NOT NULL)
+SELECT unique_id, CAST(rank AS BIGINT) AS rank, "group", model, {R('mae rmse smape mase')}, coalesce(comment, '') AS comment,
+       CASE WHEN rank = 1 THEN 'primary data-driven candidate' ELSE 'comparison model' END AS decision
+FROM r LEFT JOIN notes USING (model)""")
+def q_merged_selection(spark, sf):
+    """J-4 / E-8: selection tables of two groups joined to their combined, re-ranked leaderboard."""
+    p = prepared_panel(spark, sf, "H")
+    _, _, lb = PL.statistical_backtest(p)
+    _, _, plb = PL.pipeline_backtest(p)
+    board = E.combine_leaderboards(lb.withColumn("group", F.lit("statistical")), plb.withColumn("group", F.lit("pipeline")))
+    return rounded(E.combine_selection_tables([E.selection_table(lb, "statistical"), E.selection_table(plb, "pipeline")], board))
+
+
+# ---------------------------------------------------------------- X-8, F-9, F-11 where they bind
+
+_LONG, _LAST, _MANY = 60, 100, 40
+
+
+@register("forecast_beyond_season", f"""
+WITH {panel_sql('H')}, {baseline_sql(FINAL_CUTS, h=_LONG)}
+SELECT f.unique_id, p.ds + to_hours(CAST(f.h AS BIGINT)) AS ds, CAST(f.h AS BIGINT) AS horizon, f.model,
+       {R('y_pred lower_80 upper_80 lower_95 upper_95')}
+FROM fc f JOIN panel p ON p.unique_id = f.unique_id AND p.pos = f.cut""")
+def q_beyond_season(spark, sf):
+    """X-8: the last season is tiled over a horizon of two and a half seasons."""
+    fc = PL.statistical_forecast(prepared_panel(spark, sf, "H"), BacktestConfig(horizon=_LONG))
+    return rounded(fc.select("unique_id", "ds", "horizon", "model", "y_pred", "lower_80", "upper_80", "lower_95", "upper_95"))
+
+
+@register("recent_history_backtest", f"""
+WITH {panel_sql('H')}, {baseline_sql(BACKTEST_CUTS, cap=_LAST)}
+SELECT f.unique_id, CAST(f.win AS BIGINT) AS "window", CAST(f.h AS BIGINT) AS horizon, f.model,
+       {R('y_pred lower_80 upper_80 lower_95 upper_95')} FROM fc f""")
+def q_recent_history(spark, sf):
+    """F-9: a caller's wish to train on the last rows only, fewer than the long season."""
+    preds, _, _ = PL.statistical_backtest(prepared_panel(spark, sf, "H"), BacktestConfig(max_history=_LAST))
+    return rounded(preds.select("unique_id", "window", "horizon", "model", "y_pred", "lower_80", "upper_80", "lower_95", "upper_95"))
+
+
+@register("shrunken_windows", f"""
+WITH {panel_sql('H')}, l AS (SELECT unique_id, max(pos) AS n FROM panel GROUP BY 1),
+w AS (SELECT unique_id, n, CASE WHEN n < {168 + 24 * (_MANY + 1)} THEN greatest(1, least({_MANY}, (n - 168) // 24 - 1)) ELSE {_MANY} END AS w FROM l)
+SELECT unique_id, CAST(g.g AS BIGINT) AS "window", CAST(n - (w - g.g + 1) * 24 AS BIGINT) AS cut, CAST(n AS BIGINT) AS n
+FROM w, generate_series(1, {_MANY}) g(g) WHERE g.g <= w AND n - (w - g.g + 1) * 24 >= 1""")
+def q_shrunken(spark, sf):
+    """F-11: more windows are wanted than the series has room for."""
+    return rounded(B.pipeline_cutoffs(prepared_panel(spark, sf, "H"), n_windows=_MANY))
+
+
 # ---------------------------------------------------------------- E-10
 
 @register("baseline_comparison", f"""
