@@ -171,7 +171,19 @@ def q_acf(spark, sf):
     return rounded(D.acf(_h(spark, sf), 72))
 
 
-@register("pacf")
+@register("pacf", f"""
+WITH RECURSIVE {panel_sql('H')},
+s AS (SELECT unique_id, pos, y - avg(y) OVER (PARTITION BY unique_id) AS e FROM panel WHERE y IS NOT NULL),
+c AS (SELECT a.unique_id, k.k AS lag, sum(a.e * b.e) AS s FROM s a CROSS JOIN generate_series(0, 72) AS k(k)
+      JOIN s b ON b.unique_id = a.unique_id AND b.pos = a.pos - k.k GROUP BY 1, 2),
+r AS (SELECT unique_id, list(s ORDER BY lag) AS r FROM c GROUP BY 1),
+z AS (SELECT unique_id, list_transform(r[2:], lambda v: v / r[1]) AS r FROM r),
+d AS (SELECT unique_id, r, CAST(1 AS BIGINT) AS k, [r[1]] AS phi, 1 - r[1] * r[1] AS v FROM z
+      UNION ALL
+      SELECT unique_id, r, k + 1, list_concat(list_transform(generate_series(1, k), lambda j: phi[j] - a * phi[k + 1 - j]), [a]), v * (1 - a * a)
+      FROM (SELECT *, (r[k + 1] - list_sum(list_transform(generate_series(1, k), lambda j: phi[j] * r[k + 1 - j]))) / v AS a FROM d WHERE k < 72))
+SELECT unique_id, k AS lag, {rnd('phi[k]')} AS pacf FROM d
+UNION ALL SELECT unique_id, 0, {rnd('1.0')} FROM z""")
 def q_pacf(spark, sf):
     """D-8: Yule-Walker PACF to lag 72 by Durbin-Levinson."""
     return rounded(D.pacf_from_acf(D.acf(_h(spark, sf), 72)))
