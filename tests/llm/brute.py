@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -72,3 +73,34 @@ def sources(rows: list[tuple], weights=(5, 2, 1), epochs=1.5, cap=2.0) -> dict:
             left -= target[s]
         free -= over
     return {s: (size[s], target[s]) for s in names}
+
+
+def mixed(rows: list[tuple], slots: int, finest: int, cap=2.0) -> list[tuple]:
+    """(doc_id, size, taken) of (doc_id, text, source) rows: the tokens are laid out in shuffled order and every slot takes its block."""
+    size = [len(WORD.findall(t or "")) for _, t, _ in rows]
+    targets = sources([(s, n) for (_, _, s), n in zip(rows, size, strict=True)])
+    common = math.ceil(sum(t for _, t in targets.values()) / slots)
+    block = {s: max(1, min(common, math.floor(t / finest))) for s, (_, t) in targets.items()}
+    upto, borders = 0.0, []
+    for s, (_, t) in targets.items():
+        upto += t / block[s]
+        borders.append((upto, s))
+    tokens = {s: [] for s in targets}
+
+    def key(i):
+        d, t, _ = rows[i]
+        inner = "" if t is None else hashlib.md5(t.encode()).hexdigest()
+        return hashlib.md5(f"mix|{'' if d is None else d}|{inner}".encode()).hexdigest(), i
+
+    for i in sorted(range(len(rows)), key=key):
+        tokens[rows[i][2]] += [i] * size[i]
+    taken, turn = Counter(), Counter()
+    for slot in range(math.floor(upto)):
+        point = slot * 2654435769 % 2 ** 32
+        s = next(s for b, s in borders if point < math.floor(b / upto * 2 ** 32))
+        blocks = math.ceil(len(tokens[s]) / block[s])
+        if turn[s] < math.floor(blocks * cap):
+            first = turn[s] % blocks * block[s]
+            taken.update(tokens[s][first:first + block[s]])
+        turn[s] += 1
+    return [(d, size[i], taken[i]) for i, (d, _, _) in enumerate(rows)]

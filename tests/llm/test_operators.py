@@ -237,18 +237,23 @@ def test_mixing(spark, messy):
     assert Counter(run(spark, "op9_mixing", messy)) == Counter(got)
 
 
+@pytest.mark.parametrize("slots", [1 << 20, 300])
+def test_mixing_equals_the_schedule_walked_slot_by_slot(spark, messy, slots):
+    docs = spark.read.parquet(f"{messy}/documents.parquet")
+    got = Counter((r["doc_id"], r["size"], r["taken"]) for r in mixing.mix(docs, slots=slots).collect())
+    assert got == Counter(brute.mixed([(d, t, s) for d, t, _, s, _ in ROWS], slots, mixing.FINEST))
+
+
 def test_small_sources_of_a_large_mix(spark):
-    """Sources of a few words get their targets at any size of the corpus, and its slots need no list."""
+    """Sources of a few words get their targets at any size of the corpus, and the schedule does not grow with it."""
     sizes = [("a", 3_000_000_000), ("b", 1000), ("c", 1_799_990_000), ("d", 2000), ("e", 5000), (None, 2000)]
     for scale in (1, 10_000):
         rows = [(s, n * scale if n > 10_000 else n) for s, n in sizes]
         targets = mixing.source_targets(spark.createDataFrame(rows, "source string, source_size long"))
-        got = {r["source"]: r["n"] for r in mixing.turns(targets).collect()}
+        got = {r["source"]: r["n"] for r in mixing.schedule(targets).groupBy("source").agg(F.count("*").alias("n")).collect()}
         for r in targets.collect():
             assert abs(got[r["source"]] * r["block"] - r["target"]) <= 8 + 0.01 * r["target"]
-    few = mixing.source_targets(spark.createDataFrame([("a", 70_000), ("b", 30_000), (None, 5000)], "source string, source_size long"), slots=5000)
-    listed = {r["source"]: r["n"] for r in mixing.schedule(few).groupBy("source").agg(F.count("*").alias("n")).collect()}
-    assert listed == {r["source"]: r["n"] for r in mixing.turns(few).collect()} and sum(listed.values()) == few.first()["n_slots"]
+        assert sum(got.values()) == targets.first()["n_slots"] <= (1 << 20) + 2 * mixing.FINEST * len(sizes)
 
 
 def test_schedule_is_low_discrepancy(spark):

@@ -4,22 +4,22 @@ Slot t of the schedule holds the golden-ratio point frac(t / phi), as the
 32-bit integer t * 2654435769 mod 2^32, so every engine gets the same points.
 They begin anew after 2^32 slots; each such epoch then rounds the sources' spans
 in another way, so that they come out right over all epochs.
-The points are mapped through the cumulative target weights of the sources,
-which gives each slot a source and each source its share in every stretch of
-the schedule; a source's slots are ranked, and the r-th takes the r-th block of
+The points are mapped through the cumulative shares of the sources, which gives
+each slot a source and each source its share in every stretch of the schedule; a
+source's slots are ranked by pages of slots, and the r-th takes the r-th block of
 the source's documents. Blocks are equal numbers of tokens cut from the
 source's documents in a shuffled (md5) order, and begin anew when all are used.
 
 Targets: sources share ``epochs`` times all tokens by weight; a target stops at
 ``cap`` times its source's tokens and the excess is shared anew by weight until
-none is above. A block has the tokens that ``slots`` slots leave to each, but never more
-than 1/4096 of the smallest target: the schedule then has more slots, so that
-small sources come as near their targets in a large corpus as in a small one.
+none is above. A block has the tokens that ``slots`` slots leave to each. Sources whose
+target is below ``FINEST`` such blocks have smaller ones, 1/``FINEST`` of their target (a token at least),
+and a share of the slots that is larger by as much: so they come as near their targets in a large corpus
+as in a small one, and the schedule has at most ``slots`` slots and ``FINEST`` times 2 for each source.
 
 Nothing sorts or sums a whole source in one task: documents are dealt out by
 source and leading hash bits, and running totals come from the totals of those.
-What a mix takes of a document follows from the number of its source's slots, which is
-found by arithmetic: the slots are only listed for those who want the schedule itself.
+A document is joined to the schedule through the blocks that its tokens lie in, by (source, block).
 
 Defined results: a null text has size 0, takes part and gets 0; a null source
 is a source of its own, last in order; documents without words and sources of
@@ -30,24 +30,22 @@ result; input columns named like an added one give way.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tspanel.llm.common import WORD, Scratch
 
 GOLDEN = 2654435769            # 2^32 / phi
 RANGE = 1 << 32
 CELLS = 4096
-FINEST = 4096                  # blocks that the smallest target has at least (of a token or more)
+FINEST = 4096                  # blocks that a target has at least (of a token or more)
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), epochs: float = 1.5, cap: float = 2.0,
                    slots: int = 1 << 20) -> DataFrame:
-    """From (source, source_size): one row a source with weight, target, ``upto`` (targets added up in
-    order), ``block`` (tokens of a slot), ``blocks`` (of the source) and ``n_slots`` (of the schedule).
+    """From (source, source_size): one row a source with weight, target, ``block`` (tokens that a slot takes of it), ``blocks`` (of the
+    source), ``upto`` (shares of the slots added up in order), ``total`` (of them) and ``n_slots`` (of the schedule).
 
     Sources reach their caps in the order of size / weight. Those before the first source that its
     share of the rest does not overfill stop at their caps; it and the later ones share the rest by weight.
@@ -65,31 +63,12 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), epo
         .withColumn("level", (F.sum("source_size").over(everyone) * F.lit(float(epochs)) - F.col("capped")) / F.col("open")) \
         .withColumn("level", F.max(F.when(F.col("level") * F.col("weight") <= limit, F.col("level"))).over(everyone))
     out = held.withColumn("target", F.least(limit, F.coalesce(F.col("level") * F.col("weight"), limit)))
-    out = out.withColumn("upto", F.sum("target").over(by_name.rowsBetween(W.unboundedPreceding, 0)))
-    out = out.withColumn("total", F.max("upto").over(everyone))
-    least = F.min(F.when(F.col("target") > 0, F.col("target"))).over(everyone)
-    out = out.withColumn("block", F.greatest(F.lit(1), F.least(F.ceil(F.col("total") / slots), F.floor(least / FINEST))))
-    return out.withColumn("blocks", F.ceil(F.col("source_size") / F.col("block"))) \
-        .withColumn("n_slots", F.floor(F.col("total") / F.col("block"))) \
-        .select("source", "source_size", "weight", "target", "upto", "total", "block", "blocks", "n_slots")
-
-
-def _below(n: int, limit: int) -> int:
-    """How many of the slots 0..n-1 have a point below ``limit`` (0 to RANGE)."""
-
-    def floors(n, m, a, b):
-        """Sum of floor((a * i + b) / m) over i < n."""
-        out = 0
-        while n > 0:
-            out += (n - 1) * n // 2 * (a // m) + n * (b // m)
-            a, b = a % m, b % m
-            top = a * n + b
-            if top < m:
-                break
-            n, b, m, a = top // m, top % m, a, m
-        return out
-
-    return floors(n, RANGE, GOLDEN, RANGE) - floors(n, RANGE, GOLDEN, RANGE - limit)
+    common = F.ceil(F.sum("target").over(everyone) / slots)
+    out = out.withColumn("block", F.greatest(F.lit(1), F.least(common, F.floor(F.col("target") / FINEST)))) \
+        .withColumn("blocks", F.ceil(F.col("source_size") / F.col("block")))
+    out = out.withColumn("upto", F.sum(F.col("target") / F.col("block")).over(by_name.rowsBetween(W.unboundedPreceding, 0)))
+    return out.withColumn("total", F.max("upto").over(everyone)).withColumn("n_slots", F.floor("total")) \
+        .select("source", "source_size", "weight", "target", "block", "blocks", "upto", "total", "n_slots")
 
 
 def _spans(targets: DataFrame) -> DataFrame:
@@ -102,21 +81,6 @@ def _spans(targets: DataFrame) -> DataFrame:
         .withColumn("lo", F.coalesce(F.lag("hi").over(order), F.lit(0))).where("hi > lo").select("source", "epoch", "lo", "hi", "n_slots")
 
 
-def turns(targets: DataFrame) -> DataFrame:
-    """(source, n): how many slots of the schedule each source has, without listing them."""
-
-    def count(batches):
-        for batch in batches:
-            epoch, lo, hi, n = (batch.column(i).to_pylist() for i in range(1, 5))
-            parts = [min(RANGE, m - e * RANGE) for e, m in zip(epoch, n, strict=True)]
-            got = [h - x if p == RANGE else _below(p, h) - _below(p, x) for p, x, h in zip(parts, lo, hi, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.int64())], names=["source", "n"])
-
-    spans = _spans(targets)
-    schema = T.StructType([spans.schema["source"], T.StructField("n", T.LongType())])
-    return spans.mapInArrow(count, schema).groupBy("source").agg(F.sum("n").alias("n"))
-
-
 def schedule(targets: DataFrame) -> DataFrame:
     """(slot, source, turn) of the mix: the source of each slot, and the slot's rank among the source's."""
     cell = RANGE // CELLS
@@ -160,15 +124,17 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), epochs: float =
                                      size.alias("size"), key.alias("key")), "sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = scratch.keep(source_targets(totals, weights, epochs, cap, slots).coalesce(1), "targets")
-    at = streams(sized.select("row", "source", "size", "key"), buckets)
-    # the r-th slot of a source takes its block r modulo the number of its blocks, at most `cap` times round:
-    # all blocks are taken `whole` times, and those before token `more` once more
-    slots_of = turns(targets).alias("p").join(targets.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source"))) \
-        .select("p.source", "t.block", "t.blocks", F.least("p.n", F.floor(F.col("t.blocks") * F.lit(float(cap)))).alias("n"))
-    rounds = slots_of.select("source", F.floor(F.col("n") / F.col("blocks")).alias("whole"), (F.col("n") % F.col("blocks") * F.col("block")).alias("more"))
-    again = F.greatest(F.lit(0), F.least("d.size", F.col("u.more") - F.col("d.begins")))
-    taken = at.where("size > 0").alias("d").join(rounds.alias("u"), F.col("d.source").eqNullSafe(F.col("u.source"))) \
-        .select("d.row", (F.col("d.size") * F.col("u.whole") + again).alias("taken"))
+    # the r-th slot of a source takes its block r modulo the number of its blocks, at most `cap` times round
+    slots_of = schedule(targets).alias("p").join(targets.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source"))) \
+        .where(F.col("p.turn") < F.floor(F.col("t.blocks") * F.lit(float(cap))))
+    times = slots_of.groupBy(F.col("p.source").alias("source"), (F.col("p.turn") % F.col("t.blocks")).alias("nth")).agg(F.count("*").alias("times"))
+    at = streams(sized.where("size > 0").select("row", "source", "size", "key"), buckets)
+    pieces = at.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source"))) \
+        .select("d.row", "d.source", "d.begins", (F.col("d.begins") + F.col("d.size")).alias("ends"), "t.block") \
+        .withColumn("nth", F.explode(F.sequence(F.floor(F.col("begins") / F.col("block")), F.floor((F.col("ends") - 1) / F.col("block")))))
+    inside = F.least("c.ends", (F.col("c.nth") + 1) * F.col("c.block")) - F.greatest("c.begins", F.col("c.nth") * F.col("c.block"))
+    taken = pieces.alias("c").join(times.alias("n"), (F.col("c.nth") == F.col("n.nth")) & F.col("c.source").eqNullSafe(F.col("n.source"))) \
+        .groupBy("c.row").agg(F.sum(inside * F.col("n.times")).alias("taken"))
     rows = sized.join(taken, "row", "left").alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
     return rows.select(*[f"d.{c}" for c in sized.columns if c not in ("row", "key")], "t.source_size", "t.target",
                        F.coalesce("d.taken", F.lit(0)).cast("long").alias("taken"))

@@ -33,11 +33,11 @@ f AS (
 l AS (SELECT *, (shared - capped) / free AS level, source_size * CAST(2 AS DOUBLE) AS cap FROM f),
 m AS (SELECT max(level) AS level FROM l WHERE level * weight <= cap),
 t AS (SELECT l.source, l.source_size, least(l.cap, coalesce(m.level * l.weight, l.cap)) AS target FROM l, m),
-u AS (SELECT *, sum(target) OVER (ORDER BY source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM t),
+x AS (SELECT *, CAST(greatest(1, least(ceil(sum(target) OVER () / 1048576), floor(target / 4096))) AS BIGINT) AS block FROM t),
+u AS (SELECT *, sum(target / block) OVER (ORDER BY source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM x),
 v AS (SELECT *, max(upto) OVER () AS total FROM u),
-x AS (SELECT *, CAST(greatest(1, ceil(total / 1048576)) AS BIGINT) AS block FROM v),
-y AS (SELECT *, CAST(ceil(source_size / block) AS BIGINT) AS blocks, CAST(floor(total / block) AS BIGINT) AS n_slots,
-             CAST(floor(upto / total * 4294967296) AS BIGINT) AS hi FROM x),
+y AS (SELECT *, CAST(ceil(source_size / block) AS BIGINT) AS blocks, CAST(floor(total) AS BIGINT) AS n_slots,
+             CAST(floor(upto / total * 4294967296) AS BIGINT) AS hi FROM v),
 z AS (SELECT *, coalesce(lag(hi) OVER (ORDER BY source IS NULL, source), 0) AS lo FROM y WHERE target > 0),
 slots AS (SELECT i AS slot, (i * 2654435769) % 4294967296 AS p FROM range(0, (SELECT max(n_slots) FROM y)) AS q(i)),
 placed AS (SELECT z.source, z.blocks, row_number() OVER (PARTITION BY z.source ORDER BY slot) - 1 AS turn FROM slots JOIN z ON p >= z.lo AND p < z.hi),
