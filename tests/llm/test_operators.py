@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
+import re
+import time
 import zlib
 from collections import Counter
 
@@ -368,6 +372,77 @@ def test_full_licence_files_and_wrapped_headers(spark):
             assert r["own_license"] == next(n for n in full if path.startswith(f"code/{n}")) and not r["is_license_file"]
 
 
+def plain_scan(files: list[tuple]) -> dict:
+    """path -> (own licence, score, licence, inherited from): every line, every run and the whole text by definition."""
+    lined = {p: [re.findall(r"[^\W_]+", re.sub(r"^\s*(?:dnl|rem)\b", "", x.lower())) for x in (t or "").split("\n")] for p, t in files}
+    notices = [(n, Counter(licenses.terms(t))) for n, t in licenses.TEMPLATES]
+    whole = notices + [(n, Counter(licenses.terms(t))) for n, t in licenses.full_texts()]
+    known = {w for _, c in whole for w in c}
+    idf = {w: math.log((1 + len(files)) / (1 + sum((t is not None) and w in licenses.terms(t) for _, t in files))) + 1 for w in known}
+    rare = math.log((1 + len(files)) / 2) + 1
+
+    def cosines(words, templates):
+        def vector(c):
+            return {w: n * idf.get(w, rare) for w, n in c.items()}
+
+        a = vector(Counter(words))
+        for name, c in templates:
+            b = vector(c)
+            dot = sum(x * b.get(w, 0.0) for w, x in a.items())
+            if dot:
+                yield dot / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values())), name
+
+    def best(found):
+        return min(found, key=lambda c: (-round(c[0], 9), c[1]), default=(0.0, None))
+
+    own, holders = {}, {}
+    for p, lines in lined.items():
+        of_all = best(cosines([w for x in lines for w in x], whole))
+        full = [x for x in lines if x]
+        runs = [[w for x in full[i:j] for w in x] for i in range(len(full)) for j in range(i + 1, min(len(full), i + licenses.RUN) + 1)]
+        own[p] = best([of_all, *(c for r in runs for c in cosines(r, notices) if c[0] >= licenses.THRESHOLD), *(c for x in full for c in cosines(x, notices))])
+        if of_all[0] >= licenses.THRESHOLD and "/" in p:
+            holders.setdefault(p.rpartition("/")[0], []).append((-round(own[p][0], 9), own[p][1], p))
+    out = {}
+    for p, (score, name) in own.items():
+        name = name if score >= licenses.THRESHOLD else None
+        above = ["/".join(p.split("/")[:n]) for n in range(p.count("/"), 0, -1)]
+        near = next((d for d in above if d in holders), None)
+        out[p] = (name, round(score, 9), name or (near and min(holders[near])[1]), near if name is None else None)
+    return out
+
+
+def test_licences_equal_plain_scan(spark):
+    rng = random.Random(8)
+    words = "the license this file is under terms software use free public may not code data line total use of and".split()
+    pieces = [t for _, t in licenses.TEMPLATES]
+    files = []
+    for i in range(60):
+        lines = [" ".join(rng.choices(words, k=rng.randint(0, 9))) for _ in range(rng.randint(0, 30))]
+        if i % 3 == 0:
+            notice = rng.choice(pieces).split()
+            cut = sorted(rng.sample(range(1, len(notice)), min(len(notice) - 1, rng.randint(0, 4))))
+            wrapped = [" ".join(notice[a:b]) for a, b in zip([0, *cut], [*cut, len(notice)], strict=True)]
+            lines = wrapped if i % 12 == 0 else lines[:9] + wrapped * rng.randint(1, 3) + lines[9:]
+        files.append((f"r{i % 2}/" + "/".join(f"d{rng.randint(0, 2)}" for _ in range(i % 4)) + f"/f{i}", "\n".join(lines)))
+    files += [("r0/none", None), ("r1/empty", ""), ("top", pieces[0])]
+    got = {r["path"]: (r["own_license"], round(r["own_score"], 9), r["license"], r["inherited_from"]) for r in licenses.scan_tree(spark.createDataFrame(files, "path string, text string")).collect()}
+    want = plain_scan(files)
+    for p in want:
+        assert got[p][0] == want[p][0] and abs(got[p][1] - want[p][1]) < 2e-9 and got[p][2:] == want[p][2:], p
+    assert sum(w[0] is not None for w in want.values()) >= 15 and sum(w[3] is not None for w in want.values()) >= 3
+
+
+def test_licence_runs_of_many_equal_lines():
+    """20,000 equal or alternating lines take seconds, whatever the blocks."""
+    held = licenses.Templates({}, 2.0)
+    wrapped = ["This Source Code Form is subject to the terms", "of the Mozilla Public License,", "v. 2.0."]
+    for lines in (["under the license version"] * 20_000, wrapped * 7000, [f"{x} {i}" for i in range(5000) for x in wrapped]):
+        began = time.monotonic()
+        score, _ = held.best_run([licenses.terms(x) for x in lines])
+        assert score > 0.5 and time.monotonic() - began < 60
+
+
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_empty_tables(spark, empty, name):
     assert run(spark, name, empty) == []

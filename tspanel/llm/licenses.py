@@ -12,12 +12,13 @@ file, found by joining the directories' paths.
 
 Inverse document frequencies come from all texts; a word in no template weighs
 like a word of one document. Of several candidates the largest cosine counts,
-then the smaller licence name; of several licence files in a directory likewise, then the smaller path.
+then the smaller licence name; of several licence files in a directory likewise (cosines to nine digits), then the smaller path.
 
 Defined results: null and empty texts have no licence of their own but inherit
 one; a null path has no directory and inherits nothing; repeated rows are
 scanned one by one; an empty table gives an empty result; input columns named
-like an added one give way.
+like an added one give way. Very long texts are scanned whole, in time that grows with their words
+(each is added to at most ``RUN`` runs) and with blocks of ``BLOCK`` lines in memory beside the text.
 """
 
 from __future__ import annotations
@@ -70,6 +71,9 @@ MARKS = re.compile(r"^\s*(?:dnl|rem)\b")
 #: Cosine from which a line, a run of lines or a text is taken to state a licence; lines of a run at most.
 THRESHOLD, RUN = 0.7, 24
 
+#: Lines whose runs are bounded at a time.
+BLOCK = 4096
+
 
 def terms(text: str) -> list[str]:
     return WORDS.findall(MARKS.sub("", text.lower()))
@@ -118,32 +122,58 @@ class Templates:
         """The same for single lines, and for runs of them (blank ones left out) that reach the threshold.
 
         Dot products add up over lines and squared norms add up to at least their sum, which bounds a run's
-        cosine; a run that reaches the threshold thus has a line of ``threshold`` / sqrt(lines) or more.
+        cosine. Where a bound reaches the threshold, the runs from that line on grow a line at a time, so a line is
+        added at most ``longest`` times; equal stretches of ``longest`` lines are grown once a block.
         """
-        lines = [x for x in lines if x]
-        parts = [self.part(x) for x in lines]
+        ids: dict[tuple[str, ...], int] = {}
+        at = [ids.setdefault(tuple(x), len(ids)) for x in lines if x]
+        parts = [self.part(list(x)) for x in ids]
         top = max((self._top(*p) for p in parts), key=_order, default=(0.0, None))
-        seeds = [s for s, (norm, dots) in enumerate(parts) if dots and max(dots.values()) >= threshold / math.sqrt(longest) * math.sqrt(norm) - 1e-9]
-        for s in seeds:
-            lo, hi = max(0, s - longest + 1), min(len(lines), s + longest)
-            norms, dots = np.zeros(hi - lo + 1), np.zeros((hi - lo + 1, len(self.names)))
-            for k in range(lo, hi):
-                norms[k - lo + 1] = parts[k][0]
-                for i, d in parts[k][1].items():
-                    dots[k - lo + 1, i] = d
-            norms, dots = norms.cumsum(), dots.cumsum(axis=0)
-            i, j = (x.ravel() for x in np.meshgrid(np.arange(s - lo + 1), np.arange(s - lo + 1, hi - lo + 1), indexing="ij"))
-            ok = (j - i <= longest) & (j - i > 1)
-            i, j = i[ok], j[ok]
-            bound = (dots[j] - dots[i]).max(axis=1, initial=0.0) / np.sqrt(norms[j] - norms[i])
-            for at in np.argsort(-bound, kind="stable").tolist():
-                if bound[at] < max(threshold, top[0]) - 1e-9:
+        # a run that reaches the threshold has a line of threshold / sqrt(lines) or more
+        if not any(dots and max(dots.values()) >= threshold / math.sqrt(longest) * math.sqrt(norm) - 1e-9 for norm, dots in parts):
+            return top
+        bags = [[(w, n, self.idf.get(w, self.rare) ** 2) for w, n in Counter(x).items()] for x in ids]
+        for lo in range(0, len(at), BLOCK):
+            block, seen = at[lo:lo + BLOCK + longest - 1], set()
+            for bound, i, n in self._bounds([parts[x] for x in block], min(BLOCK, len(at) - lo), threshold, longest):
+                if bound < max(threshold, top[0]) - 1e-6:
                     break
-                got = self.best([w for x in lines[lo + i[at]:lo + j[at]] for w in x])
-                if got[0] >= threshold:
-                    top = max(top, got, key=_order)
+                run = tuple(block[i:i + n])
+                if run not in seen:
+                    seen.add(run)
+                    top = max((top, *(c for c in self._grown(run, parts, bags) if c[0] >= threshold)), key=_order)
         return top
 
+    def _bounds(self, parts: list[tuple[float, dict[int, float]]], starts: int, threshold: float, longest: int) -> list[tuple[float, int, int]]:
+        """(bound, first line, lines of the longest run) of the starts whose runs may reach the threshold, largest bound first."""
+        norms, dots = np.zeros(len(parts) + 1), np.zeros((len(parts) + 1, len(self.names)))
+        for k, (norm, some) in enumerate(parts):
+            norms[k + 1] = norm
+            for i, d in some.items():
+                dots[k + 1, i] = d
+        norms, dots = norms.cumsum(), dots.cumsum(axis=0)
+        most, reach = np.zeros(len(parts)), np.zeros(len(parts), np.int64)
+        for n in range(2, min(longest, len(parts)) + 1):
+            bound = (dots[n:] - dots[:-n]).max(axis=1) / np.sqrt(norms[n:] - norms[:-n])
+            ok = np.flatnonzero(bound >= threshold - 1e-6)
+            most[ok], reach[ok] = np.maximum(most[ok], bound[ok]), n
+        first = np.flatnonzero(reach[:starts])
+        first = first[np.argsort(-most[first], kind="stable")]
+        return list(zip(most[first].tolist(), first.tolist(), reach[first].tolist(), strict=True))
+
+    def _grown(self, run: tuple[int, ...], parts: list[tuple[float, dict[int, float]]], bags: list[list[tuple[str, int, float]]]):
+        """The best of the first two, three, ... lines of ``run``."""
+        counts, norm, dots = {}, 0.0, {}
+        for k, x in enumerate(run):
+            for w, n, weight in bags[x]:
+                c = counts.get(w, 0)
+                norm += weight * (2 * c + n) * n
+                counts[w] = c + n
+            for i, d in parts[x][1].items():
+                dots[i] = dots.get(i, 0.0) + d
+            if k:
+                yield self._top(norm, dots)
+
 
 def _order(c: tuple[float, str | None]):
     return round(c[0], 12), [-ord(ch) for ch in c[1] or ""]
@@ -197,7 +227,7 @@ def inherit(scanned: DataFrame, path: str = "path") -> DataFrame:
     folder = F.regexp_extract(F.col(path), "^(.*)/[^/]*$", 1)
     rows = scanned.withColumn("__dir", F.when(F.col(path).contains("/"), folder))
     notices = rows.where("is_license_file AND __dir IS NOT NULL").groupBy("__dir") \
-        .agg(F.min(F.struct(-F.col("own_score"), "own_license", path)).alias("best")).select(F.col("__dir").alias("holder"), F.col("best.own_license").alias("held"))
+        .agg(F.min(F.struct(-F.round("own_score", 9), "own_license", path)).alias("best")).select(F.col("__dir").alias("holder"), F.col("best.own_license").alias("held"))
     folders = rows.where("__dir IS NOT NULL").select("__dir").distinct()
     parts = F.split("__dir", "/")
     above = folders.select("__dir", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))).alias("holder"))
