@@ -76,3 +76,15 @@ def test_band_scale_published_row(spark):
     r = with_bands(fc, sc).first()
     assert (r["lower_80"], r["upper_80"], r["lower_95"], r["upper_95"]) == pytest.approx((lo80, hi80, lo95, hi95), rel=1e-12)
     assert not math.isnan(r["lower_80"])
+
+
+@pytest.mark.parametrize("t, df", [(1.3, 1), (2.1, 2), (1.7, 9), (-0.4, 119)])
+def test_t_tail_against_the_integrated_density(t, df):
+    import numpy as np
+    x, step = np.linspace(0.0, abs(t), 20_001, retstep=True)
+    scale = math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(df * math.pi)
+    y = scale * (1 + x * x / df) ** (-(df + 1) / 2)
+    area = step / 3 * (y[0] + y[-1] + 4 * y[1:-1:2].sum() + 2 * y[2:-1:2].sum())
+    assert SM.t_two_sided(t, df) == pytest.approx(1 - 2 * area, abs=1e-10)
+    with pytest.raises(ValueError):
+        SM.t_two_sided(t, df + 0.5)
