@@ -43,6 +43,38 @@ def test_language_id(spark, messy):
     assert all(0 <= g[3] <= 1 for g in got)
 
 
+def plain_grams(text):
+    """Counter of the one to three characters of marked runs of letters; (length, characters) sorts ties."""
+    out, runs = Counter(), re.findall(r"[^\W\d_]+", (text or "").lower())
+    runs = ["".join(c for c in r if c.isalpha()) for r in runs]
+    for r in runs:
+        marked = "\x01" + r + "\x01"
+        out.update((1, c) for c in r)
+        out.update((2, marked[i:i + 2]) for i in range(len(marked) - 1))
+        out.update((3, marked[i:i + 3]) for i in range(len(marked) - 2))
+    return out
+
+
+def plain_order(grams):
+    return [g for g, _ in sorted(grams.items(), key=lambda c: (-c[1], c[0]))][:400]
+
+
+def test_language_id_equals_out_of_place_distances(spark, messy):
+    """Every text against profiles made in plain Python (the messy table is smaller than the sample's bound)."""
+    totals = {}
+    for d, t, lang, *_ in ROWS:
+        if t is not None and lang is not None and zlib.crc32(str(d if d is not None else "").encode()) % 4 != 2:
+            totals.setdefault(lang, Counter()).update(plain_grams(t))
+    profiles = {lang: {g: i for i, g in enumerate(plain_order(c))} for lang, c in totals.items()}
+    want = Counter()
+    for d, t, *_ in ROWS:
+        own = plain_order(plain_grams(t))
+        away = {lang: sum(min(400, abs(ranks[g] - i)) if g in ranks else 400 for i, g in enumerate(own)) for lang, ranks in profiles.items()}
+        best = min(away, key=lambda x: (away[x], x))
+        want[(d, best, round(1 - away[best] / (400 * len(own)), 12)) if own else (d, "und", 0.0)] += 1
+    assert Counter((g[0], g[2], round(g[3], 12)) for g in run(spark, "op1_language_id", messy)) == want
+
+
 def test_profile_distance_by_hand():
     ident = langid.Identifier({"a": [ord("x"), ord("y")], "b": [ord("y"), ord("x")]}, 2)
     # x is the most frequent n-gram of "xxx y", so profile a is in place
