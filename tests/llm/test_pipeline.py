@@ -75,3 +75,20 @@ def test_stages_on_messy_and_empty_tables(spark, messy, empty):
                 assert docs.columns == list(cp.COLUMNS)
             assert docs.count() <= 2 * before
         assert (docs.count() > 0) == (folder == messy)
+
+
+def test_batches_to_python_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    """10,000 rows are too many at a time where texts are long; the session's own setting comes back."""
+    import pyarrow as pa
+
+    spark.range(0, 6000, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 400) AS text").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "bytes"])
+
+    monkeypatch.setattr(cp, "STAGES", [("sizes", lambda spark, docs, sf_dir: docs.mapInArrow(sizes, "n long, bytes long"))])
+    before = spark.conf.get(cp.BATCH_CONF)
+    got = cp.run(spark, str(tmp_path)).collect()
+    assert sum(r["n"] for r in got) == 6000 and max(r["bytes"] for r in got) <= cp.BATCH_BYTES + 100_000
+    assert spark.conf.get(cp.BATCH_CONF) == before
