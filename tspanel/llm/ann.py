@@ -1,13 +1,16 @@
 """Approximate nearest neighbours by NN-descent.
 
 The index is a graph: every vector's ``degree`` best neighbours found. It starts
-from random blocks; each round joins every node's neighbours (and a bounded
+from blocks of vectors that lie on the same side of random planes (several deals;
+the planes are drawn from a sample of some ``SAMPLE`` vectors and halve it, every vector is
+put into its blocks, and what is the same to a plane goes to either side); each
+round joins every node's neighbours (and a bounded
 number of nodes it is a neighbour of) with each other, as a neighbour of a neighbour
 is likely a neighbour, and keeps the best. Pairs that met in an earlier round
 are not compared again, and rounds end when few neighbours still change.
 
-A query walks the graph greedily: of the best ``pool`` nodes it knows, the best
-``width`` not yet expanded are, until all are. It starts at its own node if it
+A query walks the graph greedily: of the best ``pool`` nodes it knows, all that are
+not yet expanded are, until none is left. It starts at its own node if it
 is an indexed row, and at a few entry nodes. Edges, pools and answers are all scored in double
 precision, so near copies are told apart wherever their cosines differ as doubles. Where the k-th of a pool
 ties with its last, all nodes of that score stay and are expanded, as the smaller ids may be among them.
@@ -31,9 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tspanel.llm.common import Scratch
+from tspanel.llm.common import Scratch, mix64
 from tspanel.llm.jaccard import _groups
 
+#: Vectors that the first blocks' planes are drawn from, the least of them that a plane halves, and rows compared at a time.
+SAMPLE, FEWEST, PIECE = 2048, 16, 1024
+
 
 @dataclass(frozen=True)
 class AnnConfig:
@@ -42,8 +48,9 @@ class AnnConfig:
     rounds: int = 12
     settled: float = 0.005      # rounds end when this part of the neighbours changes
     offers: int = 8             # pairs that a node hands on of one neighbourhood
+    deals: int = 12
+    block: int = 512            # vectors of a first block
     pool: int = 128
-    width: int = 16
     entries: int = 8
     tie: float = 1e-15          # scores this near are one (the rounding of a double's cosine)
     stored: str = "float32"     # what nodes carry; float64 if the embeddings are not floats
@@ -83,25 +90,69 @@ def _units(column, cfg: AnnConfig) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _planes(nodes: DataFrame, n: int, levels: int, cfg: AnnConfig) -> tuple[np.ndarray, np.ndarray]:
+    """(deal, place, component) and (deal, place): trees of planes, each halving what its place has of a sample; places as in a heap, from 1."""
+    chance = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    found = sorted((r["node"], bytes(r["unit"])) for r in nodes.where(chance < F.lit(SAMPLE / n)).collect())
+    dim = len(found[0][1]) // np.dtype(cfg.stored).itemsize if found else 1
+    x = _units(pa.array([u for _, u in found], pa.binary()), cfg) if found else np.zeros((0, dim))
+    rng = np.random.default_rng(1)
+    planes, cuts = np.zeros((cfg.deals, 1 << levels, dim)), np.zeros((cfg.deals, 1 << levels))
+    for d in range(cfg.deals):
+        held = {1: np.arange(len(x))}
+        for place in range(1, 1 << levels):
+            mine = held.pop(place, np.zeros(0, np.int64))
+            if len(mine) < 2:
+                continue
+            p, q = rng.choice(mine, 2, replace=False)
+            value = x[mine] @ (x[p] - x[q])
+            planes[d, place], cuts[d, place] = x[p] - x[q], np.median(value)
+            upper = value > cuts[d, place]
+            held[2 * place], held[2 * place + 1] = mine[~upper], mine[upper]
+    return planes, cuts
+
+
 def _start(nodes: DataFrame, n: int, cfg: AnnConfig) -> DataFrame:
-    """A first graph (v, u, sim): in several random deals, the nodes of a block are each other's neighbours."""
-    deals, block = 4, max(2, cfg.degree // 3)
-    blocks = n // block if n > cfg.degree else 1
-    deal = F.explode(F.array(*[F.struct(F.lit(d).alias("deal"), F.pmod(F.xxhash64(F.lit(d), "node"), F.lit(blocks)).alias("block")) for d in range(deals)]))
-    rows = nodes.select("node", "unit", deal.alias("x")).select("x.deal", "x.block", "node", "unit")
+    """A first graph (v, u, sim): in several deals, the best of a node's block are its neighbours."""
+    levels = min(max(0, int(np.ceil(np.log2(max(1, n) / cfg.block)))), int(np.log2(SAMPLE // FEWEST)))
+    subs = max(1, -(-n // (cfg.block << levels)))
+    deals = cfg.deals if levels else 1
+    most = -(-cfg.degree // min(2, deals))
+    trees = nodes.sparkSession.sparkContext.broadcast(_planes(nodes, n, levels, cfg) if levels else None)
+
+    def deal(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, node = _units(batch.column(1), cfg), batch.column(0).to_numpy()
+            for d in range(deals):
+                luck = mix64(node.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(d))
+                at = np.ones(len(node), np.int64)
+                for level in range(levels):
+                    planes, cuts = trees.value
+                    over = np.einsum("ij,ij->i", x, planes[d][at]) - cuts[d][at]
+                    by_chance = (luck >> np.uint64(level)) & np.uint64(1) == 1
+                    at = 2 * at + np.where(np.abs(over) < 1e-12, by_chance, over > 0)
+                at = at * subs + ((luck >> np.uint64(32)) % np.uint64(subs)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), d, np.int32)), pa.array(at), batch.column(0), batch.column(1)], names=["deal", "block", "node", "unit"])
 
     def join(batches):
         for table in _groups(batches, 2):
             d, b, node = (table.column(i).to_numpy() for i in range(3))
             x = _units(table.column(3), cfg)
             heads = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (b[1:] != b[:-1])]))
-            out = []
             for lo, hi in zip(heads.tolist(), [*heads[1:].tolist(), len(d)], strict=True):
-                s = x[lo:hi] @ x[lo:hi].T
-                i, j = np.nonzero(~np.eye(hi - lo, dtype=bool))
-                out.append((node[lo + i], node[lo + j], s[i, j]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[k] for o in out])) for k in range(3)], names=["v", "u", "sim"])
-
+                for a in range(lo, hi, PIECE):
+                    z = min(a + PIECE, hi)
+                    s = x[a:z] @ x[a:z].T
+                    np.fill_diagonal(s, -2.0)
+                    if z - a > most:
+                        bar = np.partition(s, z - a - most, axis=1)[:, z - a - most]
+                        s = np.where(s >= bar[:, None], s, -2.0)
+                    i, j = np.nonzero(s > -2)
+                    yield pa.RecordBatch.from_arrays([pa.array(node[a + i]), pa.array(node[a + j]), pa.array(s[i, j])], names=["v", "u", "sim"])
+
+    rows = nodes.mapInArrow(deal, "deal int, block long, node long, unit binary")
     return rows.repartition("deal", "block").sortWithinPartitions("deal", "block").mapInArrow(join, "v long, u long, sim double")
 
 
@@ -205,30 +256,34 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, scratch: Scra
     """(query_id, node): the pool of each query (query_id, node or null, unit) after its walk."""
     ways = scratch.keep(graph.select("v", "u").unionByName(graph.select(F.col("u").alias("v"), F.col("v").alias("u"))).distinct(), "ways")
     first = [r["node"] for r in nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(cfg.entries).collect()]
-    to_see = queries.select("query_id", F.explode(F.array_distinct(F.concat(F.array(*[F.lit(x) for x in first]).cast("array<bigint>"), F.array("node")))).alias("node")).where("node IS NOT NULL")
-    pool, schema = None, "query_id long, node long, sim double, done boolean, turn boolean"
+    begin = queries.select("query_id", F.explode(F.array_distinct(F.concat(F.array(*[F.lit(x) for x in first]).cast("array<bigint>"), F.array("node")))).alias("node")).where("node IS NOT NULL")
+    pool, schema = None, "query_id long, node long, sim double, turn boolean"
+
+    def unseen(front, known):
+        """What stands next to the nodes of ``front`` and is not ``known``."""
+        beside = front.select("query_id", F.col("node").alias("v")).join(ways, "v").select("query_id", F.col("u").alias("node"), F.lit(False).alias("seen"))
+        # one exchange for this and the join with the vectors
+        both = beside.unionByName(known.select("query_id", "node", F.lit(True).alias("seen"))).repartition("node")
+        return both.groupBy("query_id", "node").agg(F.max("seen").alias("seen")).where("NOT seen").select("query_id", "node")
 
     def rank(batches):
-        """Score what is new, keep the best of the pool, and mark whose turn it is.
+        """Score what is new, keep the best of the pool; what stays of the new is to be expanded.
 
         The row without a node has the query's own vector, and rows without a similarity are new.
         """
         for table in _groups(batches, 1):
             asked, fresh = (np.flatnonzero(table.column(i).is_null().to_numpy()) for i in (1, 2))
-            q, node, sim, done = table.column(0).to_numpy(), *(table.column(i).fill_null(x).to_numpy() for i, x in ((1, 0), (2, 0.0), (3, False)))
-            fresh, sim = np.setdiff1d(fresh, asked, assume_unique=True), sim.copy()
+            q, node, sim = table.column(0).to_numpy(), *(table.column(i).fill_null(x).to_numpy() for i, x in ((1, 0), (2, 0.0)))
+            fresh, sim, new = np.setdiff1d(fresh, asked, assume_unique=True), sim.copy(), np.zeros(len(q), bool)
+            new[fresh] = True
             if len(fresh):
-                mine, units = _units(table.column(4).take(pa.array(asked)), cfg), _units(table.column(4).take(pa.array(fresh)), cfg)
+                mine, units = _units(table.column(3).take(pa.array(asked)), cfg), _units(table.column(3).take(pa.array(fresh)), cfg)
                 sim[fresh] = np.einsum("ij,ij->i", mine[np.searchsorted(q[asked], q[fresh])], units)
-            q, node, sim, done = (np.delete(a, asked) for a in (q, node, sim, done))
+            q, node, sim, new = (np.delete(a, asked) for a in (q, node, sim, new))
             if not len(q):
                 continue
-            order = np.lexsort((~done, node, q))
-            once = np.ones(len(q), bool)
-            once[1:] = (q[order][1:] != q[order][:-1]) | (node[order][1:] != node[order][:-1])
-            q, node, sim, done = (a[order][once] for a in (q, node, sim, done))
             order = np.lexsort((node, -sim, q))
-            q, node, sim, done = (a[order] for a in (q, node, sim, done))
+            q, node, sim, new = (a[order] for a in (q, node, sim, new))
             heads = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
             size = np.diff(np.append(heads, len(q)))
             place = np.arange(len(q)) - np.repeat(heads, size)
@@ -236,27 +291,22 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, scratch: Scra
             worst = sim[heads + np.minimum(size, cfg.pool) - 1]
             tied = sim[heads + np.minimum(size, min(k + 1, cfg.pool)) - 1] - worst <= cfg.tie
             ok = (place < cfg.pool) | (np.repeat(tied, size) & (sim >= np.repeat(worst, size) - cfg.tie))
-            q, node, sim, done, place = (a[ok] for a in (q, node, sim, done.astype(bool), place))
-            heads = np.concatenate([[True], q[1:] != q[:-1]])
-            open_ = np.cumsum(~done)
-            base = np.repeat((open_ - ~done)[heads], np.diff(np.append(np.flatnonzero(heads), len(q))))
-            turn = ~done & ((open_ - base <= cfg.width) | (place >= cfg.pool))
-            yield pa.RecordBatch.from_arrays([pa.array(a) for a in (q, node, sim, done | turn, turn)], names=["query_id", "node", "sim", "done", "turn"])
-
-    nothing = F.lit(None).cast("double").alias("sim"), F.lit(False).alias("done")
-    vectors = queries.select("query_id", F.lit(None).cast("long").alias("node"), *nothing, "unit")
+            yield pa.RecordBatch.from_arrays([pa.array(a[ok]) for a in (q, node, sim, new)], names=["query_id", "node", "sim", "turn"])
+
+    nothing = F.lit(None).cast("double").alias("sim")
+    vectors = queries.select("query_id", F.lit(None).cast("long").alias("node"), nothing, "unit")
+    to_see = begin.unionByName(unseen(begin, begin))
     while True:
-        rows = vectors.unionByName(to_see.join(nodes, "node").select("query_id", "node", *nothing, "unit"))
+        rows = vectors.unionByName(to_see.join(nodes, "node").select("query_id", "node", nothing, "unit"))
         if pool is not None:
-            rows = rows.unionByName(pool.select("query_id", "node", "sim", "done", F.lit(None).cast("binary").alias("unit")))
+            rows = rows.unionByName(pool.select("query_id", "node", "sim", F.lit(None).cast("binary").alias("unit")))
         before, pool = pool, scratch.keep(rows.repartition("query_id").sortWithinPartitions("query_id").mapInArrow(rank, schema), "pool")
         if before is not None:
             scratch.drop(before)
         turn = pool.where("turn")
         if not turn.limit(1).count():
             return pool.select("query_id", "node")
-        seen = pool.select("query_id", "node")
-        to_see = turn.select("query_id", F.col("node").alias("v")).join(ways, "v").select("query_id", F.col("u").alias("node")).distinct().join(seen, ["query_id", "node"], "left_anti")
+        to_see = unseen(turn, pool)
 
 
 def nearest(table: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding", cfg: AnnConfig | None = None) -> DataFrame:
