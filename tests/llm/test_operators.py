@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 from tests.llm import brute
 from tests.llm.conftest import messy_rows
-from tspanel.llm import ann, catalog, components, fingerprint, jaccard, langid, licenses, mixing, suffix_dedup, toxicity
+from tspanel.llm import ann, catalog, common, components, fingerprint, jaccard, langid, licenses, mixing, suffix_dedup, toxicity
 from tspanel.llm.common import Scratch, drawn, with_hashes
 
 ROWS = messy_rows()
@@ -356,6 +356,26 @@ def test_ties_beyond_the_pool(spark):
     assert [tuple(r) for r in got] == [(q, v) for q in (50, 150, 250) for v in range(5)]
 
 
+def test_few_rounds_and_steps(spark, monkeypatch):
+    """Every round of the graph and every step of the search costs whole exchanges, however small the table is."""
+    kept, keep = Counter(), common.Scratch.keep
+
+    def counted(self, df, name):
+        kept[name] += 1
+        return keep(self, df, name)
+
+    monkeypatch.setattr(common.Scratch, "keep", counted)
+    x = np.random.default_rng(11).normal(size=(1500, 24)).astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for q, v in ann.nearest(table, F.col("vec_id") % 50 == 0).select("query_id", "vec_id").collect():
+        got.setdefault(q, set()).add(v)
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    sims = u @ u.T - 2 * np.eye(len(u))
+    assert sum(len(got[q] & set(np.argsort(-sims[q])[:5].tolist())) for q in got) >= 0.9 * 5 * 30
+    assert kept["graph"] + kept["pool"] <= 12, kept
+
+
 def test_few_vectors(spark):
     table = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [-1.0, 0.0])], "vec_id long, embedding array<double>")
     got = [tuple(r) for r in ann.nearest(table, F.col("vec_id") == 0).orderBy("rank").collect()]
