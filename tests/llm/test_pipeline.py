@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections import Counter
+from urllib.parse import urlparse
 
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
 from tests.llm import brute
-from tspanel.llm.common import Scratch
+from tspanel.llm import suffix_dedup
+from tspanel.llm.common import Scratch, numbered
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -92,3 +96,41 @@ def test_batches_to_python_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
     got = cp.run(spark, str(tmp_path)).collect()
     assert sum(r["n"] for r in got) == 6000 and max(r["bytes"] for r in got) <= cp.BATCH_BYTES + 100_000
     assert spark.conf.get(cp.BATCH_CONF) == before
+
+
+def _folders(spark) -> set[str]:
+    return set(os.listdir(urlparse(spark.sparkContext.getCheckpointDir()).path))
+
+
+def test_only_the_outputs_of_stages_stay(spark, monkeypatch):
+    """What stages write for themselves goes when their result is written, or when they fail."""
+    stages = [("jaccard", cp.jaccard_groups), ("suffix_dedup", cp.repeated_passages), ("mixing", cp.mix_sources)]
+    monkeypatch.setattr(cp, "STAGES", stages)
+    before = _folders(spark)
+    got = cp.run(spark, FOLDER)
+    (left,) = _folders(spark) - before
+    assert left.startswith("pipeline-")
+    assert sorted(os.listdir(f"{urlparse(spark.sparkContext.getCheckpointDir()).path}/{left}")) == [f"{i:03d}-{n}" for i, (n, _) in enumerate(stages, 1)]
+    assert got.count() > 0
+
+    def fails(spark, docs, sf_dir):
+        Scratch(spark, "failing").keep(docs, "docs")
+        raise ValueError("stage failed")
+
+    monkeypatch.setattr(cp, "STAGES", [("failing", fails)])
+    with pytest.raises(ValueError, match="stage failed"):
+        cp.run(spark, FOLDER)
+    assert not [f for f in _folders(spark) if f.startswith("failing")]
+    # outside the pipeline an operator's folder stays, as its lazy result reads from it
+    cp.repeated_passages(spark, spark.read.parquet(f"{FOLDER}/documents.parquet"), FOLDER).count()
+    assert [f for f in _folders(spark) - before if f.startswith("suffix-dedup-")]
+
+
+def test_repeats_leave_only_what_their_spans_read(spark):
+    """Anchors, surroundings and requests go as soon as nothing reads them."""
+    scratch = Scratch(spark, "suffix-test")
+    docs = spark.createDataFrame([(i, " ".join(f"shared{j}" for j in range(60)) + f" own{i} " + " ".join(f"w{i}x{j}" for j in range(60))) for i in range(9)], "doc_id long, text string")
+    rows = numbered(docs, scratch, text=docs.text)
+    spans = suffix_dedup.repeated_spans(rows.select("row", "text"), scratch, 200)
+    assert {f[4:] for f in os.listdir(urlparse(scratch.root).path)} == {"rows", "whole", "induced"}
+    assert spans.select("row").distinct().count() == 9
