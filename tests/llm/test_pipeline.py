@@ -8,13 +8,14 @@ from collections import Counter
 from urllib.parse import urlparse
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
 from tests.llm import brute
-from tspanel.llm import suffix_dedup
-from tspanel.llm.common import Scratch, numbered
+from tspanel.llm import bpe, suffix_dedup
+from tspanel.llm.common import Scratch, give_back, numbered
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -98,6 +99,31 @@ def test_batches_to_python_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
     assert spark.conf.get(cp.BATCH_CONF) == before
 
 
+def _resident_mb() -> float:
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE") / 1e6
+
+
+def test_encoding_keeps_no_free_memory(spark, monkeypatch):
+    """Workers outlive a task: what its allocators have free afterwards must not stay with them."""
+    tasks = []
+    docs = spark.createDataFrame([(0, "")], "doc_id long, text string")
+    with monkeypatch.context() as m:
+        m.setattr(type(docs), "mapInArrow", lambda self, work, schema: tasks.append(work))
+        bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), ids=True, digests=True)
+    texts = [" ".join(f"w{i}x{j * 7919 % 9973}" for j in range(400)) for i in range(700)]
+
+    def batches():
+        for at in range(0, len(texts), 350):
+            yield pa.RecordBatch.from_arrays([pa.array(range(at, at + 350), pa.int64()), pa.array(texts[at:at + 350])], names=["doc_id", "text"])
+
+    give_back()
+    assert sum(out.num_rows for out in tasks[0](batches())) == len(texts)
+    after = _resident_mb()
+    give_back()
+    assert after - _resident_mb() < 15
+
+
 def _folders(spark) -> set[str]:
     return set(os.listdir(urlparse(spark.sparkContext.getCheckpointDir()).path))
 

@@ -29,9 +29,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Characters handled at a time, and distinct pre-tokens remembered by a worker.
+from tspanel.llm.common import give_back, lean
+
+#: Characters handled at a time, and distinct pre-tokens after which those not met since the last such point are forgotten.
 CHUNK_CHARS = 1 << 19
-CACHE = 400_000
+CACHE = 60_000
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 _CLASS: np.ndarray | None = None
@@ -139,6 +141,7 @@ class ByteBPE:
             b = np.frombuffer(token, np.uint8)
             self.inside[b[:-1], b[1:]] = True
         self.cache: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}           # the cache as it was when it was last full
         self.marks = re.compile("|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
 
     def _ranks(self, ids: np.ndarray) -> np.ndarray:
@@ -219,10 +222,12 @@ class ByteBPE:
 
         def flush() -> None:
             tokens, at = split_pretokens(group)
+            if len(self.cache) > CACHE:
+                self.before, self.cache = self.cache, {}
             new = [t for t in dict.fromkeys(tokens) if t not in self.cache]
-            if len(self.cache) + len(new) > CACHE:
-                self.cache.clear()
-                new = list(dict.fromkeys(tokens))
+            known = [t for t in new if t in self.before]
+            self.cache.update(zip(known, map(self.before.__getitem__, known), strict=True))
+            new = [t for t in new if t not in self.before]
             self.cache.update(zip(new, self.encode_pretokens(new), strict=True))
             get = self.cache.__getitem__
             parts = iter([b"".join(map(get, tokens[a:b])) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)])
@@ -274,8 +279,10 @@ def encode_documents(docs: DataFrame, tokenizer: str, text: str = "text", keep:
                 cols["ids_sha256"] = pa.array([hashlib.sha256(g).hexdigest() for g in got], pa.string())
                 cols["decoded_sha256"] = pa.array([hashlib.sha256(bpe.decode(g).encode()).hexdigest() for g in got], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], *[cols[c] for c in added]], names=[*keep, *added])
+            del got, cols
+            give_back()
 
-    return frame.mapInArrow(work, schema)
+    return frame.mapInArrow(lean(work), schema)
 
 
 def decode_documents(encoded: DataFrame, tokenizer: str, token_ids: str = "token_ids", text: str = "text") -> DataFrame:
@@ -290,4 +297,4 @@ def decode_documents(encoded: DataFrame, tokenizer: str, token_ids: str = "token
             got = [bpe.decode(np.array(x or [], "<u4").tobytes()) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.string())], names=[*batch.schema.names, text])
 
-    return encoded.mapInArrow(work, T.StructType([*encoded.schema.fields, T.StructField(text, T.StringType())]))
+    return encoded.mapInArrow(lean(work), T.StructType([*encoded.schema.fields, T.StructField(text, T.StringType())]))

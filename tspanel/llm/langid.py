@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tspanel.llm.common import drawn, with_hashes
+from tspanel.llm.common import drawn, lean, with_hashes
 
 UNKNOWN = "und"
 EDGE = 1
@@ -101,7 +101,7 @@ def fit_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang",
                 n = np.bincount(where, weights=np.concatenate([p[1] for p in parts]), minlength=len(keys)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([lang_] * len(keys)), pa.array(keys), pa.array(n)], names=["lang", "gram", "n"])
 
-    totals = sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    totals = sample.mapInArrow(lean(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = W.partitionBy("lang").orderBy(F.desc("n"), "gram")
     best = totals.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= cfg.profile_size)
     profiles: dict[str, list[int]] = {}
@@ -150,4 +150,4 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text"
                 names=[*batch.schema.names, "lang_pred", "score"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.mapInArrow(predict, schema)
+    return docs.mapInArrow(lean(predict), schema)
