@@ -247,6 +247,30 @@ def test_jaccard_pair_hidden_from_every_center(spark, monkeypatch):
     same([tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()], brute.components(rows))
 
 
+def test_jaccard_jobs_do_not_follow_the_partitions(spark, messy, monkeypatch):
+    """Tables of fixed size come to the driver in one job each; rounds that find no link leave the components alone."""
+    calls, connect = [], components.connected_components
+    monkeypatch.setattr(jaccard, "connected_components", lambda *a: calls.append(1) or connect(*a))
+    b = [f"b{i}" for i in range(64)]
+    docs = spark.createDataFrame([(1, " ".join(b)), (2, " ".join([*b[:-1], "other"])), (3, " ".join(f"c{i}" for i in range(64)))], "doc_id long, text string")
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(k) for k in keys]
+    jobs = {}
+    try:
+        spark.conf.set(keys[1], "false")
+        for n in (4, 40):
+            spark.conf.set(keys[0], str(n))
+            spark.sparkContext.setJobGroup(f"jaccard-{n}", "")
+            same([tuple(r) for r in jaccard.components(docs).select("doc_id", "component_id").collect()], [(1, 1), (2, 1), (3, 3)])
+            jobs[n] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"jaccard-{n}"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in zip(keys, before, strict=True):
+            spark.conf.set(k, v)
+    assert jobs[4] > 20 and jobs[40] < jobs[4] + 30, jobs
+    assert len(calls) == 2, calls
+
+
 def test_representatives(spark, messy):
     docs = spark.read.parquet(f"{messy}/documents.parquet").select("doc_id", "text")
     kept = Counter(r["doc_id"] for r in jaccard.keep_representatives(docs).collect())
